@@ -13,8 +13,8 @@ from tidewater.operators.joins import attach
 
 # Layout of a change envelope; the payload is kept as text by column name.
 BODY = """op string, before map<string,string>, after map<string,string>,
-          source struct<db:string,`table`:string,server_id:string,snapshot:string>, ts_ms bigint"""
-ENVELOPE = f"{BODY}, payload struct<{BODY.replace(' string', ':string').replace(' map<', ':map<').replace('source struct', 'source:struct').replace(' bigint', ':bigint')}>"
+          source struct<db string, `table` string, server_id string, snapshot string>, ts_ms bigint"""
+ENVELOPE = f"{BODY}, payload struct<{BODY}>"
 
 # Key column of each captured table.
 TABLE_KEYS = {

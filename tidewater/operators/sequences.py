@@ -89,7 +89,7 @@ def consecutive_days(df: DataFrame, entity: str, dt: str, n: int) -> DataFrame:
 
     The days are made distinct first, so the window over an entity is bounded by the calendar.
     """
-    days = df.groupBy(entity, dt).agg()
+    days = df.select(entity, dt).distinct()
     ahead = F.lead(dt, n - 1).over(Window.partitionBy(entity).orderBy(dt))
     return days.withColumn("__ahead", ahead).where(F.datediff("__ahead", dt) == n - 1).select(entity).distinct()
 
@@ -119,7 +119,7 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, o
 
 def top_share(df: DataFrame, key: str, entity: str, k: int) -> DataFrame:
     """The ``k`` keys with most distinct entities and their share of the sum over all keys."""
-    counts = df.groupBy(key, entity).agg().groupBy(key).agg(F.count(entity).alias("visitors"))
+    counts = df.select(key, entity).distinct().groupBy(key).agg(F.count(entity).alias("visitors"))
     whole = counts.agg(F.sum("visitors")).scalar()
     top = counts.orderBy(F.col("visitors").desc(), F.col(key)).limit(k)
     return top.withColumn("share", F.try_divide(F.col("visitors").cast("double"), whole))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import mask_email, mask_name, mask_phone, ratio, rule_text
+from tidewater.functions import mask_email, mask_name, mask_phone, money, ratio, rule_text
 from tidewater.operators.dims import scd2_init, scd2_merge
 from tidewater.operators.facts import accumulating_snapshot
 from tidewater.operators.joins import attach, decode, flatten_star
@@ -180,7 +180,7 @@ def _order_lines(wh: Warehouse, dt: str | None) -> DataFrame:
     """Detail lines with original amount, activity and coupon."""
     lines = wh.scan("ods_order_detail", dt).withColumn("sku_num", F.col("sku_num").cast("bigint"))
     lines = lines.withColumns({
-        "split_original_amount": F.col("sku_num") * F.col("order_price"),
+        "split_original_amount": money(F.col("sku_num") * F.col("order_price")),
         "split_activity_amount": F.coalesce("split_activity_amount", F.lit(0)),
         "split_coupon_amount": F.coalesce("split_coupon_amount", F.lit(0)),
     })

@@ -32,7 +32,7 @@ def ads_wireless_entry(wh: Warehouse, dt: str) -> DataFrame:
     """
     visits = wh.table("ods_page_visit").where((F.col("device") == "wireless") & in_days(F.col("dt"), dt, max(DAYS)))
     buyers = visits.where(F.col("is_order") == 1).groupBy("dt", "user_id").agg(F.lit(1).alias("__bought"))
-    entries = visits.where(F.col("is_entry") == 1).groupBy("dt", "page_url", "user_id").agg()
+    entries = visits.where(F.col("is_entry") == 1).select("dt", "page_url", "user_id").distinct()
     marked = entries.join(buyers, ["dt", "user_id"], "left")
     per_user = marked.groupBy("page_url", "user_id").agg(
         F.max("dt").alias("__seen"), F.max(F.when(F.col("__bought") == 1, F.col("dt"))).alias("__buy"))
