@@ -1,2 +1,338 @@
-def stream_queries():
-    return {}
+"""Streaming jobs run over the given tables with ``availableNow``, read back as tables."""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fixtures.envelopes import customer_changes, envelope, log_texts, ods_changes, order_changes
+from fixtures.plain import plain
+from fixtures.tables import Tables, events_with_k, tag
+from tidewater.operators import cdc
+from tidewater.operators.sets import union_all
+from tidewater.session import work_dir
+from tidewater.sinks import read_snapshot, snapshot_writer
+from tidewater.streaming import jobs
+from tidewater.streaming.run import fan_out, run_available
+from tidewater.streaming.stateful import dedup_bloom, dedup_exact, keep_newest, use_rocksdb
+from tidewater.streaming.windows import payment_stats, refund_stats
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(fn_: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    @functools.wraps(fn_)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plain(fn_(Tables(spark, sf_dir)))
+
+    QUERIES[fn_.__name__] = run
+    return fn_
+
+
+def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
+
+
+# ---- typed input streams
+
+
+def events(t: Tables) -> DataFrame:
+    return events_with_k(t.stream("events"))
+
+
+def order_lines(e: DataFrame, kind: str = "purchase") -> DataFrame:
+    amount = F.when(F.col("k") % 2 == 1, F.col("value"))
+    return e.where(F.col("event_type") == kind).select(
+        F.col("user_id").alias("order_id"), F.col("k").alias("sku_id"), "user_id",
+        (F.col("k") % 5 + 1).alias("sku_num"), F.col("value").alias("order_price"),
+        amount.alias("split_total_amount"), F.unix_millis("ts").alias("event_time"))
+
+
+def bills(e: DataFrame, kind: str, amount: str) -> DataFrame:
+    """Payments or refunds: events of a kind, of the order that has the user's number."""
+    return e.where(F.col("event_type") == kind).select(
+        F.col("user_id").alias("order_id"), "user_id", F.col("value").alias(amount),
+        F.unix_millis("ts").alias("event_time"))
+
+
+# ---- minute statistics
+
+
+def _order_minute(t: Tables) -> DataFrame:
+    out = jobs.order_window({"order_detail": order_lines(events(t))})
+    return run_available(t.spark, out["order_stats"], "order-minute")
+
+
+@query
+def stream_order_minute(t: Tables) -> DataFrame:
+    return _order_minute(t)
+
+
+def _paid(t: Tables) -> DataFrame:
+    rows = jobs.paid_lines({"payment": bills(events(t), "signup", "total_amount"),
+                            "order_detail": order_lines(events(t))})
+    return run_available(t.spark, rows, "paid-lines")
+
+
+def _refunded(t: Tables) -> DataFrame:
+    rows = jobs.refunded_lines({"refund": bills(events(t), "error", "refund_amount"),
+                                "order_detail": order_lines(events(t))})
+    return run_available(t.spark, rows, "refunded-lines")
+
+
+@query
+def stream_payment_join(t: Tables) -> DataFrame:
+    """Payments joined to order lines as streams; the minute statistics are taken over the stored pairs."""
+    return payment_stats(_paid(t))
+
+
+@query
+def stream_refund_join(t: Tables) -> DataFrame:
+    return refund_stats(_refunded(t))
+
+
+@query
+def stream_payment_minute(t: Tables) -> DataFrame:
+    """Join and window in one stream; windows the watermark has not passed are still open. Their number depends on
+    the watermark alone, so only windows that end a day before the last event are kept."""
+    out = jobs.payment_window({"payment": bills(events(t), "signup", "total_amount"),
+                               "order_detail": order_lines(events(t))})
+    rows = run_available(t.spark, out["payment_stats"], "payment-minute")
+    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+
+
+def _log_parts(t: Tables) -> dict[str, DataFrame]:
+    """Outputs of the log bus, written once per kind by one stream."""
+    root = work_dir(t.spark, "log-bus")
+
+    def write(kind: str, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/{kind}/batch={batch_id}")
+
+    texts = log_texts(events(t))
+    run_available(t.spark, texts, "log-bus", sink=fan_out(lambda b: jobs.log_bus({"log": b}), write))
+    return {k: t.spark.read.parquet(f"{root}/{k}") for k in ("err", "start", "display", "action", "page", "dirty")}
+
+
+@query
+def stream_log_bus(t: Tables) -> DataFrame:
+    """Records per output and first-visit flag."""
+    parts = _log_parts(t)
+    flag = {k: F.col("common.is_new") if "common" in df.columns else F.lit("-") for k, df in parts.items()}
+    return union_all([df.select(F.lit(k).alias("kind"), flag[k].alias("is_new")) for k, df in parts.items()]).groupBy(
+        "kind", "is_new").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _again(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """A stored result as the source of the next stream, as between the layers of a deployment."""
+    path = work_dir(t.spark, name)
+    df.write.parquet(path)
+    return t.spark.readStream.schema(df.schema).parquet(path)
+
+
+def _action_minute(t: Tables, mode: str = "stream") -> DataFrame:
+    parts = _log_parts(t)
+    if mode == "batch":
+        return jobs.action_window(parts)["action_stats"]
+    streams = {k: _again(t, parts[k].drop("batch"), k) for k in ("display", "action")}
+    return run_available(t.spark, jobs.action_window(streams)["action_stats"], "action-minute")
+
+
+@query
+def stream_action_minute(t: Tables) -> DataFrame:
+    """Windows of the whole log; the stream has closed all but the last ones."""
+    rows = _action_minute(t)
+    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+
+
+@query
+def stream_visit_minute(t: Tables) -> DataFrame:
+    parts = _log_parts(t)
+    streams = {k: _again(t, parts[k].drop("batch"), k) for k in ("page", "start")}
+    rows = run_available(t.spark, jobs.visit_window(streams)["visit_stats"], "visit-minute")
+    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+
+
+# ---- daily totals: update mode, written over by (dt, key)
+
+
+def _daily(t: Tables, frames: jobs.Frames, name: str, keys: list[str]) -> DataFrame:
+    path = work_dir(t.spark, f"{name}-table")
+    totals = frames[name].withColumn("__v", F.lit(1))
+    run_available(t.spark, totals, name, mode="update", sink=snapshot_writer(["dt", *keys], ["__v"], path))
+    return read_snapshot(t.spark, path).drop("__v")
+
+
+def _minute_streams(t: Tables) -> jobs.Frames:
+    orders = jobs.order_window({"order_detail": order_lines(t.event_rows())})["order_stats"]
+    return {"order_stats": _again(t, orders, "orders"),
+            "payment_stats": _again(t, payment_stats(_paid(t)), "payments"),
+            "refund_stats": _again(t, refund_stats(_refunded(t)), "refunds")}
+
+
+@query
+def stream_trade_daily(t: Tables) -> DataFrame:
+    return _daily(t, jobs.trade_sku_daily(_minute_streams(t)), "ads_trade_sku_day", ["sku_id"])
+
+
+@query
+def stream_overview_daily(t: Tables) -> DataFrame:
+    return _daily(t, jobs.trade_overview_daily(_minute_streams(t)), "ads_trade_overview_day", [])
+
+
+@query
+def stream_funnel_daily(t: Tables) -> DataFrame:
+    actions = _action_minute(t, "batch").withColumn("sku_id", F.col("sku_id").cast("bigint"))
+    orders = jobs.order_window({"order_detail": order_lines(t.event_rows())})["order_stats"]
+    streams = {"action_stats": _again(t, actions, "actions"), "order_stats": _again(t, orders, "orders"),
+               "payment_stats": _again(t, payment_stats(_paid(t)), "payments")}
+    return _daily(t, jobs.funnel_daily(streams), "ads_marketing_funnel_day", ["sku_id"])
+
+
+@query
+def stream_action_daily(t: Tables) -> DataFrame:
+    streams = {"action_stats": _again(t, _action_minute(t, "batch"), "actions")}
+    return _daily(t, jobs.action_sku_daily(streams), "ads_user_action_sku_day", ["sku_id"])
+
+
+@query
+def stream_visit_daily(t: Tables) -> DataFrame:
+    parts = _log_parts(t)
+    streams = {"visit_stats": _again(t, jobs.visit_window(parts)["visit_stats"], "visits")}
+    return _daily(t, jobs.visit_daily(streams), "ads_user_visit_day", [])
+
+
+# ---- buses and dimensions
+
+
+@query
+def stream_db_router(t: Tables) -> DataFrame:
+    """Fact streams of the change bus, each written by the same micro-batch."""
+    root = work_dir(t.spark, "router")
+
+    def write(name: str, rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
+
+    texts = order_changes(t.stream("orders"))
+    run_available(t.spark, texts, "router", sink=fan_out(lambda b: jobs.db_router({"cdc": b}), write))
+    routed = [
+        cdc.typed_payload(t.spark.read.parquet(f"{root}/{n}"), "id bigint", keep=["op", "event_time"]).withColumn(
+            "stream", F.lit(n)) for n in cdc.FACT_STREAMS.values()]
+    return union_all(routed)
+
+
+@query
+def stream_dim_bus(t: Tables) -> DataFrame:
+    """Dimension rows routed by configuration and merged by key."""
+    path = work_dir(t.spark, "dims")
+
+    def config() -> DataFrame:
+        return t.spark.range(1).select(
+            F.lit("customer").alias("source_table"), F.lit("dim_customer").alias("sink_table"),
+            F.lit("c_custkey").alias("sink_row_key"))
+
+    run_available(t.spark, customer_changes(t.stream("customer")), "dim-bus", sink=jobs.dim_bus_sink(config, path))
+    return read_snapshot(t.spark, path)
+
+
+@query
+def stream_ods_bootstrap(t: Tables) -> DataFrame:
+    """Raw and extracted changes with their topics."""
+    out = jobs.ods_bootstrap({"cdc": ods_changes(t.stream("orders"))})
+    raw = run_available(t.spark, out["raw"].select("topic"), "raw")
+    after = run_available(t.spark, out["after"].select("topic"), "after")
+    return union_all([raw, after]).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_dwd_base(t: Tables) -> DataFrame:
+    after = jobs.ods_bootstrap({"cdc": ods_changes(t.stream("orders"))})["after"].drop("topic")
+    rows = run_available(t.spark, jobs.dwd_base({"ods": after})["dwd"], "dwd")
+    return rows.groupBy("topic", "dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def stream_user_dim(t: Tables) -> DataFrame:
+    """User columns merged one by one under salted keys."""
+    path = work_dir(t.spark, "users")
+    after = cdc.extract_after(cdc.parse_envelope(ods_changes(t.stream("orders")))).where(
+        F.col("__table") == "ods_user_info")
+    run_available(t.spark, after, "user-dim", sink=jobs.user_dim_sink(path))
+    return read_snapshot(t.spark, path)
+
+
+def _comments(t: Tables) -> DataFrame:
+    e = events(t)
+    order_id, ms = F.col("k") % 5 + 1, F.unix_millis("ts")
+    comment = F.struct(
+        F.col("event_id").alias("id"), "user_id", F.col("k").alias("sku_id"), (F.col("k") % 7).alias("spu_id"),
+        order_id.alias("order_id"), tag("120", F.col("k") % 4 + 1).alias("appraise"),
+        F.concat(F.lit("nice,"), "event_type", F.lit(","), tag("w", F.col("k") % 10)).alias("comment_txt"),
+        ms.alias("create_time"))
+    order = F.struct(order_id.alias("id"), "user_id", tag("C", "user_id").alias("consignee"))
+    text = F.when(F.col("event_type") == "view", envelope(F.lit("comment_info"), F.lit("c"), comment, ms)).when(
+        F.col("event_type") == "purchase", envelope(F.lit("order_info"), F.lit("u"), order, ms))
+    dictionary = t.region.where("r_regionkey < 3").select(
+        F.concat(F.lit("120"), (F.col("r_regionkey") + 1).cast("string")).alias("dic_code"),
+        F.col("r_name").alias("dic_name"))
+    streams = {"cdc": e.select(text.alias("value")).where(F.col("value").isNotNull())}
+    out = jobs.comment_bus(streams, dictionary, "id bigint, user_id bigint, consignee string")
+    return run_available(t.spark, out["comments"], "comments")
+
+
+@query
+def stream_comment_join(t: Tables) -> DataFrame:
+    return _comments(t)
+
+
+@query
+def stream_moderation(t: Tables) -> DataFrame:
+    """Joined comments checked against a word list."""
+    words = t.region.select(tag("w", "r_regionkey").alias("word"))
+    return jobs.moderation({"comments": _comments(t)}, words)["checked"]
+
+
+# ---- keyed state
+
+
+@query
+def stream_dedup(t: Tables) -> DataFrame:
+    """Every event twice, kept once."""
+    e = events(t).withWatermark("ts", "2 days")
+    twice = e.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return run_available(t.spark, dedup_exact(twice, ["event_id"]), "dedup").select("event_id", "user_id", "ts")
+
+
+@query
+def stream_keep_newest(t: Tables) -> DataFrame:
+    """Newest event of each user; a bounded run is a single batch, so each user passes once."""
+    use_rocksdb(t.spark)
+    rows = events(t).select("user_id", "event_id", F.unix_micros("ts").alias("at"))
+    path = work_dir(t.spark, "newest")
+    newest = keep_newest(rows, ["user_id"], "at", ttl_ms=None, salt=2)
+    run_available(t.spark, newest, "newest", mode="update", sink=snapshot_writer(["user_id"], ["at"], path))
+    return read_snapshot(t.spark, path)
+
+
+@query
+def stream_is_new(t: Tables) -> DataFrame:
+    """First-visit flag with the first day of every device kept between batches."""
+    rows = events(t).select("event_id", tag("m", "user_id").alias("mid"), F.unix_millis("ts").alias("ts"))
+    days, out = work_dir(t.spark, "first-days"), work_dir(t.spark, "is-new")
+
+    def write(marked: DataFrame, batch_id: int) -> None:
+        marked.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    run_available(t.spark, rows, "is-new", sink=jobs.first_visit_sink(days, write))
+    return t.spark.read.parquet(out).drop("batch")
+
+
+@query
+def stream_dedup_bloom(t: Tables) -> DataFrame:
+    """Duplicate filter with a Bloom filter; at this rate a false positive is not to be expected."""
+    use_rocksdb(t.spark)
+    e = events(t).select("event_id", "user_id", F.concat_ws("_", "user_id", F.unix_millis("ts")).alias("key"))
+    twice = e.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return run_available(t.spark, dedup_bloom(twice, "key", 1_000_000, 1e-6, buckets=8), "bloom")

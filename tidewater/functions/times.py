@@ -44,4 +44,5 @@ def add_day(df: DataFrame, ts: str, name: str = "ds", fmt: str = "yyyyMMdd") ->
 def day_range(spark: SparkSession, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Partition numbers ``yyyyMMdd`` of all days from first to last."""
     days = F.sequence(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
-    return spark.range(1).select(F.date_format(F.explode(days), "yyyyMMdd").cast("int").alias("day"))
+    each = spark.range(1).select(F.explode(days).alias("d"))
+    return each.select(F.date_format("d", "yyyyMMdd").cast("int").alias("day"))

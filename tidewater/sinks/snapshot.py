@@ -24,11 +24,13 @@ def upsert_snapshot(
     batch_id: int,
     skip_nulls: bool = False,
     deleted: Column | None = None,
+    last_batch_wins: bool = True,
 ) -> DataFrame:
     """Merge rows into the snapshot and return it.
 
-    Within a batch the newest row by ``order`` wins, and it replaces the stored row. With ``skip_nulls`` each
-    column keeps its last value that is not null. Keys whose newest row is ``deleted`` are removed.
+    Within a batch the newest row by ``order`` wins, and it replaces the stored row; with ``last_batch_wins``
+    off it replaces the stored row only if it is newer by ``order``. With ``skip_nulls`` each column keeps its
+    last value that is not null. Keys whose newest row is ``deleted`` are removed.
     """
     rest = [c for c in df.columns if c not in keys]
     new = df.withColumns({"__gone": F.lit(False) if deleted is None else deleted, "__batch": F.lit(1)})
@@ -36,7 +38,7 @@ def upsert_snapshot(
     if previous:
         old = spark.read.parquet(f"{path}/v={previous[-1]}")
         new = new.unionByName(old.withColumns({"__gone": F.lit(False), "__batch": F.lit(0)}), allowMissingColumns=True)
-    rank = F.struct("__batch", *order)
+    rank = F.struct("__batch", *order) if last_batch_wins else F.struct(*order, "__batch")
     if skip_nulls:
         value = [F.max(F.when(F.col(c).isNotNull(), F.struct(rank, F.col(c).alias("v"))))["v"].alias(c) for c in rest]
     else:

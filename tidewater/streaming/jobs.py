@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import add_day, money
 from tidewater.operators import cdc, logs
+from tidewater.operators.joins import attach
 from tidewater.sinks.snapshot import upsert_snapshot
 from tidewater.streaming.times import interval_join, with_event_time
 from tidewater.streaming.windows import (
@@ -64,6 +65,27 @@ def log_bus(streams: Frames) -> Frames:
     return {**logs.split_log(fixed), "dirty": dirty}
 
 
+def first_visit_sink(
+    path: str, write: Callable[[DataFrame, int], None], device: str = "mid", ts: str = "ts", out: str = "is_new"
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch sink that keeps the first day of every device and hands rows with their first-visit flag on.
+
+    Only one reduced row per device and batch is merged into the stored first days; the rows themselves meet it in
+    a join, which AQE splits for a device with very many rows.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        day = F.to_date(F.timestamp_millis(F.col(ts)))
+        first = batch.groupBy(device).agg(F.min(day).alias("first_day"))
+        order = first.withColumn("__early", -F.datediff("first_day", F.lit("1970-01-01").cast("date")))
+        known = upsert_snapshot(batch.sparkSession, order, [device], ["__early"], path, batch_id,
+                                last_batch_wins=False)
+        marked = attach(batch, known, {device: device}, {"__first": "first_day"})
+        write(marked.withColumn(out, F.when(day == F.col("__first"), "1").otherwise("0")).drop("__first"), batch_id)
+
+    return sink
+
+
 def db_router(streams: Frames) -> Frames:
     return cdc.route_by_table(cdc.normalize_cdc(cdc.parse_envelope(streams["cdc"])))
 

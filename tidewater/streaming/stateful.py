@@ -28,7 +28,7 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def _salted(df: DataFrame, salt: int) -> DataFrame:
-    return df.withColumn("__salt", F.floor(F.rand() * salt).cast("int"))
+    return df.withColumn("salt_", F.floor(F.rand() * salt).cast("int"))
 
 
 def dedup_exact(df: DataFrame, keys: Sequence[str], salt: int = 8) -> DataFrame:
@@ -37,7 +37,7 @@ def dedup_exact(df: DataFrame, keys: Sequence[str], salt: int = 8) -> DataFrame:
     if not df.isStreaming:
         return df.dropDuplicates(list(keys))
     if salt > 1:
-        df = _salted(df, salt).dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+        df = _salted(df, salt).dropDuplicatesWithinWatermark([*keys, "salt_"]).drop("salt_")
     return df.dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -79,42 +79,10 @@ def keep_newest(df: DataFrame, keys: Sequence[str], ts: str, ttl_ms: int | None
         return frame.groupBy(*by).transformWithStateInPandas(_Newest(ts, ttl_ms), frame.schema, "update", mode)
 
     if salt > 1:
-        df = newest(_salted(df, salt), [*keys, "__salt"]).drop("__salt")
+        df = newest(_salted(df, salt), [*keys, "salt_"]).drop("salt_")
     return newest(df, keys)
 
 
-class _FirstDay(StatefulProcessor):
-    """Remembers the first day of a device and flags its rows."""
-
-    def __init__(self, day: str, out: str, ttl_ms: int | None):
-        self.day, self.out, self.ttl_ms = day, out, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "day int", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows, timerValues):
-        known = self.first.get()[0] if self.first.exists() else None
-        for part in rows:
-            lowest = int(part[self.day].min())
-            if known is None or lowest < known:
-                known = lowest
-                self.first.update((known,))
-            yield part.assign(**{self.out: np.where(part[self.day] == known, "1", "0")}).drop(columns=self.day)
-
-    def close(self) -> None:
-        pass
-
-
-def fix_is_new_stream(logs: DataFrame, device: str = "mid", ts: str = "ts", out: str = "is_new",
-                      ttl_ms: int | None = None) -> DataFrame:
-    """Streaming form of the first-visit flag; ``ttl_ms`` forgets devices that stayed away."""
-    days = F.datediff(F.to_date(F.timestamp_millis(F.col(ts))), F.lit("1970-01-01").cast("date"))
-    dated = logs.drop(out).withColumn("__day", days)
-    schema = T.StructType([f for f in dated.schema if f.name != "__day"]).add(out, "string")
-    mode = "none" if ttl_ms is None else "processingTime"
-    return dated.groupBy(device).transformWithStateInPandas(_FirstDay("__day", out, ttl_ms), schema, "append", mode)
-
-
 class _SnapshotEnd(StatefulProcessor):
     """Reports once when a table's initial snapshot is complete: at its first change, or after a quiet time."""
 
@@ -179,15 +147,15 @@ class _Bloom(StatefulProcessor):
         else:
             words = np.zeros((self.bits + 7) // 8, dtype=np.uint8)
         for part in rows:
-            part = part.drop_duplicates(["__h1", "__h2"])
-            h1 = part["__h1"].to_numpy().astype(np.uint64)
-            h2 = part["__h2"].to_numpy().astype(np.uint64) | np.uint64(1)
+            part = part.drop_duplicates(["h1_", "h2_"])
+            h1 = part["h1_"].to_numpy().astype(np.uint64)
+            h2 = part["h2_"].to_numpy().astype(np.uint64) | np.uint64(1)
             steps = np.arange(1, self.hashes + 1, dtype=np.uint64)
             at = (h1[:, None] + h2[:, None] * steps[None, :]) % np.uint64(self.bits)
             byte, bit = (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
             known = ((words[byte] >> bit) & 1).all(axis=1)
             np.bitwise_or.at(words, byte, np.left_shift(np.uint8(1), bit))
-            yield part[~known].drop(columns=["__h1", "__h2", "__bucket"])
+            yield part[~known].drop(columns=["h1_", "h2_", "bucket_"])
         self.filter.update((words.tobytes(),))
 
     def close(self) -> None:
@@ -201,6 +169,6 @@ def dedup_bloom(df: DataFrame, key: str, expected: int, fpp: float, buckets: int
     bits = max(8, math.ceil(-per_bucket * math.log(fpp) / math.log(2) ** 2))
     hashes = max(1, round(bits / per_bucket * math.log(2)))
     hashed = df.withColumns({
-        "__h1": F.xxhash64(F.col(key)), "__h2": F.xxhash64(F.col(key), F.lit(1)),
-        "__bucket": F.pmod(F.hash(F.col(key)), F.lit(buckets))})
-    return hashed.groupBy("__bucket").transformWithStateInPandas(_Bloom(bits, hashes), df.schema, "append", "none")
+        "h1_": F.xxhash64(F.col(key)), "h2_": F.xxhash64(F.col(key), F.lit(1)),
+        "bucket_": F.pmod(F.hash(F.col(key)), F.lit(buckets))})
+    return hashed.groupBy("bucket_").transformWithStateInPandas(_Bloom(bits, hashes), df.schema, "append", "none")

@@ -54,7 +54,7 @@ def interval_join(
     named = right.select(*[F.col(c).alias(f"{prefix}{c}") for c in right.columns])
     r_key, r_ts = f"{prefix}{right_key}", f"{prefix}{right_ts}"
     seconds = F.unix_seconds(F.col(r_ts))
-    sliced = named.withColumn("__rs", F.explode(F.sequence(slice_of(seconds - upper - 1), slice_of(seconds - lower))))
+    sliced = named.withColumn("__rs", F.explode(F.sequence(slice_of(seconds - upper), slice_of(seconds - lower))))
     anchored = left.withColumn("__ls", slice_of(F.unix_seconds(F.col(left_ts))))
     bounds = (
         (F.col(r_ts) >= F.col(left_ts) + F.expr(f"INTERVAL {lower} SECONDS"))
