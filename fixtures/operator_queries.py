@@ -137,9 +137,7 @@ def dirty_split(t: Tables) -> DataFrame:
 @query
 def log_split(t: Tables) -> DataFrame:
     """Records of each kind by day."""
-    parts = logs.split_log(_logs(t)[0])
-    rows = union_all([df.select(F.lit(kind).alias("kind"), "ts") for kind, df in parts.items()])
-    return fn.add_day(rows, "ts").groupBy("kind", "ds").agg(F.count(F.lit(1)).alias("n"))
+    return fn.add_day(logs.log_kinds(_logs(t)[0]), "ts").groupBy("kind", "ds").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query

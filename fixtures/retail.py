@@ -21,10 +21,10 @@ def phone(key: str):
 def retail_tables(t: Tables) -> dict:
     lines, orders, events = t.lineitem, t.orders, t.event_rows()
     detail_id = (big("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")
-    price = money(F.col("l_extendedprice"))
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
 
     def share(c: str):
-        return F.nullif(price * F.col(c).cast("decimal(4,2)"), F.lit(0).cast("decimal(23,4)"))
+        return F.nullif(price * F.col(c).cast("decimal(4,2)"), F.lit(0).cast("decimal(17,4)"))
 
     def order_detail() -> DataFrame:
         return lines.select(

@@ -51,6 +51,18 @@ def split_log(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def log_kinds(logs: DataFrame) -> DataFrame:
+    """One row per output of :func:`split_log`, by kind and time: the same split as a single pass, for counting."""
+    def kind(name: str, times: Column) -> Column:
+        return F.array_repeat(F.lit(name), F.coalesce(times, F.lit(0)).cast("int"))
+
+    started = F.col("start").isNotNull()
+    page = F.concat(kind("display", F.size("displays")), kind("action", F.size("actions")), kind("page", F.lit(1)))
+    kinds = F.concat(kind("err", F.col("err").isNotNull().cast("int")),
+                     F.when(started, kind("start", F.lit(1))).otherwise(page))
+    return logs.select("ts", F.explode(kinds).alias("kind"))
+
+
 def visitor(df: DataFrame) -> Column:
     """Account or device of a record, wherever the record keeps it."""
     top = [F.col(c) for c in ("uid", "mid") if c in df.columns]

@@ -462,12 +462,16 @@ def _one_and_n(one: DataFrame, nd: DataFrame) -> DataFrame:
 
 
 def _summed(wh: Warehouse, dt: str, one: str, nd: str, keys: list[str], sums: dict[str, str]) -> DataFrame:
-    both = _one_and_n(wh.run(one, dt).drop("dt"), wh.run(nd, dt))
+    """Sums per key for 1, 7 and 30 days. A stored n-day table is read next to the day's rows; otherwise all three
+    windows come from one pass over the daily table."""
+    if not wh.stored(nd):
+        return n_day_rows(wh.table(one), dt, [1, *DAYS], keys, sums)
+    both = _one_and_n(wh.at(one, dt).drop("dt"), wh.at(nd, dt))
     return one_day(both, ["recent_days", *keys], sums)
 
 
 def _trips_1d_by_org(wh: Warehouse, dt: str) -> DataFrame:
-    return one_day(wh.run("dws_trans_org_truck_model_type_trans_finish_1d", dt), ["org_id", "org_name"],
+    return one_day(wh.at("dws_trans_org_truck_model_type_trans_finish_1d", dt), ["org_id", "org_name"],
                    _same(*TRIP))
 
 
@@ -475,7 +479,7 @@ def _orders_and_trips(wh: Warehouse, dt: str, keys: list[str], trips_1d: DataFra
     """Orders next to trips for each key and window; a key may be in only one of the two."""
     orders = _summed(wh, dt, "dws_trade_org_cargo_type_order_1d", "dws_trade_org_cargo_type_order_nd", keys,
                      _same("order_count", "order_amount"))
-    trips_nd = wh.run("dws_trans_shift_trans_finish_nd", dt).select("recent_days", *keys, *TRIP)
+    trips_nd = wh.at("dws_trans_shift_trans_finish_nd", dt).select("recent_days", *keys, *TRIP)
     trips = one_day(_one_and_n(trips_1d.select(*keys, *TRIP), trips_nd), ["recent_days", *keys], _same(*TRIP))
     merged = metric_merge([orders, trips], ["recent_days", *keys], ["order_count", "order_amount", *TRIP])
     return _report(_trip_means(merged), dt)
@@ -497,7 +501,7 @@ def ads_org_stats(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("logistics", "dws_trans_shift_trans_finish_nd")
 def ads_driver_stats(wh: Warehouse, dt: str) -> DataFrame:
-    trips = wh.run("dws_trans_shift_trans_finish_nd", dt)
+    trips = wh.at("dws_trans_shift_trans_finish_nd", dt)
     split = driver_split(trips, ["trans_finish_distance", "trans_finish_dur_sec"],
                          ["trans_finish_count", "trans_finish_delay_count"], ["recent_days"])
     per_driver = one_day(split, ["recent_days", "driver_emp_id", "driver_name"],
@@ -547,7 +551,7 @@ def ads_express_stats(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("logistics", "dws_trans_shift_trans_finish_nd")
 def ads_line_stats(wh: Warehouse, dt: str) -> DataFrame:
-    return _report(one_day(wh.run("dws_trans_shift_trans_finish_nd", dt), ["recent_days", "line_id", "line_name"],
+    return _report(one_day(wh.at("dws_trans_shift_trans_finish_nd", dt), ["recent_days", "line_id", "line_name"],
                            _same(*TRIP, "trans_finish_order_count")), dt)
 
 
@@ -565,7 +569,7 @@ def ads_order_stats(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("logistics", "dws_trans_shift_trans_finish_nd")
 def ads_shift_stats(wh: Warehouse, dt: str) -> DataFrame:
-    return _report(wh.run("dws_trans_shift_trans_finish_nd", dt).select(
+    return _report(wh.at("dws_trans_shift_trans_finish_nd", dt).select(
         "recent_days", "shift_id", *TRIP, "trans_finish_order_count"), dt)
 
 
@@ -585,19 +589,19 @@ def ads_trans_order_stats(wh: Warehouse, dt: str) -> DataFrame:
 def ads_trans_order_stats_td(wh: Warehouse, dt: str) -> DataFrame:
     """Waybills under way: dispatched less finished."""
     return _report(signed_balance(
-        wh.run("dws_trans_dispatch_td", dt), wh.run("dws_trans_bound_finish_td", dt), [],
+        wh.at("dws_trans_dispatch_td", dt), wh.at("dws_trans_bound_finish_td", dt), [],
         {"bounding_order_count": "order_count", "bounding_order_amount": "order_amount"}), dt)
 
 
 @job("logistics", "dws_trans_org_truck_model_type_trans_finish_1d", "dws_trans_shift_trans_finish_nd")
 def ads_trans_stats(wh: Warehouse, dt: str) -> DataFrame:
-    one = wh.run("dws_trans_org_truck_model_type_trans_finish_1d", dt).select(*TRIP)
-    nd = wh.run("dws_trans_shift_trans_finish_nd", dt).select("recent_days", *TRIP)
+    one = wh.at("dws_trans_org_truck_model_type_trans_finish_1d", dt).select(*TRIP)
+    nd = wh.at("dws_trans_shift_trans_finish_nd", dt).select("recent_days", *TRIP)
     return _report(one_day(_one_and_n(one, nd), ["recent_days"], _same(*TRIP)), dt)
 
 
 @job("logistics", "dws_trans_shift_trans_finish_nd")
 def ads_truck_stats(wh: Warehouse, dt: str) -> DataFrame:
     return _report(_trip_means(one_day(
-        wh.run("dws_trans_shift_trans_finish_nd", dt),
+        wh.at("dws_trans_shift_trans_finish_nd", dt),
         ["recent_days", "truck_model_type", "truck_model_type_name"], _same(*TRIP))), dt)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,9 +71,31 @@ def _report(df: DataFrame, dt: str) -> DataFrame:
 # ---- dimensions
 
 
+def _sku_names(wh: Warehouse, dt: str | None) -> DataFrame:
+    """Skus with category path and brand."""
+    sku = wh.scan("ods_sku_info", dt).select(
+        "id", "price", "sku_name", "sku_desc", "weight", F.col("is_sale").cast("boolean").alias("is_sale"),
+        "spu_id", "category3_id", "tm_id", "create_time")
+    return flatten_star(sku, [
+        (wh.scan("ods_base_category3", dt), {"category3_id": "id"},
+         {"category3_name": "name", "category2_id": "category2_id"}),
+        (wh.scan("ods_base_category2", dt), {"category2_id": "id"},
+         {"category2_name": "name", "category1_id": "category1_id"}),
+        (wh.scan("ods_base_category1", dt), {"category1_id": "id"}, {"category1_name": "name"}),
+        (wh.scan("ods_base_trademark", dt), {"tm_id": "id"}, {"tm_name": "tm_name"}),
+    ])
+
+
+def _sku(wh: Warehouse, dt: str | None) -> DataFrame:
+    """The stored sku dimension; without one, only the part the roll-ups need, not the attribute arrays."""
+    return wh.scan("dim_sku_full", dt) if wh.stored("dim_sku_full") else _sku_names(wh, dt)
+
+
 @job("retail", "ods_sku_info", "ods_spu_info", "ods_base_category3", "ods_base_category2", "ods_base_category1",
      "ods_base_trademark", "ods_sku_attr_value", "ods_sku_sale_attr_value")
 def dim_sku_full(wh: Warehouse, dt: str | None) -> DataFrame:
+    """Skus with product, category path, brand and the arrays of their attributes."""
+
     def text(c: str) -> Column:
         return F.col(c).cast("string")
 
@@ -83,17 +107,8 @@ def dim_sku_full(wh: Warehouse, dt: str | None) -> DataFrame:
         wh.scan("ods_sku_sale_attr_value", dt), "sku_id",
         {"sale_attr_id": text("sale_attr_id"), "sale_attr_value_id": text("sale_attr_value_id"),
          "sale_attr_name": "sale_attr_name", "sale_attr_value_name": "sale_attr_value_name"}, "sale_attrs")
-    sku = wh.scan("ods_sku_info", dt).select(
-        "id", "price", "sku_name", "sku_desc", "weight", F.col("is_sale").cast("boolean").alias("is_sale"),
-        "spu_id", "category3_id", "tm_id", "create_time")
-    star = flatten_star(sku, [
+    star = flatten_star(_sku_names(wh, dt), [
         (wh.scan("ods_spu_info", dt), {"spu_id": "id"}, {"spu_name": "spu_name"}),
-        (wh.scan("ods_base_category3", dt), {"category3_id": "id"},
-         {"category3_name": "name", "category2_id": "category2_id"}),
-        (wh.scan("ods_base_category2", dt), {"category2_id": "id"},
-         {"category2_name": "name", "category1_id": "category1_id"}),
-        (wh.scan("ods_base_category1", dt), {"category1_id": "id"}, {"category1_name": "name"}),
-        (wh.scan("ods_base_trademark", dt), {"tm_id": "id"}, {"tm_name": "tm_name"}),
         (attrs, {"id": "sku_id"}, {"attrs": "attrs"}),
         (sale_attrs, {"id": "sku_id"}, {"sale_attrs": "sale_attrs"}),
     ])
@@ -279,7 +294,7 @@ def dws_trade_user_sku_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     """Without a day this is the history load, with a day the daily load."""
     daily = one_day(wh.scan("dwd_trade_order_detail_inc", dt), ["dt", "user_id", "sku_id"],
                     {"order_count_1d": _rows(), **_order_measures()})
-    return attach(daily, wh.scan("dim_sku_full", dt), {"sku_id": "id"}, _same(*SKU))
+    return attach(daily, _sku(wh, dt), {"sku_id": "id"}, _same(*SKU))
 
 
 @job("retail", "dwd_trade_order_detail_inc")
@@ -320,7 +335,7 @@ def dws_tool_user_coupon_coupon_used_1d(wh: Warehouse, dt: str | None) -> DataFr
 @job("retail", "dwd_interaction_favor_add_inc", "dim_sku_full")
 def dws_interaction_sku_favor_add_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_interaction_favor_add_inc", dt), ["dt", "sku_id"], {"favor_add_count_1d": _rows()})
-    return attach(daily, wh.scan("dim_sku_full", dt), {"sku_id": "id"}, _same(*SKU))
+    return attach(daily, _sku(wh, dt), {"sku_id": "id"}, _same(*SKU))
 
 
 @job("retail", "dwd_traffic_page_view_inc")
@@ -367,8 +382,10 @@ def dws_user_user_login_td(wh: Warehouse, dt: str) -> DataFrame:
         return one_day(rows, ["user_id"], {
             "login_date_first": F.min("dt"), "login_date_last": F.max("dt"), "login_count_td": _rows()})
 
-    stored = wh._tables.get("dws_user_user_login_td@previous")
-    old = (stored() if callable(stored) else stored) if stored is not None else state(logins.where(F.col("dt") < day))
+    if wh.stored("dws_user_user_login_td"):
+        old = wh.scan("dws_user_user_login_td", str(date.fromisoformat(dt) - timedelta(days=1)))
+    else:
+        old = state(logins.where(F.col("dt") < day))
     today = state(logins.where(F.col("dt") == day))
     return incremental_to_date(old, today, "user_id", "login_date_first", "login_date_last", "login_count_td")
 
@@ -399,30 +416,28 @@ def ads_page_path(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("retail", "dws_user_user_login_td")
 def ads_user_change(wh: Warehouse, dt: str) -> DataFrame:
-    import datetime
-
-    yesterday = str(datetime.date.fromisoformat(dt) - datetime.timedelta(days=1))
-    today = wh.run("dws_user_user_login_td", dt)
-    previous = wh.run("dws_user_user_login_td", yesterday)
+    yesterday = str(date.fromisoformat(dt) - timedelta(days=1))
+    today = wh.at("dws_user_user_login_td", dt)
+    previous = wh.at("dws_user_user_login_td", yesterday)
     return _report(combine_scalars([churned(today, dt), returned(today, previous, dt)]), dt)
 
 
 @job("retail", "dws_user_user_login_td")
 def ads_user_stats(wh: Warehouse, dt: str) -> DataFrame:
-    return _report(active_users(wh.run("dws_user_user_login_td", dt), dt, [1, 7, 30]), dt)
+    return _report(active_users(wh.at("dws_user_user_login_td", dt), dt, [1, 7, 30]), dt)
 
 
 @job("retail", "dws_traffic_page_visitor_page_view_1d", "dws_trade_user_cart_add_1d", "dws_trade_user_order_1d",
      "dws_trade_user_payment_1d")
 def ads_user_action(wh: Warehouse, dt: str) -> DataFrame:
     """Users who reached the home page, a detail page, the cart, an order and a payment."""
-    pages = wh.run("dws_traffic_page_visitor_page_view_1d", dt)
+    pages = wh.at("dws_traffic_page_visitor_page_view_1d", dt)
 
     def visitors(page: str) -> Column:
         return F.count(F.when(F.col("page_id") == page, 1))
 
     def users(table: str, out: str) -> DataFrame:
-        return wh.run(table, dt).agg(_rows().alias(out))
+        return wh.at(table, dt).agg(_rows().alias(out))
 
     return _report(combine_scalars([
         pages.agg(visitors("home").alias("home_count"), visitors("good_detail").alias("good_detail_count")),
@@ -441,7 +456,7 @@ def ads_order_continuously_user_count(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("retail", "dws_trade_user_sku_order_nd")
 def ads_repeat_purchase_by_tm(wh: Warehouse, dt: str) -> DataFrame:
-    rate = repeat_rate(wh.run("dws_trade_user_sku_order_nd", dt), "user_id", BRAND, "order_count_30d",
+    rate = repeat_rate(wh.at("dws_trade_user_sku_order_nd", dt), "user_id", BRAND, "order_count_30d",
                        "order_repeat_rate")
     return _report(rate.select(F.lit(30).alias("recent_days"), "*"), dt)
 
@@ -466,14 +481,14 @@ def ads_order_stats_by_cate(wh: Warehouse, dt: str) -> DataFrame:
 @job("retail", "dwd_trade_cart_full", "dim_sku_full")
 def ads_sku_cart_num_top3_by_cate(wh: Warehouse, dt: str) -> DataFrame:
     cart = one_day(wh.scan("dwd_trade_cart_full", dt), ["sku_id"], {"cart_num": "sku_num"})
-    named = attach(cart, wh.scan("dim_sku_full", dt), {"sku_id": "id"}, _same("sku_name", *CATEGORY))
+    named = attach(cart, _sku(wh, dt), {"sku_id": "id"}, _same("sku_name", *CATEGORY))
     top = top_k(named, ["category1_id", "category2_id", "category3_id"], [F.col("cart_num").desc()], 3)
     return _report(top.select(*CATEGORY, "sku_id", "sku_name", "cart_num", "rk"), dt)
 
 
 @job("retail", "dws_interaction_sku_favor_add_1d")
 def ads_sku_favor_count_top3_by_tm(wh: Warehouse, dt: str) -> DataFrame:
-    favor = wh.run("dws_interaction_sku_favor_add_1d", dt)
+    favor = wh.at("dws_interaction_sku_favor_add_1d", dt)
     top = top_k(favor, ["tm_id"], [F.col("favor_add_count_1d").desc()], 3)
     return _report(top.select(*BRAND, "sku_id", "sku_name", "favor_add_count_1d", "rk"), dt)
 
@@ -489,8 +504,8 @@ def ads_order_to_pay_interval_avg(wh: Warehouse, dt: str) -> DataFrame:
 @job("retail", "dws_trade_province_order_1d", "dws_trade_province_order_nd")
 def ads_order_by_province(wh: Warehouse, dt: str) -> DataFrame:
     keys = ["province_id", *PROVINCE]
-    one = wh.run("dws_trade_province_order_1d", dt).select(
+    one = wh.at("dws_trade_province_order_1d", dt).select(
         F.lit(1).alias("recent_days"), *keys, F.col("order_count_1d").alias("order_count"),
         F.col("order_total_amount_1d").alias("order_total_amount"))
-    nd = unpivot_days(wh.run("dws_trade_province_order_nd", dt), [7, 30], ["order_count", "order_total_amount"], keys)
+    nd = unpivot_days(wh.at("dws_trade_province_order_nd", dt), [7, 30], ["order_count", "order_total_amount"], keys)
     return _report(union_distinct([one, nd.select(*one.columns)]), dt)

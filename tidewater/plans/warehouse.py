@@ -13,6 +13,8 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.sinks.writers import overwrite_partition
+
 Job = Callable[["Warehouse", "str | None"], DataFrame]
 Table = "DataFrame | Callable[[], DataFrame]"
 
@@ -34,8 +36,13 @@ def job(domain: str, *inputs: str) -> Callable[[Job], Job]:
 class Warehouse:
     def __init__(self, domain: str, tables: Mapping[str, Table]):
         self.domain = domain
+        self._given = set(tables)
         self._tables = dict(tables)
 
+    def stored(self, name: str) -> bool:
+        """The table was given, so no job has to compute it."""
+        return name in self._given
+
     def table(self, name: str) -> DataFrame:
         """All days of a table."""
         found = self._tables.get(name)
@@ -57,15 +64,20 @@ class Warehouse:
         return df
 
     def run(self, name: str, dt: str | None = None) -> DataFrame:
+        """The plan of a job, whether or not its table is stored."""
         return JOBS[self.domain, name](self, dt)
 
+    def at(self, name: str, dt: str) -> DataFrame:
+        """One day of a table: read where it is stored, else computed by its job for that day."""
+        return self.scan(name, dt) if self.stored(name) else self.run(name, dt)
+
     def build_order(self, names: Iterable[str]) -> list[str]:
         """The jobs needed for ``names``, inputs first; tables that are given need no job."""
         graph: dict[str, set[str]] = {}
         todo = list(names)
         while todo:
             name = todo.pop()
-            if name in graph or (name in self._tables and name not in names):
+            if name in graph or self.stored(name):
                 continue
             wanted = INPUTS.get((self.domain, name))
             if wanted is None:
@@ -75,6 +87,22 @@ class Warehouse:
         return [n for n in TopologicalSorter(graph).static_order() if n in graph]
 
 
+def materialize(
+    spark: SparkSession, warehouse: Warehouse, root: str, names: Iterable[str], dt: str
+) -> Warehouse:
+    """Run the jobs behind ``names`` for one day, inputs first, and store each result under ``root/<name>``.
+
+    Facts and one-day tables are stored with all their days, so that n-day jobs find their history; every other
+    table is stored under the run day. Returns a warehouse that reads the stored tables.
+    """
+    for name in warehouse.build_order(names):
+        history = name.startswith("dwd_") or name.endswith("_1d")
+        result = warehouse.run(name, None if history else dt)
+        overwrite_partition(result, f"{root}/{name}", None if "dt" in result.columns else dt)
+        warehouse = Warehouse(warehouse.domain, {**warehouse._tables, **path_tables(spark, root, [name])})
+    return warehouse
+
+
 def path_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:
     """Stored Parquet tables ``root/<name>``, partitioned by ``dt`` where the table has days."""
     return {n: (lambda n=n: spark.read.parquet(f"{root.rstrip('/')}/{n}")) for n in names}
