@@ -88,16 +88,19 @@ class Warehouse:
 
 
 def materialize(
-    spark: SparkSession, warehouse: Warehouse, root: str, names: Iterable[str], dt: str
+    spark: SparkSession, warehouse: Warehouse, root: str, names: Iterable[str], dt: str, days: int = 1
 ) -> Warehouse:
     """Run the jobs behind ``names`` for one day, inputs first, and store each result under ``root/<name>``.
 
-    Facts and one-day tables are stored with all their days, so that n-day jobs find their history; every other
-    table is stored under the run day. Returns a warehouse that reads the stored tables.
+    A daily run stores one day of every table. The first run of a warehouse takes ``days`` = 30, so that n-day jobs
+    find their history in the facts and one-day tables. Returns a warehouse that reads the stored tables.
     """
     for name in warehouse.build_order(names):
         history = name.startswith("dwd_") or name.endswith("_1d")
         result = warehouse.run(name, None if history else dt)
+        if history:
+            last = F.lit(dt).cast("date")
+            result = result.where((F.col("dt") > F.date_sub(last, days)) & (F.col("dt") <= last))
         overwrite_partition(result, f"{root}/{name}", None if "dt" in result.columns else dt)
         warehouse = Warehouse(warehouse.domain, {**warehouse._tables, **path_tables(spark, root, [name])})
     return warehouse

@@ -78,7 +78,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
     parsed = T.StructType.fromDDL(schema) if isinstance(schema, str) else T.StructType(list(schema.fields))
     if "_corrupt_record" not in parsed.fieldNames():
         parsed = parsed.add("_corrupt_record", "string")
-    return spark.read.schema(parsed).option("mode", "PERMISSIVE").json(path)
+    return parse_json(spark.read.text(path), parsed)
 
 
 # Layout of a device record.
