@@ -50,7 +50,7 @@ def test_entry(spark):
 @pytest.mark.parametrize("build, names, day", [
     (retail, ["ads_order_stats_by_tm", "ads_order_by_province", "ads_repeat_purchase_by_tm"], ORDER_DAY),
     (retail, ["ads_traffic_stats_by_channel", "ads_sku_favor_count_top3_by_tm"], EVENT_DAY),
-    (logistics, ["ads_express_city_stats", "ads_org_stats", "ads_trans_order_stats", "ads_shift_stats"], "2001-06-15"),
+    (logistics, ["ads_express_city_stats", "ads_shift_stats"], "2001-06-15"),
 ])
 def test_stored_layers_give_the_same_reports(spark, build, names, day):
     tables = Tables(spark, SF)

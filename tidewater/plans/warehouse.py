@@ -13,6 +13,7 @@ from graphlib import TopologicalSorter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.operators.dims import OPEN_END
 from tidewater.sinks.writers import overwrite_partition
 
 Job = Callable[["Warehouse", "str | None"], DataFrame]
@@ -100,7 +101,8 @@ def materialize(
         result = warehouse.run(name, None if history else dt)
         if history:
             last = F.lit(dt).cast("date")
-            result = result.where((F.col("dt") > F.date_sub(last, days)) & (F.col("dt") <= last))
+            still_open = F.col("dt") == F.lit(OPEN_END).cast("date")
+            result = result.where((F.col("dt") > F.date_sub(last, days)) & ((F.col("dt") <= last) | still_open))
         overwrite_partition(result, f"{root}/{name}", None if "dt" in result.columns else dt)
         warehouse = Warehouse(warehouse.domain, {**warehouse._tables, **path_tables(spark, root, [name])})
     return warehouse

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -47,8 +48,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidewater-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@functools.cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidewater-")

@@ -83,6 +83,23 @@ def keep_newest(df: DataFrame, keys: Sequence[str], ts: str, ttl_ms: int | None
     return newest(df, keys)
 
 
+class _PhaseCounts(StatefulProcessor):
+    """Reduces the rows of a key in one micro-batch to a single row; keeps nothing."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        initial = changed = 0
+        for part in rows:
+            first = int((part["phase"] == "snapshot").sum())
+            initial, changed = initial + first, changed + len(part) - first
+        yield pd.DataFrame({"table": [key[0]], "initial": [initial], "changed": [changed]})
+
+    def close(self) -> None:
+        pass
+
+
 class _SnapshotEnd(StatefulProcessor):
     """Reports once when a table's initial snapshot is complete: at its first change, or after a quiet time."""
 
@@ -94,11 +111,9 @@ class _SnapshotEnd(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         count, done, timer = self.state.get() if self.state.exists() else (0, False, 0)
-        changed = False
+        changed = 0
         for part in rows:
-            initial = (part["phase"] == "snapshot").sum()
-            count += int(initial)
-            changed = changed or initial < len(part)
+            count, changed = count + int(part["initial"].sum()), changed + int(part["changed"].sum())
         if timer:
             self.handle.deleteTimer(timer)
             timer = 0
@@ -124,11 +139,14 @@ class _SnapshotEnd(StatefulProcessor):
         pass
 
 
-def snapshot_completion(phased: DataFrame, table: str = "table") -> DataFrame:
+def snapshot_completion(phased: DataFrame, table: str = "table", salt: int = 8) -> DataFrame:
     """One row per table when its snapshot phase ends. The phase of each row is a plain column (see
-    ``operators.cdc.with_phase``); only this event needs state, so only two narrow columns travel here."""
-    narrow = phased.select(F.col(table).alias("table"), "phase")
-    return narrow.groupBy("table").transformWithStateInPandas(
+    ``operators.cdc.with_phase``); only this event needs state. Two narrow columns travel, first to (table, salt),
+    where a micro-batch shrinks to one row each, then to the table."""
+    narrow = _salted(phased.select(F.col(table).alias("table"), "phase"), salt)
+    counts = narrow.groupBy("table", "salt_").transformWithStateInPandas(
+        _PhaseCounts(), "table string, initial long, changed long", "update", "processingTime")
+    return counts.groupBy("table").transformWithStateInPandas(
         _SnapshotEnd(), "table string, snapshot_rows long, reason string", "update", "processingTime")
 
 
