@@ -45,3 +45,12 @@ def visitor_id(uid: Column, mid: Column, *fallbacks: Column) -> Column:
 def last_token(c: Column, separator: str = ",") -> Column:
     """Part after the last separator that is not followed by empty parts only."""
     return F.element_at(F.split(F.regexp_replace(c, f"[{separator}]+$", ""), separator), -1)
+
+
+def parsed_once(parsed: Column) -> Column:
+    """Keep a costly expression from being repeated.
+
+    A filter on its result would otherwise be pushed below it as a copy, one per field that is tested. Rows that
+    come out of a generator are filtered afterwards; the one-element array gives exactly one row each.
+    """
+    return F.explode_outer(F.array(parsed))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.functions import add_day, is_blank, salted_key
+from tidewater.functions import add_day, is_blank, parsed_once, salted_key
 from tidewater.operators.joins import attach
 
 # Layout of a change envelope; the payload is kept as text by column name.
@@ -47,7 +47,7 @@ DWD_TABLES = ("user_info", "order_info", "order_detail", "pay_detail", "refund_i
 def parse_envelope(df: DataFrame, column: str = "value") -> DataFrame:
     """Envelope fields from JSON text, also when the envelope is wrapped in ``payload``. The text stays in
     ``value``; a text that is not an envelope gives nulls."""
-    parsed = df.select(F.col(column).alias("value"), F.from_json(column, ENVELOPE).alias("e"))
+    parsed = df.select(F.col(column).alias("value"), parsed_once(F.from_json(column, ENVELOPE)).alias("e"))
     wrapped = F.col("e.after").isNull() & F.col("e.op").isNull()
 
     def field(name: str) -> Column:

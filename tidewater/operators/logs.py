@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions import visitor_id
+from tidewater.functions import parsed_once, visitor_id
 from tidewater.operators.joins import attach
 
 # Layout of a log record.
@@ -33,7 +33,7 @@ ACTION_METRIC = {
 
 def split_dirty(df: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """Typed records, and the texts that are not JSON objects."""
-    parsed = df.select(F.col(column).alias("value"), F.from_json(column, LOG).alias("log"))
+    parsed = df.select(F.col(column).alias("value"), parsed_once(F.from_json(column, LOG)).alias("log"))
     bad = F.col("log").isNull() | F.col("log._corrupt_record").isNotNull()
     return parsed.where(~bad).select("log.*").drop("_corrupt_record"), parsed.where(bad).select("value")
 
