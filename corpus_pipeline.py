@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality_rules, sharding
+from tidewater.llm import decontaminate, jaccard, mixing, quality_rules, sharding
 from tidewater.llm.common import stored, table
 
 
@@ -17,6 +17,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.judge(docs).where("kept").select(*docs.columns)
 
 
+def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five words, a similarity of 0.8 or more."""
+    return jaccard.representatives(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a document taken several times is there several times."""
     return mixing.apply_mix(docs)
@@ -27,7 +37,8 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return sharding.assign(docs)
 
 
-STAGES = [("quality", quality_stage), ("mixing", mixing_stage), ("sharding", sharding_stage)]
+STAGES = [("quality", quality_stage), ("duplicates", duplicates_stage), ("decontamination", decontamination_stage),
+          ("mixing", mixing_stage), ("sharding", sharding_stage)]
 
 #: Near duplicates and decontamination go beyond SQL over whole tables; tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -20,22 +20,17 @@ MOST_SHINGLES = 2_000_000
 EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the words in order, null for a text too short for a shingle."""
-    h = F.transform(words(F.lower(text)), lambda x: F.xxhash64(x))
-    return F.when(F.size(h) >= SHINGLE, h)
-
-
-def rolled(hashes: str) -> Column:
-    """Shingle hashes by position."""
-    at = lambda i, k: F.get(hashes, i + k)
-    return F.transform(F.sequence(F.lit(0), F.size(hashes) - SHINGLE),
-                       lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2), at(i, 3), at(i, 4)))
-
-
 def with_shingles(df: DataFrame) -> DataFrame:
-    """The rows with a text of at least one shingle, plus ``sh``: its shingle hashes by position."""
-    return df.withColumn("hashes", word_hashes(F.col("text"))).where("hashes is not null").withColumn("sh", rolled("hashes")).drop("hashes")
+    """The rows plus ``sh``: the hashes of their word shingles by position, null for a text with fewer words.
+
+    No filter stands on a computed array, here or where it is exploded: Spark would push the filter below the
+    projection and compute the array again for each element.
+    """
+    at = lambda i, k: F.get("hashes", i + k)
+    rolled = F.transform(F.sequence(F.lit(0), F.size("hashes") - SHINGLE),
+                         lambda i: F.xxhash64(at(i, 0), at(i, 1), at(i, 2), at(i, 3), at(i, 4)))
+    return (df.withColumn("hashes", F.transform(words(F.lower("text")), lambda x: F.xxhash64(x)))
+            .withColumn("sh", F.when(F.size("hashes") >= SHINGLE, rolled)).drop("hashes"))
 
 
 def simhash(sh: str) -> Column:
@@ -73,7 +68,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
     one; rows without doc_id are left out; empty tables give no rows.
     """
     bench = stored(with_shingles(benchmark.select("item_id", "text").where("item_id is not null")).dropDuplicates(["item_id"]).select(
-        "item_id", "sh").withColumn("length", F.size("sh")).withColumn("fingerprint", simhash("sh")), "bench-items")
+        "item_id", "sh").withColumn("length", F.size("sh")).withColumn("fingerprint", simhash("sh")), "bench-items").where("sh is not null")
     items = bench.select("item_id", "length", F.posexplode("sh").alias("at", "shingle"))
     n_items, n_shingles = bench.count(), items.count()
     fits = lambda df: small(df, n_shingles, MOST_SHINGLES)
@@ -82,12 +77,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
     places = items.select("shingle", "at", "length").distinct()
 
     rows = with_shingles(docs.select("doc_id", "text").where("doc_id is not null"))
-    hits = (rows.select("doc_id", F.posexplode("sh").alias("pos", "shingle")).join(fits(places), "shingle")
+    hits = (rows.select("doc_id", F.posexplode_outer("sh").alias("pos", "shingle")).join(fits(places), "shingle")
             .select("doc_id", "length", (F.col("pos") - F.col("at")).alias("start")).where("start >= 0").distinct())
     hits = stored(hits, "bench-windows")
     wanted = hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("wanted"))
     found = (docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]))
-    cut = (with_shingles(found).select("doc_id", F.explode(F.transform("wanted", lambda x: F.struct(
+    cut = (with_shingles(found).select("doc_id", F.explode_outer(F.transform("wanted", lambda x: F.struct(
         x["start"].alias("start"), x["length"].alias("length"),
         F.slice("sh", x["start"] + 1, x["length"]).alias("window")))).alias("x")).select("doc_id", "x.*")
         .where(F.size("window") == F.col("length")))

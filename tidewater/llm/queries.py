@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, quality_rules, sharding
+from tidewater.llm import (
+    decontaminate,
+    jaccard,
+    mixing,
+    quality_rules,
+    sharding,
+)
 from tidewater.llm.common import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -29,8 +39,13 @@ def op6_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op4_source_mix, op6_ring_shards)}
+    return {f.__name__: f for f in (
+        op1_decontaminate, op2_quality_rules, op4_source_mix, op6_ring_shards, op10_jaccard_join)}
 
 
 def llm_sql() -> dict[str, str]:
