@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from tidewater.llm import (
     decontaminate,
+    html_text,
     jaccard,
+    licenses,
     mixing,
     quality_rules,
+    rule_classifier,
     sharding,
+    token_counts,
+    transcripts,
 )
 from tidewater.llm.common import table
 
@@ -43,9 +48,32 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
+def op8_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rule_classifier.score(docs, rule_classifier.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = transcripts.raw_lines(table(spark, sf_dir, "conversations"))
+    return transcripts.parse(lines, transcripts.train(lines))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_decontaminate, op2_quality_rules, op4_source_mix, op6_ring_shards, op10_jaccard_join)}
+        op1_decontaminate, op2_quality_rules, op3_license_scan, op4_source_mix, op5_html_text, op6_ring_shards,
+        op7_token_counts, op8_rule_classifier, op9_chat_format, op10_jaccard_join)}
 
 
 def llm_sql() -> dict[str, str]:
