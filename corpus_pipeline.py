@@ -14,7 +14,7 @@ from tidewater.llm.common import stored, table
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; the references come from the rows of this stage."""
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    return quality_rules.passed(docs)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,9 +15,9 @@ COMMON = {
     "es": "de la que el en y a los se del las por".split(),
 }
 VOCABULARY = sorted({w for ws in COMMON.values() for w in ws})
-#: Character classes, each as the pattern of what does not belong to it.
-CLASSES = {"lower": r"[^\p{Ll}]+", "upper": r"[^\p{Lu}]+", "digit": r"[^0-9]+", "space": r"[^\x20\x09-\x0D]+",
-           "stop": r"[^.,;:?'\-()]+", "symbol": r"[^#*$%&|<>!@^~_=+{}\[\]\\/]+"}
+#: Character classes. A text is cut down class by class, so most passes see only what is left.
+CLASSES = {"lower": r"\p{Ll}+", "space": r"[\x20\x09-\x0D]+", "upper": r"\p{Lu}+", "digit": "[0-9]+", "stop": r"[.,;:?'\-()]+",
+           "symbol": r"[#*$%&|<>!@^~_=+{}\[\]\\/]+"}
 #: Shorter texts are not judged by a histogram.
 MIN_CHARS, MIN_COMMON = 200, 40
 MAX_CLASS, MAX_WORD = 0.19, 0.65
@@ -45,10 +45,10 @@ def with_counts(docs: DataFrame) -> DataFrame:
               F.transform("again", lambda x, i: F.when(i > 0, F.least(F.lit(5), x - get("again", F.greatest(i - 1, F.lit(0)))))
                           .otherwise(0)), F.lit(0), lambda a, x: a + x)).otherwise(0).cast("long"))
           .withColumn("lines", lines)
-          .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
-          .withColumn("word_chars", F.length(F.regexp_replace(text, GAP, "")).cast("long"))
-          .withColumn("n_symbols", F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long")))
-    return with_histograms(df.drop("h", "windows", "twice", "sorted", "again", "lines"))
+          .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")))
+    counted = with_histograms(df.drop("h", "windows", "twice", "sorted", "again", "lines"))
+    return (counted.withColumn("word_chars", F.col("n_chars_all") - F.col("class_counts")[1])
+            .withColumn("n_symbols", F.length(F.regexp_replace("visible", r"[^#*$%&|<>]+", "")).cast("long")).drop("visible"))
 
 
 def occurrences(words_: str, word: str) -> Column:
@@ -58,13 +58,15 @@ def occurrences(words_: str, word: str) -> Column:
 def with_histograms(df: DataFrame) -> DataFrame:
     """The rows plus counts of character classes and common words; ``w`` holds the words and goes."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    classes = [F.length(F.regexp_replace(text, p, "")).cast("long") for p in CLASSES.values()]
-    return (df.withColumn("class_counts", F.array(*classes)).withColumn("n_chars_all", F.length(text).cast("long"))
-            .withColumn("class_counts", F.concat("class_counts", F.array(
-                F.greatest(F.col("n_chars_all") - F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)))))
+    names, steps = list(CLASSES), df.withColumn("rest_0", text)
+    for i, pattern in enumerate(CLASSES.values()):
+        steps = steps.withColumn(f"rest_{i + 1}", F.regexp_replace(f"rest_{i}", pattern, ""))
+    long = [F.length(f"rest_{i}").cast("long") for i in range(len(names) + 1)]
+    return (steps.withColumn("class_counts", F.array(*[long[i] - long[i + 1] for i in range(len(names))], long[-1]))
+            .withColumn("n_chars_all", long[0]).withColumn("visible", F.col("rest_2"))
             .withColumn("common", F.filter(F.split(F.lower(text), GAP), lambda x: x.isin(VOCABULARY)))
             .withColumn("common", F.sort_array("common"))
-            .select(*[c for c in df.columns if c != "w"], "class_counts", "n_chars_all", F.size("common").cast("long").alias("n_common"),
+            .select(*[c for c in df.columns if c != "w"], "class_counts", "n_chars_all", "visible", F.size("common").cast("long").alias("n_common"),
                     F.array(*[occurrences("common", v) for v in VOCABULARY]).alias("word_counts")))
 
 
@@ -118,3 +120,12 @@ def judge(docs: DataFrame, fit_on: DataFrame | None = None, max_class: float = M
             .withColumn("word_distance", F.when(F.col("n_common") >= MIN_COMMON, least(near("word_counts", len(VOCABULARY)))))
             .withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("class_distance") > max_class, F.lit(False))
                         & ~F.coalesce(F.col("word_distance") > max_word, F.lit(False))))
+
+
+def passed(docs: DataFrame, **how) -> DataFrame:
+    """The kept rows with their own columns.
+
+    The row mark keeps Spark from pushing the filter below the projections, where it would compute arrays per element.
+    """
+    marked = judge(docs, **how).withColumn("row_mark", F.monotonically_increasing_id())
+    return marked.where(F.col("kept") & (F.col("row_mark") >= 0)).select(*docs.columns)
