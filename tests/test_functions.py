@@ -82,3 +82,10 @@ def test_rule_text(spark):
 def test_ratio_with_zero_denominator(spark):
     assert one(spark, fn.ratio(F.lit(1), F.lit(0))) is None
     assert one(spark, fn.ratio(F.lit(2), F.lit(3))) == Decimal("0.67")
+
+
+def test_middle_masks_use_the_merge_patterns(spark):
+    assert one(spark, fn.mask_phone(F.lit("14212345678"), "middle")) == "142****5678"
+    assert one(spark, fn.mask_phone(F.lit("14212345678"))) is None
+    assert one(spark, fn.mask_email(F.lit("a.b@x.org"), "middle")) == "***@x.org"
+    assert one(spark, fn.mask_email(F.lit("a.b@x.org"))) is None

@@ -86,6 +86,22 @@ def test_config_creates_and_drops_tables(spark):
     assert {t.name for t in spark.catalog.listTables("dims")} == {"two", "three"}
 
 
+def test_newest_configuration_change_counts(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS newest")
+    changes = spark.createDataFrame(
+        [("c", None, "gone", 1), ("d", "gone", None, 2), ("d", "back", None, 1), ("c", None, "back", 2)],
+        "op string, before_table string, after_table string, ts_ms bigint")
+    apply_dim_config(spark, changes, lambda name: "row_key string", "newest")
+    assert {t.name for t in spark.catalog.listTables("newest")} == {"back"}
+
+
+def test_empty_rerun_clears_its_day(spark):
+    path = work_dir(spark, "empty")
+    overwrite_partition(spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "dt string, n int"), path)
+    overwrite_partition(spark.createDataFrame([], "n int"), path, "2024-01-02")
+    assert [r.n for r in spark.read.parquet(path).collect()] == [1]
+
+
 def test_types_and_ddl(spark):
     assert [map_type(t) for t in ("bigint(20)", "int unsigned", "tinyint(1)", "decimal(16, 2)", "varchar(20)", "datetime",
                                   "point")] == ["bigint", "int", "tinyint", "decimal(16,2)", "string", "string", "string"]

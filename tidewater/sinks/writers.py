@@ -12,13 +12,14 @@ from tidewater.functions import fmt_day, is_blank
 
 
 def overwrite_partition(df: DataFrame, path: str, dt: str | None = None, fmt: str = "parquet") -> None:
-    """Replace the day partitions that ``df`` holds, or the one day given; other days stay.
+    """Replace the day partitions that ``df`` holds, or exactly the one day given, also by no rows; other days stay.
 
     Rows are clustered by day before writing, with AQE splitting a large day over several tasks, so a task does
     not open a file for every day.
     """
     if dt is not None:
-        df = df.withColumn("dt", F.lit(dt).cast("date"))
+        df.drop("dt").write.format(fmt).mode("overwrite").save(f"{path.rstrip('/')}/dt={dt}")
+        return
     df.hint("rebalance", "dt").write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("dt").save(path)
 
@@ -73,8 +74,9 @@ def write_jdbc(
     df: DataFrame, url: str, table: str, batch: int = 200, options: Mapping[str, str] | None = None,
     max_connections: int = 16,
 ) -> None:
-    """Append rows over JDBC in batches. ``max_connections`` bounds the tasks that write at once."""
-    df.coalesce(max_connections).write.format("jdbc").mode("append").option("url", url).option("dbtable", table) \
+    """Append rows over JDBC in batches. ``max_connections`` bounds the tasks that write at once;
+    the rows are dealt out for it, so the stage before keeps its own number of tasks."""
+    df.repartition(max_connections).write.format("jdbc").mode("append").option("url", url).option("dbtable", table) \
         .option("batchsize", batch).options(**(options or {})).save()
 
 
@@ -90,15 +92,19 @@ def write_day_buckets(df: DataFrame, ts_col: str, path: str, fmt: str = "json")
 def apply_dim_config(spark: SparkSession, changes: DataFrame, schema_of: Callable[[str], str], database: str) -> list[str]:
     """Create or drop the target tables named by configuration changes.
 
-    ``changes`` holds ``op``, ``before_table`` and ``after_table``. c and r create, d drops, u creates the new
-    name when it changed. The configuration has one row per dimension table, so its few distinct actions are
+    ``changes`` holds ``op``, ``before_table`` and ``after_table``, and ``ts_ms`` where changes of one table may follow
+    each other: the newest one counts, a drop before a create of the same time. c and r create, d drops, u creates
+    the new name. The configuration has one row per dimension table, so its few distinct actions are
     taken on the driver. Returns the statements that ran.
     """
     drop = (F.col("op") == "d") & ~is_blank(F.col("before_table"))
     action = F.when(drop, F.struct(F.lit("drop").alias("kind"), F.col("before_table").alias("name"))).when(
         F.col("op").isin("c", "r", "u") & ~is_blank(F.col("after_table")),
         F.struct(F.lit("create").alias("kind"), F.col("after_table").alias("name")))
-    todo = changes.select(action.alias("a")).where("a is not null").select("a.*").distinct()
+    when = F.col("ts_ms") if "ts_ms" in changes.columns else F.lit(0)
+    todo = (changes.select(action.alias("a"), when.alias("at")).where("a is not null").groupBy("a.name")
+            .agg(F.max(F.struct("at", (F.col("a.kind") == "create").alias("create"), "a.kind")).alias("last"))
+            .select("name", "last.kind"))
     ran = []
     for row in todo.orderBy(F.col("kind").desc(), "name").toLocalIterator():
         target = f"{database}.{row['name']}"
