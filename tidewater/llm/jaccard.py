@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import stored
+from tidewater.llm.common import small, stored
 
 U = np.uint64
 ODD = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
 #: A signature needs this many shingles; sparser projections say too little and are left out (see ``signatures``).
 LEAST = 2
 SEEDS = 3
+#: Up to so many ids of texts to verify are broadcast (16 bytes each); beyond it the texts are shuffled.
+MOST_CHOSEN = 2_000_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -132,7 +134,8 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
                    .groupBy("hub", "fp").agg((F.max("c") > 2).alias("wide")), "partenum-pairs")
     needed = pairs.select("fp").union(pairs.select("hub")).distinct()
     chosen = sets.select("fp", "doc_id").join(needed, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(chosen.select("doc_id"), "doc_id", "left_semi")
+    chosen = stored(chosen.select("doc_id"), "partenum-chosen")
+    texts = docs.select("doc_id", "text").join(small(chosen, chosen.count(), MOST_CHOSEN), "doc_id", "left_semi")
     found = stored(sets_of(texts, size, None).select("fp", "n", "found").dropDuplicates(["fp"]), "partenum-sets")
     both = (pairs.join(found.select(F.col("fp").alias("hub"), F.col("n").alias("hub_n"), F.col("found").alias("hub_set")), "hub")
             .join(found, "fp")
