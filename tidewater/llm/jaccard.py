@@ -15,10 +15,11 @@ from tidewater.llm.common import small, stored
 
 U = np.uint64
 ODD = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
-#: A signature needs this many shingles; sparser projections say too little and are left out (see ``signatures``).
+#: A signature needs this many shingles; sparser pieces say too little and are left out (see ``signatures``).
 LEAST = 2
-SEEDS = 3
-#: Up to so many ids of texts to verify are broadcast (16 bytes each); beyond it the texts are shuffled.
+#: Pieces for each one that is needed, and cuts of the domain before the prefix.
+SPARE, SEEDS = 1.1, 3
+#: Up to so many ids of texts to verify, or of sets with copies, are broadcast (16 bytes each); beyond it Spark shuffles.
 MOST_CHOSEN = 2_000_000
 
 
@@ -55,34 +56,31 @@ def bands(per: int, most: int = 1 << 40) -> list[int]:
 def signatures(s: np.ndarray, ends: list[int], per: int) -> np.ndarray:
     """The PartEnum signatures of one set, for its own size band and as the smaller partner in the next.
 
-    Two linked sets of a band differ in at most ``k`` shingles. The domain is cut into ``n1`` parts of three pieces; at
-    least ``n1 - k // 2`` parts hold at most one difference, and there two of the three pieces agree: every pair of
-    pieces is one signature. Projections below ``LEAST`` shingles are left out. A set with so many such parts that a
-    partner might meet it in these alone signs again under another cut, at last with its prefix of shingles (any two
-    linked sets share one); two sets sign alike as often as the less affected one needs, so no link is lost.
+    Two linked sets of a band differ in at most ``k`` shingles. The domain is cut into parts of two pieces, more than
+    ``k`` pieces in all, and every subset of one piece of a part is a signature: at least one piece holds no difference.
+    Pieces below ``LEAST`` shingles are left out. ``own`` bounds what this set and a partner differ in; a set with so
+    many sparse pieces that a partner might meet it in these alone signs again under another cut, at last with its prefix
+    of shingles (any two linked sets share one); two sets sign alike as often as the less affected one needs, so no link
+    is lost.
     """
     n, out = len(s), []
     if not n:
         return np.zeros(0, np.int64)
-    own = int(np.searchsorted(ends, n))
-    for band in (own, own + 1):
+    first = int(np.searchsorted(ends, n))
+    for band in (first, first + 1):
         k = (100 - per) * 2 * ends[band] // (100 + per)
         if k == 0:
             continue
-        good = k // 2 + 1
-        n1 = good + (0 if k == 1 else max(1, math.ceil(0.2 * good)))
+        own = (100 - per) * (n + min(ends[band], n * 100 // per)) // (100 + per)
+        pieces = 2 * math.ceil((k + 1) * SPARE / 2)
         for seed in range(SEEDS):
             key = U((band * 8 + seed) * 0x51ED270B27 & 0xFFFFFFFFFFFFFFFF)
-            p = mixed(s + key)
-            at = ((p % U(n1)) * U(3) + (p >> U(33)) % U(3)).astype(np.int64)
-            count = np.bincount(at, minlength=3 * n1).reshape(n1, 3)
-            low = np.bincount(at, weights=(s & U(0xFFFFFFFF)).astype(float), minlength=3 * n1).astype(U).reshape(n1, 3)
-            high = np.bincount(at, weights=(s >> U(32)).astype(float), minlength=3 * n1).astype(U).reshape(n1, 3)
-            held = count.sum(1, keepdims=True) - count
-            value = (low.sum(1, keepdims=True) - low) * ODD[0] + mixed((high.sum(1, keepdims=True) - high) * ODD[1] + key)
-            place = np.arange(3 * n1, dtype=U).reshape(n1, 3) * ODD[2]
-            out.append(mixed(mixed(value) + place)[held >= LEAST])
-            if int((held.min(1) < LEAST).sum()) < n1 - k // 2:
+            at = (mixed(s + key) % U(pieces)).astype(np.int64)
+            count = np.bincount(at, minlength=pieces)
+            low, high = (np.bincount(at, weights=x.astype(float), minlength=pieces).astype(U) for x in (s & U(0xFFFFFFFF), s >> U(32)))
+            value = low * ODD[0] + mixed(high * ODD[1] + key)
+            out.append(mixed(mixed(value) + np.arange(pieces, dtype=U) * ODD[2])[count >= LEAST])
+            if int((count < LEAST).sum()) < pieces - own:
                 break
         else:
             out.append(mixed(s[:n - (per * n + 99) // 100 + 1] * ODD[3] + U(band)))
@@ -116,6 +114,13 @@ def linked(n: str, m: str, apart, per: int):
     return apart * (100 + per) <= (F.col(n) + F.col(m)) * (100 - per)
 
 
+def one_each(sets: DataFrame) -> DataFrame:
+    """The rows of ``sets`` with one row of each group of equal sets, so that only that one is exploded."""
+    copied = stored(sets.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("fp", "first"),
+                    "partenum-copied")
+    return sets.join(small(copied, copied.count(), MOST_CHOSEN), "fp", "left").where("first is null or doc_id = first")
+
+
 def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     """Verified links (a, b) between fingerprints: enough of them to connect every pair of linked sets.
 
@@ -124,13 +129,12 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     linked sets must share part of that, so the join runs over a prefix of the differences, the rarest first.
     """
     by_signature = Window.partitionBy("sig")
-    shared = stored(sets.select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
-                    .withColumn("high", F.max("fp").over(by_signature)).where("low <> high").select("sig", "fp").distinct(), "partenum")
-    counts = shared.groupBy("sig").agg(F.count("*").alias("c"))
-    degree = shared.join(counts, "sig").groupBy("fp").agg(F.sum("c").alias("degree"))
-    ranked = shared.join(degree, "fp")
-    hubs = ranked.groupBy("sig").agg(F.max(F.struct("degree", "fp")).alias("hub"), F.count("*").alias("c"))
-    pairs = stored(shared.join(hubs.select("sig", F.col("hub.fp").alias("hub"), "c"), "sig").where("fp <> hub")
+    shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
+                    .withColumn("high", F.max("fp").over(by_signature)).withColumn("c", F.count("*").over(by_signature))
+                    .where("low <> high").select("sig", "fp", "c").distinct(), "partenum")
+    degree = shared.groupBy("fp").agg(F.sum("c").alias("degree"))
+    hubs = shared.join(degree, "fp").groupBy("sig").agg(F.max(F.struct("degree", "fp")).alias("hub"))
+    pairs = stored(shared.join(hubs.select("sig", F.col("hub.fp").alias("hub")), "sig").where("fp <> hub")
                    .groupBy("hub", "fp").agg((F.max("c") > 2).alias("wide")), "partenum-pairs")
     needed = pairs.select("fp").union(pairs.select("hub")).distinct()
     chosen = sets.select("fp", "doc_id").join(needed, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
