@@ -126,7 +126,9 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
 
     In each group of equal signatures the set that meets most others is the hub; the others are compared with it. Sets
     not linked to the hub are then compared with the other sets of its groups, through what they differ in from the hub:
-    linked sets must share part of that, so the join runs over a prefix of the differences, the rarest first.
+    linked sets must share part of that, so the join runs over a prefix of the differences, those outside the hub first.
+    Of its differences a set shares all but ``whole - 1`` with any set linked to it; if it is linked to the hub, and the
+    other one is not, at least all but ``half`` as well.
     """
     by_signature = Window.partitionBy("sig")
     shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
@@ -155,11 +157,12 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     share = (100 - per) / (100 + per)
     half = F.col("d") - F.floor(F.col("d") * ((1 - share) / 2 - 1e-6))
     whole = F.least(F.col("d"), F.floor(F.col("n") * (share * (1 + 100 / per) + 1e-6)) + 1)
-    prefix = F.when(F.col("near"), half).otherwise(F.greatest(half, whole)).cast("int")
-    rows = apart.select("hub", "fp", "near", F.explode(F.slice("diff", F.lit(1), prefix)).alias("shingle"))
-    left = rows.where("not near").select("hub", "shingle", F.col("fp").alias("a"))
-    right = rows.select("hub", "shingle", F.col("fp").alias("b"), "near")
-    more = (left.join(right, ["hub", "shingle"]).where("near and a <> b or a < b").select("hub", "a", "b").distinct())
+    prefix = F.when(F.col("near"), F.least(half, whole)).otherwise(whole).cast("int")
+    rows = apart.select("hub", "fp", "n", "near", F.explode(F.slice("diff", F.lit(1), prefix)).alias("shingle"))
+    left = rows.where("not near").select("hub", "shingle", F.col("fp").alias("a"), F.col("n").alias("m"))
+    right = rows.select("hub", "shingle", F.col("fp").alias("b"), "n", "near")
+    more = (left.join(right, ["hub", "shingle"]).where("near and a <> b or a < b")
+            .where(F.least("m", "n") * 100 >= F.greatest("m", "n") * per).select("hub", "a", "b").distinct())
     side = lambda x: apart.select("hub", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"), F.col("diff").alias(f"diff_{x}"))
     more = (more.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
             .where(linked("n_a", "n_b", F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b")), per)))
