@@ -17,6 +17,8 @@ SHINGLE = 5
 #: the expected distance is 10 of 64 bits with a deviation of 3.
 RADIUS, BLOCKS = 18, 6
 MOST_SHINGLES = 2_000_000
+#: Up to so many windows to fingerprint are broadcast to the texts (about 30 bytes each); beyond it Spark shuffles both.
+MOST_WINDOWS = 1_000_000
 EDGES = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
 
 
@@ -81,7 +83,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
             .select("doc_id", "length", (F.col("pos") - F.col("at")).alias("start")).where("start >= 0").distinct())
     hits = stored(hits, "bench-windows")
     wanted = hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("wanted"))
-    found = (docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]))
+    found = docs.select("doc_id", "text").join(small(wanted, hits.count(), MOST_WINDOWS), "doc_id").dropDuplicates(["doc_id", "text"])
     cut = (with_shingles(found).select("doc_id", F.explode_outer(F.transform("wanted", lambda x: F.struct(
         x["start"].alias("start"), x["length"].alias("length"),
         F.slice("sh", x["start"] + 1, x["length"]).alias("window")))).alias("x")).select("doc_id", "x.*")
