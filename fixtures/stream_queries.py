@@ -112,7 +112,7 @@ def _log_parts(t: Tables) -> dict[str, DataFrame]:
         rows.write.mode("overwrite").parquet(f"{root}/{kind}/batch={batch_id}")
 
     texts = log_texts(events(t))
-    run_available(t.spark, texts, "log-bus", sink=fan_out(lambda b: jobs.log_bus({"log": b}), write))
+    run_available(t.spark, texts, "log-bus", sink=jobs.log_bus_sink(work_dir(t.spark, "log-devices"), write))
     return {k: t.spark.read.parquet(f"{root}/{k}") for k in ("err", "start", "display", "action", "page", "dirty")}
 
 

@@ -9,4 +9,8 @@ def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     for part in (retail, logistics, traffic, operators, streams):
         out.update(part.sql())
+    # What is stored day by day must equal the same report over all source rows.
+    out["runner_retail_order_stats"] = out["retail_ads_order_stats_by_tm"]
+    out["runner_retail_order_to_date"] = out["retail_dws_trade_user_order_td"]
+    out["runner_retail_order_to_pay"] = out["retail_ads_order_to_pay_interval_avg"]
     return out

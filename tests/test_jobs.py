@@ -5,6 +5,7 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -15,8 +16,9 @@ from fixtures.job_queries import BEHAVIOUR  # noqa: E402
 from fixtures.logistics import logistics  # noqa: E402
 from fixtures.plain import plain  # noqa: E402
 from fixtures.retail import retail  # noqa: E402
+from fixtures.runner_queries import stored_days  # noqa: E402
 from fixtures.tables import EVENT_DAY, ORDER_DAY, Tables  # noqa: E402
-from tidewater.plans import JOBS, materialize  # noqa: E402
+from tidewater.plans import JOBS, Warehouse, materialize  # noqa: E402
 from tidewater.session import work_dir  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -65,6 +67,24 @@ def test_stored_layers_give_the_same_reports(spark, build, names, day):
         assert rows_of(got.columns, got.collect()) == rows_of(want.columns, want.collect()), name
 
 
+def test_dated_snapshot_needs_a_day(spark):
+    dim = spark.sql("SELECT 1 id, DATE'2024-01-01' dt UNION ALL SELECT 1, DATE'2024-01-02'")
+    wh = Warehouse("retail", {"dim_province_full": dim})
+    assert wh.snapshot("dim_province_full", "2024-01-02").count() == 1
+    assert Warehouse("retail", {"dim_province_full": dim}, "2024-01-01").snapshot("dim_province_full").count() == 1
+    with pytest.raises(ValueError):
+        wh.snapshot("dim_province_full")
+
+
+def test_daily_runs_rewrite_days_with_late_milestones(spark):
+    stored = stored_days(retail, Tables(spark, SF), ["dwd_trade_trade_flow_acc"], ORDER_DAY).table("dwd_trade_trade_flow_acc")
+    assert stored.count() == stored.select("order_id").distinct().count()
+    late = stored.where((F.col("payment_date_id") == F.lit(ORDER_DAY).cast("date")) & (F.col("dt") < F.col("payment_date_id")))
+    known = retail(Tables(spark, SF)).run("dwd_trade_trade_flow_acc").where(
+        (F.col("payment_date_id") == F.lit(ORDER_DAY).cast("date")) & (F.col("dt") < F.col("payment_date_id")))
+    assert late.count() == known.count()
+
+
 def test_build_order_puts_inputs_first(spark):
     order = retail(Tables(spark, SF)).build_order(["ads_order_stats_by_tm"])
     assert order.index("dwd_trade_order_detail_inc") < order.index("dws_trade_user_sku_order_1d")

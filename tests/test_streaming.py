@@ -109,6 +109,28 @@ def test_newest_passes_older_does_not(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "user_id", "ts_ms", "v") == [(1, 5, "a"), (1, 6, "new"), (2, 1, "b")]
 
 
+def test_newest_passes_every_newer_row_whatever_the_batches(spark, tmp_path, rows):
+    use_rocksdb(spark)
+    got = []
+    for n, parts in enumerate(([[(1, 1), (1, 3), (1, 5)]], [[(1, 1)], [(1, 3), (1, 1)], [(1, 5)]])):
+        stream, out = files(spark, tmp_path / f"in{n}", parts, "user_id bigint, ts_ms bigint"), work_dir(spark, "newest")
+        run_available(spark, keep_newest(stream, ["user_id"], "ts_ms", ttl_ms=None, salt=2), "newest", mode="update",
+                      sink=lambda batch, _, out=out: batch.write.mode("append").parquet(out))
+        got.append(rows(spark.read.parquet(out), "ts_ms"))
+    assert got == [[(1,), (3,), (5,)]] * 2
+
+
+def test_log_bus_knows_devices_of_earlier_batches(spark, tmp_path):
+    def page(ms):
+        return (json.dumps({"common": {"mid": "m1", "is_new": "1"}, "page": {"page_id": "home"}, "ts": ms}),)
+
+    stream, out = files(spark, tmp_path / "in", [[page(1_000)], [page(3 * 86_400_000)]], "value string"), work_dir(spark, "bus")
+    sink = jobs.log_bus_sink(work_dir(spark, "devices"), lambda k, df, n: df.write.parquet(f"{out}/{k}/{n}"))
+    run_available(spark, stream, "bus", sink=sink)
+    pages = spark.read.parquet(f"{out}/page/0", f"{out}/page/1")
+    assert sorted((r.ts, r.is_new) for r in pages.select("ts", "common.is_new").collect()) == [(1_000, "1"), (259_200_000, "0")]
+
+
 def test_bloom_filter_drops_repeats(spark, tmp_path, rows):
     use_rocksdb(spark)
     stream = files(spark, tmp_path / "in", [[("a",), ("b",), ("a",)], [("b",), ("c",)]], "key string")

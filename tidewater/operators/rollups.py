@@ -138,13 +138,15 @@ def unpivot_days(df: DataFrame, days: Sequence[int], measures: Sequence[str], ke
     return _unpivot(df, days, measures, lambda m, n: f"{m}_{n}d", keys)
 
 
-def incremental_to_date(old: DataFrame, today: DataFrame, key: str, first: str, last: str, count: str) -> DataFrame:
+def incremental_to_date(old: DataFrame, today: DataFrame, key: str, first: str, last: str,
+                        sums: str | Sequence[str]) -> DataFrame:
     """Merge yesterday's totals with today's rows (both one row per key).
 
     A union and one aggregate do the work of a full outer join: one shuffle, and equal keys meet in the combine.
     """
-    both = old.select(key, first, last, count).unionByName(today.select(key, first, last, count))
-    return both.groupBy(key).agg(F.min(first).alias(first), F.max(last).alias(last), F.sum(count).alias(count))
+    sums = [sums] if isinstance(sums, str) else list(sums)
+    both = old.select(key, first, last, *sums).unionByName(today.select(key, first, last, *sums))
+    return both.groupBy(key).agg(F.min(first).alias(first), F.max(last).alias(last), *[F.sum(s).cast(today.schema[s].dataType).alias(s) for s in sums])
 
 
 def _unpivot(df, days, measures, source, keys) -> DataFrame:

@@ -203,7 +203,7 @@ def _waybill_fact(wh: Warehouse, dt: str | None, event: str, name: str) -> DataF
     if event != "order":
         codes.append(("payment_type", "payment_type_name"))
         take.append("payment_type")
-    dic = _live(wh, "ods_base_dic").select(F.col("id").cast("string").alias("id"), "name")
+    dic = alive(wh.snapshot("ods_base_dic", dt)).select(F.col("id").cast("string").alias("id"), "name")
     fact = transaction_fact(lines, header, {"order_id": "id"}, take,
                             F.to_timestamp(F.col("__created" if by_line else "updated")), name, codes, dic)
     return fact.drop("__created", "updated")
@@ -254,7 +254,7 @@ def dwd_trade_order_process_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     """Accumulating snapshot: open until the waybill is signed or cancelled; stored by end day."""
     codes = [("cargo_type", "cargo_type_name"), ("status", "status_name"), ("collect_type", "collect_type_name"),
              ("payment_type", "payment_type_name")]
-    dic = _live(wh, "ods_base_dic").select(F.col("id").cast("string").alias("id"), "name")
+    dic = alive(wh.snapshot("ods_base_dic", dt)).select(F.col("id").cast("string").alias("id"), "name")
     header = _waybills(wh).withColumn(
         "end_date", close_interval(F.col("status").isin(SIGNED, CANCELLED), F.substring("updated", 1, 10)))
     fact = transaction_fact(_cargo(wh, None), header, {"order_id": "id"}, [*HEADER, "payment_type", "end_date"],
@@ -274,7 +274,7 @@ def dwd_trans_trans_finish_inc(wh: Warehouse, dt: str | None) -> DataFrame:
         F.timestamp_millis(start.cast("bigint")).alias("actual_start_time"),
         F.timestamp_millis(end.cast("bigint")).alias("actual_end_time"), "actual_distance",
         duration_sec(start, end).alias("finish_dur_sec"), "dt")
-    trips = attach(trips, wh.scan("dim_shift_full", dt), {"shift_id": "id"}, {"__minutes": "estimated_time"})
+    trips = attach(trips, wh.snapshot("dim_shift_full", dt), {"shift_id": "id"}, {"__minutes": "estimated_time"})
     estimate = F.timestamp_seconds(F.unix_timestamp("actual_start_time") + F.col("__minutes") * 60)
     return trips.withColumn("estimate_end_time", estimate).drop("__minutes")
 
@@ -305,13 +305,13 @@ def dwd_bound_outbound_inc(wh: Warehouse, dt: str | None) -> DataFrame:
 
 
 def _org_of_district(wh: Warehouse, df: DataFrame, district: str, dt: str | None) -> DataFrame:
-    return attach(df, wh.scan("dim_organ_full", dt), {district: "region_id"},
+    return attach(df, wh.snapshot("dim_organ_full", dt), {district: "region_id"},
                   {"org_id": "id", "org_name": "org_name", "__region": "region_id"})
 
 
 def _org_place(wh: Warehouse, df: DataFrame, dt: str | None) -> DataFrame:
     """City and province above the organisation's district."""
-    df = parent_chain(df, wh.scan("dim_region_full", dt), "__region", ["__district", "city", "province"])
+    df = parent_chain(df, wh.snapshot("dim_region_full", dt), "__region", ["__district", "city", "province"])
     return df.drop("__region", "__district_id", "__district_name")
 
 
@@ -320,11 +320,11 @@ def dws_trade_org_cargo_type_order_1d(wh: Warehouse, dt: str | None) -> DataFram
     daily = dedup_sum(wh.scan("dwd_trade_order_detail_inc", dt), "order_id",
                       ["cargo_type", "cargo_type_name", "sender_district_id", "sender_city_id", "dt"], "amount",
                       "order_count", "order_amount")
-    placed = attach(daily, wh.scan("dim_organ_full", dt), {"sender_district_id": "region_id"},
+    placed = attach(daily, wh.snapshot("dim_organ_full", dt), {"sender_district_id": "region_id"},
                     {"org_id": "id", "org_name": "org_name"}).withColumnRenamed("sender_city_id", "city_id")
     keys = ["org_id", "org_name", "city_id", "cargo_type", "cargo_type_name", "dt"]
     merged = one_day(placed, keys, {"order_count": "order_count", "order_amount": "order_amount"})
-    return attach(merged, wh.scan("dim_region_full", dt), {"city_id": "id"}, {"city_name": "name"})
+    return attach(merged, wh.snapshot("dim_region_full", dt), {"city_id": "id"}, {"city_name": "name"})
 
 
 @job("logistics", "dwd_trans_dispatch_detail_inc")
@@ -355,9 +355,9 @@ def dws_trans_org_receive_1d(wh: Warehouse, dt: str | None) -> DataFrame:
 @job("logistics", "dwd_bound_sort_inc", "dim_organ_full", "dim_region_full")
 def dws_trans_org_sort_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_bound_sort_inc", dt), ["org_id", "dt"], {"sort_count": F.count(F.lit(1))})
-    organ = wh.scan("dim_organ_full", dt)
+    organ = wh.snapshot("dim_organ_full", dt)
     named = attach(daily, organ, {"org_id": "id"}, _same("org_name"))
-    return resolve_level(named, organ, wh.scan("dim_region_full", dt))
+    return resolve_level(named, organ, wh.snapshot("dim_region_full", dt))
 
 
 @job("logistics", "dwd_trans_trans_finish_inc", "dim_truck_full")
@@ -367,7 +367,7 @@ def dws_trans_org_truck_model_type_trans_finish_1d(wh: Warehouse, dt: str | None
     per_truck = one_day(trips, ["org_id", "org_name", "truck_id", "dt"], {
         "trans_finish_count": F.count("id"), "trans_finish_distance": "actual_distance",
         "trans_finish_dur_sec": "finish_dur_sec"})
-    typed = attach(per_truck, wh.scan("dim_truck_full", dt), {"truck_id": "id"},
+    typed = attach(per_truck, wh.snapshot("dim_truck_full", dt), {"truck_id": "id"},
                    _same("truck_model_type", "truck_model_type_name"))
     return one_day(typed, ["org_id", "org_name", "truck_model_type", "truck_model_type_name", "dt"],
                    _same("trans_finish_count", "trans_finish_distance", "trans_finish_dur_sec"))
@@ -432,9 +432,9 @@ def dws_trans_shift_trans_finish_nd(wh: Warehouse, dt: str) -> DataFrame:
         "trans_finish_count": F.lit(1).cast("bigint"), "trans_finish_distance": "actual_distance",
         "trans_finish_dur_sec": "finish_dur_sec", "trans_finish_order_count": "order_num",
         "trans_finish_delay_count": late.cast("bigint")})
-    rows = resolve_level(rows, wh.scan("dim_organ_full", dt), wh.scan("dim_region_full", dt))
-    rows = attach(rows, wh.scan("dim_shift_full", dt), {"shift_id": "id"}, _same("line_name"))
-    rows = attach(rows, wh.scan("dim_truck_full", dt), {"truck_id": "id"},
+    rows = resolve_level(rows, wh.snapshot("dim_organ_full", dt), wh.snapshot("dim_region_full", dt))
+    rows = attach(rows, wh.snapshot("dim_shift_full", dt), {"shift_id": "id"}, _same("line_name"))
+    rows = attach(rows, wh.snapshot("dim_truck_full", dt), {"truck_id": "id"},
                   _same("truck_model_type", "truck_model_type_name"))
     return rows.select(
         "shift_id", "city_id", "city_name", "org_id", "org_name", "line_id", "line_name", "driver1_emp_id",
@@ -489,7 +489,7 @@ def _orders_and_trips(wh: Warehouse, dt: str, keys: list[str], trips_1d: DataFra
      "dws_trans_org_truck_model_type_trans_finish_1d", "dws_trans_shift_trans_finish_nd", "dim_organ_full",
      "dim_region_full")
 def ads_city_stats(wh: Warehouse, dt: str) -> DataFrame:
-    trips = resolve_level(_trips_1d_by_org(wh, dt), wh.scan("dim_organ_full", dt), wh.scan("dim_region_full", dt))
+    trips = resolve_level(_trips_1d_by_org(wh, dt), wh.snapshot("dim_organ_full", dt), wh.snapshot("dim_region_full", dt))
     return _orders_and_trips(wh, dt, ["city_id", "city_name"], trips)
 
 

@@ -88,7 +88,7 @@ def _sku_names(wh: Warehouse, dt: str | None) -> DataFrame:
 
 def _sku(wh: Warehouse, dt: str | None) -> DataFrame:
     """The stored sku dimension; without one, only the part the roll-ups need, not the attribute arrays."""
-    return wh.scan("dim_sku_full", dt) if wh.stored("dim_sku_full") else _sku_names(wh, dt)
+    return wh.snapshot("dim_sku_full", dt) if wh.stored("dim_sku_full") else _sku_names(wh, dt)
 
 
 @job("retail", "ods_sku_info", "ods_spu_info", "ods_base_category3", "ods_base_category2", "ods_base_category1",
@@ -125,7 +125,7 @@ def dim_coupon_full(wh: Warehouse, dt: str | None) -> DataFrame:
         "range_type_code": F.col("range_type").cast("string"),
     })
     coupon = coupon.withColumn("benefit_rule", rule_text(F.col("coupon_type_code"), "32"))
-    dic = wh.scan("ods_base_dic", dt)
+    dic = wh.snapshot("ods_base_dic", dt)
     coupon = decode(coupon, "coupon_type_code", dic, "32", "coupon_type_name")
     coupon = decode(coupon, "range_type_code", dic, "33", "range_type_name")
     columns = ["id", "coupon_name", "coupon_type_code", "coupon_type_name", "condition_amount", "condition_num",
@@ -142,7 +142,7 @@ def dim_activity_full(wh: Warehouse, dt: str | None) -> DataFrame:
     wide = attach(rule, info, {"activity_id": "id"},
                   _same("activity_name", "activity_desc", "start_time", "end_time", "create_time"))
     wide = wide.withColumn("activity_type_code", F.col("activity_type").cast("string"))
-    wide = decode(wide, "activity_type_code", wh.scan("ods_base_dic", dt), "31", "activity_type_name")
+    wide = decode(wide, "activity_type_code", wh.snapshot("ods_base_dic", dt), "31", "activity_type_name")
     wide = wide.withColumn("benefit_rule", rule_text(F.col("activity_type_code"), "31"))
     columns = ["activity_rule_id", "activity_id", "activity_name", "activity_type_code", "activity_type_name",
                "activity_desc", "start_time", "end_time", "create_time", "condition_amount", "condition_num",
@@ -231,7 +231,7 @@ def dwd_trade_pay_detail_suc_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     fact = attach(lines, payment, {"order_id": "order_id"},
                   {**_same("user_id", "payment_type", "callback_time"), "dt": "pay_dt"}, how="inner")
     fact = attach(fact, wh.scan("ods_order_info"), {"order_id": "id"}, _same("province_id"))
-    fact = decode(fact, "payment_type", wh.scan("ods_base_dic", dt), "11", "payment_type_name")
+    fact = decode(fact, "payment_type", wh.snapshot("ods_base_dic", dt), "11", "payment_type_name")
     return fact.withColumn("date_id", _day("callback_time")).select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
         "payment_type", "payment_type_name", "date_id", "callback_time", "sku_num", "split_original_amount",
@@ -245,7 +245,8 @@ def dwd_trade_cart_full(wh: Warehouse, dt: str | None) -> DataFrame:
         "id", "user_id", "sku_id", "sku_name", "sku_num", "dt")
 
 
-@job("retail", "ods_order_info", "ods_payment_info", "ods_order_status_log")
+@job("retail", "ods_order_info", "ods_payment_info", "ods_order_status_log",
+     milestones=("payment_date_id", "finish_date_id"))
 def dwd_trade_trade_flow_acc(wh: Warehouse, dt: str | None) -> DataFrame:
     """One row per order with its order, payment and finish time."""
     finished = wh.scan("ods_order_status_log").where(F.col("order_status") == "1004")
@@ -321,14 +322,14 @@ def dws_trade_province_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     measures = {k: v for k, v in _order_measures().items() if k != "order_num_1d"}
     daily = distinct_count(wh.scan("dwd_trade_order_detail_inc", dt), ["dt", "province_id"], "order_id",
                            "order_count_1d", measures)
-    return attach(daily, wh.scan("dim_province_full", dt), {"province_id": "id"}, _same(*PROVINCE))
+    return attach(daily, wh.snapshot("dim_province_full", dt), {"province_id": "id"}, _same(*PROVINCE))
 
 
 @job("retail", "dwd_tool_coupon_used_inc", "dim_coupon_full")
 def dws_tool_user_coupon_coupon_used_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_tool_coupon_used_inc", dt), ["dt", "user_id", "coupon_id"],
                     {"used_count_1d": _rows()})
-    return attach(daily, wh.scan("dim_coupon_full", dt), {"coupon_id": "id"},
+    return attach(daily, wh.snapshot("dim_coupon_full", dt), {"coupon_id": "id"},
                   _same("coupon_name", "coupon_type_code", "coupon_type_name", "benefit_rule"))
 
 
@@ -365,29 +366,33 @@ def dws_trade_province_order_nd(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("retail", "dws_trade_user_order_1d")
 def dws_trade_user_order_td(wh: Warehouse, dt: str) -> DataFrame:
-    history = wh.table("dws_trade_user_order_1d").where(F.col("dt") <= F.lit(dt).cast("date"))
-    return to_date(history, ["user_id"], {
-        "order_date_first": F.min("dt"), "order_date_last": F.max("dt"),
-        **{f"{out}_td": F.sum(src) for out, src in ORDER_SUMS.items()}})
+    """Orders to date: the table of the day before plus the day, or the whole history where there is none."""
+
+    def state(rows: DataFrame) -> DataFrame:
+        return to_date(rows, ["user_id"], {
+            "order_date_first": F.min("dt"), "order_date_last": F.max("dt"),
+            **{f"{out}_td": F.sum(src) for out, src in ORDER_SUMS.items()}})
+
+    old = wh.before("dws_trade_user_order_td")
+    if old is None:
+        return state(wh.table("dws_trade_user_order_1d").where(F.col("dt") <= F.lit(dt).cast("date")))
+    return incremental_to_date(old, state(wh.scan("dws_trade_user_order_1d", dt)), "user_id", "order_date_first",
+                               "order_date_last", [f"{out}_td" for out in ORDER_SUMS])
 
 
 @job("retail", "dwd_user_login_inc")
 def dws_user_user_login_td(wh: Warehouse, dt: str) -> DataFrame:
-    """Logins to date: yesterday's table merged with the day's logins. Where no table is stored yet, yesterday's
-    state is computed from the login history."""
-    day = F.lit(dt).cast("date")
-    logins = wh.table("dwd_user_login_inc")
+    """Logins to date: the table of the day before plus the day, or the whole history where there is none."""
 
     def state(rows: DataFrame) -> DataFrame:
         return one_day(rows, ["user_id"], {
             "login_date_first": F.min("dt"), "login_date_last": F.max("dt"), "login_count_td": _rows()})
 
-    if wh.stored("dws_user_user_login_td"):
-        old = wh.scan("dws_user_user_login_td", str(date.fromisoformat(dt) - timedelta(days=1)))
-    else:
-        old = state(logins.where(F.col("dt") < day))
-    today = state(logins.where(F.col("dt") == day))
-    return incremental_to_date(old, today, "user_id", "login_date_first", "login_date_last", "login_count_td")
+    old = wh.before("dws_user_user_login_td")
+    if old is None:
+        return state(wh.table("dwd_user_login_inc").where(F.col("dt") <= F.lit(dt).cast("date")))
+    return incremental_to_date(old, state(wh.scan("dwd_user_login_inc", dt)), "user_id", "login_date_first",
+                               "login_date_last", "login_count_td")
 
 
 # ---- reports

@@ -7,10 +7,14 @@ layer and passes :func:`path_tables`; a test passes DataFrames and lets the laye
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import date, timedelta
+from functools import reduce
 from graphlib import TopologicalSorter
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.dims import OPEN_END
@@ -21,22 +25,29 @@ Table = "DataFrame | Callable[[], DataFrame]"
 
 JOBS: dict[tuple[str, str], Job] = {}
 INPUTS: dict[tuple[str, str], tuple[str, ...]] = {}
+MILESTONES: dict[tuple[str, str], tuple[str, ...]] = {}
 
 
-def job(domain: str, *inputs: str) -> Callable[[Job], Job]:
-    """Register a job under (domain, function name) with the tables it reads."""
+def job(domain: str, *inputs: str, milestones: tuple[str, ...] = ()) -> Callable[[Job], Job]:
+    """Register a job under (domain, function name) with the tables it reads.
+
+    ``milestones`` are day columns that are filled after the day of the row; a run rewrites the days they touch.
+    """
 
     def register(fn: Job) -> Job:
         JOBS[domain, fn.__name__] = fn
         INPUTS[domain, fn.__name__] = inputs
+        MILESTONES[domain, fn.__name__] = milestones
         return fn
 
     return register
 
 
 class Warehouse:
-    def __init__(self, domain: str, tables: Mapping[str, Table]):
+    def __init__(self, domain: str, tables: Mapping[str, Table], as_of: str | None = None):
+        """``as_of`` is the day at which dated snapshots are read by jobs that run over many days."""
         self.domain = domain
+        self.as_of = as_of
         self._given = set(tables)
         self._tables = dict(tables)
 
@@ -64,6 +75,18 @@ class Warehouse:
             df = df.where(F.col("dt") == F.lit(dt).cast("date"))
         return df
 
+    def snapshot(self, name: str, dt: str | None = None) -> DataFrame:
+        """A dimension or dictionary at one day: the day given, else ``as_of``. A stored one with days needs either,
+        as each of its days holds every row."""
+        day = dt or self.as_of
+        if day is None and self.stored(name) and "dt" in self.table(name).columns:
+            raise ValueError(f"{name} holds a copy per day: give a day or a warehouse with as_of")
+        return self.scan(name, day)
+
+    def before(self, name: str) -> DataFrame | None:
+        """A to-date table as of the day before the run, where it is stored."""
+        return self.table(f"{name}@before") if self.stored(f"{name}@before") else None
+
     def run(self, name: str, dt: str | None = None) -> DataFrame:
         """The plan of a job, whether or not its table is stored."""
         return JOBS[self.domain, name](self, dt)
@@ -93,19 +116,54 @@ def materialize(
 ) -> Warehouse:
     """Run the jobs behind ``names`` for one day, inputs first, and store each result under ``root/<name>``.
 
-    A daily run stores one day of every table. The first run of a warehouse takes ``days`` = 30, so that n-day jobs
-    find their history in the facts and one-day tables. Returns a warehouse that reads the stored tables.
+    A daily run stores one day of every table, and the open and earlier days that a milestone of that day touches. The
+    first run of a warehouse takes ``days`` = 30, so that n-day jobs find their history in the facts and one-day tables.
+    Dimensions are read at the run's day. A to-date table adds the day to the table of the day before; without that, or
+    where its job keeps no state, it comes from the whole history of the sources. Repeating a run changes nothing.
+    Returns a warehouse that reads the stored tables.
     """
-    for name in warehouse.build_order(names):
+    sources = Warehouse(warehouse.domain, warehouse._tables, dt)
+    stored: dict[str, Table] = {}
+    for name in sources.build_order(names):
+        path = f"{root.rstrip('/')}/{name}"
+        layers = Warehouse(sources.domain, {**warehouse._tables, **stored}, dt)
         history = name.startswith("dwd_") or name.endswith("_1d")
-        result = warehouse.run(name, None if history else dt)
         if history:
-            last = F.lit(dt).cast("date")
-            still_open = F.col("dt") == F.lit(OPEN_END).cast("date")
-            result = result.where((F.col("dt") > F.date_sub(last, days)) & ((F.col("dt") <= last) | still_open))
-        overwrite_partition(result, f"{root}/{name}", None if "dt" in result.columns else dt)
-        warehouse = Warehouse(warehouse.domain, {**warehouse._tables, **path_tables(spark, root, [name])})
-    return warehouse
+            result = _touched(layers.run(name), MILESTONES[sources.domain, name], dt, days)
+        elif name.endswith("_td"):
+            before = _stored_day(spark, path, str(date.fromisoformat(dt) - timedelta(days=1)))
+            if before is None:
+                result = sources.run(name, dt)
+            else:
+                result = Warehouse(sources.domain, {**layers._tables, f"{name}@before": before}, dt).run(name, dt)
+        else:
+            result = layers.run(name, dt)
+        overwrite_partition(result, path, None if history else dt)
+        stored |= path_tables(spark, root, [name])
+    return Warehouse(sources.domain, {**warehouse._tables, **stored}, dt)
+
+
+def _touched(rows: DataFrame, milestones: Sequence[str], dt: str, days: int) -> DataFrame:
+    """The rows of the run's days, open rows, and all rows of days in which a row reached a milestone."""
+    last = F.lit(dt).cast("date")
+
+    def of_run(column: str) -> Column:
+        return (F.col(column) > F.date_sub(last, days)) & (F.col(column) <= last)
+
+    current = of_run("dt") | (F.col("dt") == F.lit(OPEN_END).cast("date"))
+    if not milestones:
+        return rows.where(current)
+    changed = reduce(or_, [F.coalesce(of_run(m), F.lit(False)) for m in milestones], current)
+    return rows.join(rows.where(changed).select("dt").distinct(), "dt", "left_semi").select(*rows.columns)
+
+
+def _stored_day(spark: SparkSession, path: str, dt: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}/dt={dt}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def path_tables(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str, Callable[[], DataFrame]]:

@@ -57,12 +57,42 @@ def comment_bus(streams: Frames, dictionary: DataFrame, order_schema: str, delay
 
 
 def log_bus(streams: Frames) -> Frames:
-    """Typed log outputs by kind, and the dirty texts. Run it inside ``run.fan_out``, where the batch is read once."""
+    """Typed log outputs by kind, and the dirty texts, of one bounded frame. A stream takes :func:`log_bus_sink`, which
+    knows the devices of earlier micro-batches."""
     good, dirty = logs.split_dirty(streams["log"])
-    flat = good.withColumn("mid_key", F.col("common.mid"))
-    flagged = logs.fix_is_new(flat, device="mid_key", out="__new")
+    return {**_log_parts(logs.fix_is_new(_with_device(good), device="mid_key", out="__new")), "dirty": dirty}
+
+
+def _with_device(good: DataFrame) -> DataFrame:
+    return good.withColumn("mid_key", F.col("common.mid"))
+
+
+def _log_parts(flagged: DataFrame) -> Frames:
     fixed = flagged.withColumn("common", F.col("common").withField("is_new", F.col("__new"))).drop("__new", "mid_key")
-    return {**logs.split_log(fixed), "dirty": dirty}
+    return logs.split_log(fixed)
+
+
+def log_bus_sink(
+    first_days: str, write: Callable[[str, DataFrame, int], None]
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch sink of the log bus: parses the batch once, corrects the first-visit flag by the days kept under
+    ``first_days`` and hands each output to ``write``."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        good, dirty = logs.split_dirty(batch)
+
+        def split(flagged: DataFrame, _: int) -> None:
+            flagged.persist()
+            try:
+                for name, rows in _log_parts(flagged).items():
+                    write(name, rows, batch_id)
+            finally:
+                flagged.unpersist()
+
+        first_visit_sink(first_days, split, device="mid_key", out="__new")(_with_device(good), batch_id)
+        write("dirty", dirty, batch_id)
+
+    return sink
 
 
 def first_visit_sink(

@@ -42,7 +42,7 @@ def dedup_exact(df: DataFrame, keys: Sequence[str], salt: int = 8) -> DataFrame:
 
 
 class _Newest(StatefulProcessor):
-    """Keeps the greatest time of a key; a batch yields the key's newest row if it is newer than all before."""
+    """Keeps the greatest time of a key; a row passes if it is newer than all rows before it in time order."""
 
     def __init__(self, ts: str, ttl_ms: int | None):
         self.ts, self.ttl_ms = ts, ttl_ms
@@ -51,25 +51,28 @@ class _Newest(StatefulProcessor):
         self.seen = handle.getValueState("latest", "ts long", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = None
+        before = self.seen.get()[0] if self.seen.exists() else None
+        passed: set[int] = set()
         for part in rows:
-            top = part.loc[[part[self.ts].idxmax()]]
-            if newest is None or top[self.ts].iloc[0] > newest[self.ts].iloc[0]:
-                newest = top
-        if newest is None:
-            return
-        ts = int(newest[self.ts].iloc[0])
-        if not self.seen.exists() or ts > self.seen.get()[0]:
-            self.seen.update((ts,))
-            yield newest
+            fresh = part[part[self.ts].notna()].astype({self.ts: "int64"}).drop_duplicates(self.ts)
+            if before is not None:
+                fresh = fresh[fresh[self.ts] > before]
+            fresh = fresh[~fresh[self.ts].isin(passed)]
+            passed.update(fresh[self.ts].tolist())
+            if len(fresh):
+                yield fresh
+        if passed:
+            self.seen.update((max(passed),))
 
     def close(self) -> None:
         pass
 
 
 def keep_newest(df: DataFrame, keys: Sequence[str], ts: str, ttl_ms: int | None = DAY_MS, salt: int = 8) -> DataFrame:
-    """Pass a key's newest row of each micro-batch if it is newer than everything passed before.
+    """Pass the rows of a key that are newer than every row before them, one of each time.
 
+    The rows of a micro-batch count as read in time order, so the sizes of the batches make no difference as long as
+    rows arrive in order. Rows without a time are dropped.
     ``ttl_ms`` forgets keys that stayed quiet; it needs processing time, which keeps a query running. For a
     bounded backfill that should stop by itself, pass None.
     """
