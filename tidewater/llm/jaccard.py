@@ -128,7 +128,7 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     not linked to the hub are then compared with the other sets of its groups, through what they differ in from the hub:
     linked sets must share part of that, so the join runs over a prefix of the differences, those outside the hub first.
     Of its differences a set shares all but ``whole - 1`` with any set linked to it; if it is linked to the hub, and the
-    other one is not, at least all but ``half`` as well.
+    other one is not, at least all but ``half`` as well. Sets that links to hubs connect already are not compared again.
     """
     by_signature = Window.partitionBy("sig")
     shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
@@ -148,25 +148,26 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
             .withColumn("added", F.array_except("found", "hub_set")).withColumn("gone", F.array_except("hub_set", "found"))
             .select("hub", "fp", "n", "wide", "added", "gone", linked("n", "hub_n", F.size("added") + F.size("gone"), per).alias("near")))
     both = stored(both, "partenum-verified")
-    direct = both.where("near").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-
-    open_hubs = both.where("wide and not near").select("hub").distinct()
-    apart = (both.where("wide").join(open_hubs, "hub", "left_semi")
+    direct = components(both.where("near").select(F.col("hub").alias("a"), F.col("fp").alias("b")))
+    direct = stored(direct.select(F.col("id").alias("fp"), "root"), "partenum-direct")
+    wide = both.where("wide").join(direct, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    open_hubs = wide.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("hub")
+    apart = (wide.join(open_hubs, "hub", "left_semi")
              .withColumn("diff", F.concat(F.sort_array("added"), F.sort_array("gone"))).withColumn("d", F.size("diff"))
-             .select("hub", "fp", "n", "near", "diff", "d"))
+             .select("hub", "fp", "root", "n", "near", "diff", "d"))
     share = (100 - per) / (100 + per)
     half = F.col("d") - F.floor(F.col("d") * ((1 - share) / 2 - 1e-6))
     whole = F.least(F.col("d"), F.floor(F.col("n") * (share * (1 + 100 / per) + 1e-6)) + 1)
     prefix = F.when(F.col("near"), F.least(half, whole)).otherwise(whole).cast("int")
-    rows = apart.select("hub", "fp", "n", "near", F.explode(F.slice("diff", F.lit(1), prefix)).alias("shingle"))
-    left = rows.where("not near").select("hub", "shingle", F.col("fp").alias("a"), F.col("n").alias("m"))
-    right = rows.select("hub", "shingle", F.col("fp").alias("b"), "n", "near")
-    more = (left.join(right, ["hub", "shingle"]).where("near and a <> b or a < b")
+    rows = apart.select("hub", "fp", "root", "n", "near", F.explode(F.slice("diff", F.lit(1), prefix)).alias("shingle"))
+    left = rows.where("not near").select("hub", "shingle", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("root").alias("root_a"))
+    right = rows.select("hub", "shingle", F.col("fp").alias("b"), "n", "near", F.col("root").alias("root_b"))
+    more = (left.join(right, ["hub", "shingle"]).where("(near or a < b) and root_a <> root_b")
             .where(F.least("m", "n") * 100 >= F.greatest("m", "n") * per).select("hub", "a", "b").distinct())
     side = lambda x: apart.select("hub", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"), F.col("diff").alias(f"diff_{x}"))
     more = (more.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
             .where(linked("n_a", "n_b", F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b")), per)))
-    return direct.union(more.select("a", "b")).distinct()
+    return direct.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -199,10 +200,9 @@ def join(docs: DataFrame, size: int = 4, per: int = 85) -> DataFrame:
     sets = stored(sets_of(docs, size, per), "partenum-signatures")
     firsts = sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = links(docs, sets, size, per)
-    name = lambda x: firsts.select(F.col("fp").alias(x), F.col("first").alias(f"first_{x}"))
-    edges = found.join(name("a"), "a").join(name("b"), "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
-    roots = components(edges.dropna())
-    named = firsts.join(roots, F.col("first") == F.col("id"), "left").select("fp", F.coalesce("root", "first").alias("component"))
+    roots = components(found)
+    named = firsts.join(roots, F.col("fp") == F.col("id"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    named = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "component")
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return sets.select("doc_id", "n", "fp").join(named, "fp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
