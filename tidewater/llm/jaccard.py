@@ -129,6 +129,7 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     linked sets must share part of that, so the join runs over a prefix of the differences, those outside the hub first.
     Of its differences a set shares all but ``whole - 1`` with any set linked to it; if it is linked to the hub, and the
     other one is not, at least all but ``half`` as well. Sets that links to hubs connect already are not compared again.
+    A pair is a candidate only where a common difference can be the first of enough: ``most`` counts those from it on.
     """
     by_signature = Window.partitionBy("sig")
     shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
@@ -159,11 +160,12 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     half = F.col("d") - F.floor(F.col("d") * ((1 - share) / 2 - 1e-6))
     whole = F.least(F.col("d"), F.floor(F.col("n") * (share * (1 + 100 / per) + 1e-6)) + 1)
     prefix = F.when(F.col("near"), F.least(half, whole)).otherwise(whole).cast("int")
-    rows = apart.select("hub", "fp", "root", "n", "near", F.explode(F.slice("diff", F.lit(1), prefix)).alias("shingle"))
-    left = rows.where("not near").select("hub", "shingle", F.col("fp").alias("a"), F.col("n").alias("m"), F.col("root").alias("root_a"))
-    right = rows.select("hub", "shingle", F.col("fp").alias("b"), "n", "near", F.col("root").alias("root_b"))
-    more = (left.join(right, ["hub", "shingle"]).where("(near or a < b) and root_a <> root_b")
-            .where(F.least("m", "n") * 100 >= F.greatest("m", "n") * per).select("hub", "a", "b").distinct())
+    rows = apart.select("hub", "fp", "root", "n", "near", "d", F.posexplode(F.slice("diff", F.lit(1), prefix)).alias("at", "shingle"))
+    named = lambda x, df: df.select("hub", "shingle", "near", F.col("fp").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("root", "n", "d", "at")])
+    most = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))  # common differences, if this is the first
+    more = (named("a", rows.where("not near")).drop("near").join(named("b", rows), ["hub", "shingle"])
+            .where("(near or a < b) and root_a <> root_b").where(linked("n_a", "n_b", F.col("d_a") + F.col("d_b") - 2 * most, per))
+            .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per).select("hub", "a", "b").distinct())
     side = lambda x: apart.select("hub", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"), F.col("diff").alias(f"diff_{x}"))
     more = (more.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
             .where(linked("n_a", "n_b", F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b")), per)))
