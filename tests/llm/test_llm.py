@@ -147,6 +147,19 @@ def test_leaks_against_brute_force(docs, plain, spark):
     assert decontaminate.clean(docs, bench).count() == sum(i not in {x for x, _ in got} for i, _, _ in plain)
 
 
+def test_leaks_cut_at_the_edges_of_the_text(spark):
+    item = [f"w{i}" for i in range(40)]
+    other = [f"o{i}" for i in range(60)]
+    texts = [other + item[:-1], item[1:] + other, item[:-1], item[1:], item[:38] + item[39:], item[:-1] + item[:-1], other + item + other,
+             item[:25], item[10:] + other, other, item[:5]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "a b c d e f g h")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, r.window_start) for r in decontaminate.leaks(df, bench).collect()}
+    assert {i for i, _ in got} == {0, 1, 2, 3, 4, 5, 6} and {k for _, k in got} == {1}
+    assert got[0, 1] == (round(35 / 36, 6), 60) and got[1, 1] == got[3, 1] == (round(35 / 36, 6), 0) and got[6, 1] == (1.0, 60)
+    assert got[4, 1] == (round(34 / 37, 6), 0)
+
+
 def test_mix(docs, plain):
     got = mixing.mix(docs).collect()
     sizes = Counter()

@@ -62,9 +62,11 @@ def _flip(block: int, value: Column):
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, item_id, similarity (of the best window), window_start (word) and n_windows for each leak.
 
-    Windows are as long as an item. Those that share no shingle with any item have similarity 0 and get no fingerprint;
-    every other window that places a shared shingle where an item has it is fingerprinted and looked up by its blocks
-    among all items of that length. Candidates within the radius are verified: shared shingle weight over united weight, a
+    Windows are as long as an item, cut at the edges of the text: an item may lack its first or last words there, and a
+    text may be shorter than the item. Windows that share no shingle with any item have similarity 0 and get no
+    fingerprint; every other window that places a shared shingle where an item has it is fingerprinted and looked up by
+    its blocks among all items of that length, unless it holds fewer shingles than any such item needs for the threshold
+    (its heaviest, counted exactly). Candidates within the radius are verified: shared shingle weight over united weight, a
     shingle weighing ln(1 + items / items with it), the larger for those that few items have.
     Null, empty or short texts and items (fewer than five words) match nothing; repeated rows of a document count as
     one; rows without doc_id are left out; empty tables give no rows.
@@ -76,25 +78,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
     fits = lambda df: small(df, n_shingles, MOST_SHINGLES)
     weights = (items.select("item_id", "shingle").distinct().groupBy("shingle")
                .agg(F.log(F.lit(1.0) + F.lit(float(max(n_items, 1))) / F.count("*")).alias("weight")))
-    places = items.select("shingle", "at", "length").distinct()
+    ordered = (items.select("item_id", "shingle").distinct().join(weights, "shingle").groupBy("item_id")
+               .agg(F.sort_array(F.collect_list("weight"), False).alias("heaviest"), F.sum("weight").alias("item_weight")))
+    needed = ordered.select("item_id", F.aggregate(
+        "heaviest", F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+        lambda a, w: F.struct((a["sum"] + w).alias("sum"), (a["n"] + F.when(
+            a["sum"] < F.col("item_weight") * (threshold - 1e-9), 1).otherwise(0)).alias("n")))["n"].alias("least"))
+    places = items.join(needed, "item_id").groupBy("shingle", "at", "length").agg(F.min("least").alias("least"))
 
     rows = with_shingles(docs.select("doc_id", "text").where("doc_id is not null"))
-    hits = (rows.select("doc_id", F.posexplode_outer("sh").alias("pos", "shingle")).join(fits(places), "shingle")
-            .select("doc_id", "length", (F.col("pos") - F.col("at")).alias("start")).where("start >= 0").distinct())
+    start = F.greatest(F.col("pos") - F.col("at"), F.lit(0))
+    end = F.least(F.col("pos") - F.col("at") + F.col("length"), F.col("n"))
+    hits = (rows.select("doc_id", F.size("sh").alias("n"), F.posexplode_outer("sh").alias("pos", "shingle")).join(fits(places), "shingle")
+            .select("doc_id", "length", start.alias("start"), (end - start).alias("span"), "least").where("span >= least")
+            .drop("least").distinct())
     hits = stored(hits, "bench-windows")
-    wanted = hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("wanted"))
+    wanted = hits.groupBy("doc_id").agg(F.collect_set(F.struct("start", "span", "length")).alias("wanted"))
     found = docs.select("doc_id", "text").join(small(wanted, hits.count(), MOST_WINDOWS), "doc_id").dropDuplicates(["doc_id", "text"])
     cut = (with_shingles(found).select("doc_id", F.explode_outer(F.transform("wanted", lambda x: F.struct(
-        x["start"].alias("start"), x["length"].alias("length"),
-        F.slice("sh", x["start"] + 1, x["length"]).alias("window")))).alias("x")).select("doc_id", "x.*")
-        .where(F.size("window") == F.col("length")))
+        x["start"].alias("start"), x["span"].alias("span"), x["length"].alias("length"),
+        F.slice("sh", x["start"] + 1, x["span"]).alias("window")))).alias("x")).select("doc_id", "x.*")
+        .where(F.size("window") == F.col("span")))
     cut = stored(cut.withColumn("print", simhash("window")), "bench-prints")
 
     index = fits(bench.select("item_id", "length", F.col("fingerprint"), F.explode(blocks("fingerprint", True)).alias("key")))
-    near = (cut.select("doc_id", "start", "length", "print", F.explode(blocks("print", False)).alias("key"))
+    near = (cut.select("doc_id", "start", "span", "length", "print", F.explode(blocks("print", False)).alias("key"))
             .join(index, ["length", "key"])
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint"))) <= RADIUS)
-            .select("doc_id", "start", "length", "item_id").distinct())
+            .select("doc_id", "start", "span", "length", "item_id").distinct())
     return verified(near, cut, bench, weights, fits, threshold)
 
 
@@ -106,7 +117,7 @@ def verified(near: DataFrame, cut: DataFrame, bench: DataFrame, weights: DataFra
     own = bench.select("item_id", F.array_distinct("sh").alias("sh"))
     weighed = (own.select("item_id", F.explode("sh").alias("shingle")).join(weights, "shingle")
                .groupBy("item_id").agg(F.sum("weight").alias("item_weight"), F.collect_list(F.struct("shingle", "weight")).alias("sh")))
-    pairs = (near.join(cut.select("doc_id", "start", "length", "window"), ["doc_id", "start", "length"])
+    pairs = (near.join(cut.select("doc_id", "start", "span", "length", "window"), ["doc_id", "start", "span", "length"])
              .join(fits(weighed), "item_id").withColumn("window", F.array_distinct("window")))
     common = F.filter("sh", lambda x: F.array_contains("window", x["shingle"]))
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x["weight"])
