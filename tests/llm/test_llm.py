@@ -130,6 +130,29 @@ def test_near_copies_of_one_text_without_it(spark):
     assert {r.doc_id: r.component_id for r in jaccard.join(df).collect()} == label
 
 
+def test_near_copies_of_a_text_without_doc_id(spark):
+    """The hub of all signature groups, and half of the other texts, stand on rows without doc_id only."""
+    rng, rows = np.random.default_rng(6), []
+    base = [f"w{x}" for x in rng.integers(0, 900, 150)]
+    rows += [(None, " ".join(base))] * 3
+    for i in range(24):
+        w = list(base)
+        for k in rng.choice(150, 2 + i % 3, replace=False):
+            w[k] = f"new{i // 2}-{k}"
+        rows.append((100 + i if i % 2 else None, " ".join(w)))
+    rows += [(None, "other words here stand alone"), (7, "and so do these few words")]
+    sets = [{tuple(t.split()[k:k + 4]) for k in range(len(t.split()) - 3)} for _, t in rows]
+    label = list(range(len(rows)))
+    for _ in rows:
+        for i, k in combinations(range(len(rows)), 2):
+            if 100 * len(sets[i] & sets[k]) >= 85 * len(sets[i] | sets[k]):
+                label[i] = label[k] = min(label[i], label[k])
+    least = {x: min((d for (d, _), y in zip(rows, label) if y == x and d is not None), default=None) for x in label}
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(map(tuple, got)) == Counter((d, len(s), least[x]) for (d, _), s, x in zip(rows, sets, label))
+    assert sum(r.doc_id is None and r.component_id is not None for r in got) > 3
+
+
 def test_leaks_against_brute_force(docs, plain, spark):
     bench = table(spark, "benchmark").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "a b c")], "item_id long, text string"))
     cut = lambda t: [tuple(words(t.lower())[k:k + 5]) for k in range(len(words(t)) - 4)]

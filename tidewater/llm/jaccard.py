@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import small, stored
@@ -87,13 +87,18 @@ def signatures(s: np.ndarray, ends: list[int], per: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def text_key() -> Column:
+    """A hash of doc_id and text, also where either is null: rows with an equal key are copies."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def sets_of(docs: DataFrame, size: int, per: int | None) -> DataFrame:
-    """doc_id, n and fp (64-bit fingerprint of the set) with ``found``: the signatures, or without ``per`` the shingles."""
+    """doc_id, key, n and fp (64-bit fingerprint of the set) with ``found``: the signatures, or without ``per`` the shingles."""
     ends = bands(per) if per else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts, keys = batch.column(0), batch.column(1), batch.column(2)
             for first in range(0, len(ids), 256):
                 rows = [shingle_set(t.as_py(), size) for t in texts.slice(first, 256)]
                 with np.errstate(over="ignore"):
@@ -102,11 +107,11 @@ def sets_of(docs: DataFrame, size: int, per: int | None) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                 values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, 256), pa.array([len(s) for s in rows], pa.int64()), pa.array(prints, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "n", "fp", "found"])
+                    [ids.slice(first, 256), keys.slice(first, 256), pa.array([len(s) for s in rows], pa.int64()), pa.array(prints, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "key", "n", "fp", "found"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, fp long, found array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("key")).mapInArrow(
+        run, "doc_id long, key long, n long, fp long, found array<long>")
 
 
 def linked(n: str, m: str, apart, per: int):
@@ -116,9 +121,9 @@ def linked(n: str, m: str, apart, per: int):
 
 def one_each(sets: DataFrame) -> DataFrame:
     """The rows of ``sets`` with one row of each group of equal sets, so that only that one is exploded."""
-    copied = stored(sets.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("c")).where("c > 1").select("fp", "first"),
+    copied = stored(sets.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("c")).where("c > 1").select("fp", "first"),
                     "partenum-copied")
-    return sets.join(small(copied, copied.count(), MOST_CHOSEN), "fp", "left").where("first is null or doc_id = first")
+    return sets.join(small(copied, copied.count(), MOST_CHOSEN), "fp", "left").where("first is null or row = first")
 
 
 def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
@@ -130,6 +135,7 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     Of its differences a set shares all but ``whole - 1`` with any set linked to it; if it is linked to the hub, and the
     other one is not, at least all but ``half`` as well. Sets that links to hubs connect already are not compared again.
     A pair is a candidate only where a common difference can be the first of enough: ``most`` counts those from it on.
+    Texts to verify are fetched by the key of one row of each set, a row with doc_id where there is one.
     """
     by_signature = Window.partitionBy("sig")
     shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
@@ -140,9 +146,11 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     pairs = stored(shared.join(hubs.select("sig", F.col("hub.fp").alias("hub")), "sig").where("fp <> hub")
                    .groupBy("hub", "fp").agg((F.max("c") > 2).alias("wide")), "partenum-pairs")
     needed = pairs.select("fp").union(pairs.select("hub")).distinct()
-    chosen = sets.select("fp", "doc_id").join(needed, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    chosen = stored(chosen.select("doc_id"), "partenum-chosen")
-    texts = docs.select("doc_id", "text").join(small(chosen, chosen.count(), MOST_CHOSEN), "doc_id", "left_semi")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "key"))
+    chosen = sets.select("fp", "doc_id", "key").join(needed, "fp", "left_semi").groupBy("fp").agg(first.alias("first"))
+    chosen = stored(chosen.select("first.key"), "partenum-chosen")
+    texts = (docs.select("doc_id", "text").withColumn("key", text_key())
+             .join(small(chosen, chosen.count(), MOST_CHOSEN), "key", "left_semi"))
     found = stored(sets_of(texts, size, None).select("fp", "n", "found").dropDuplicates(["fp"]), "partenum-sets")
     both = (pairs.join(found.select(F.col("fp").alias("hub"), F.col("n").alias("hub_n"), F.col("found").alias("hub_set")), "hub")
             .join(found, "fp")
@@ -198,16 +206,22 @@ def join(docs: DataFrame, size: int = 4, per: int = 85) -> DataFrame:
     copies cost one row each. Null, empty and blank texts have no shingles and stand alone; rows with equal doc_id and
     text give equal rows; a null doc_id never names a component unless all its members lack one; no rows give no rows.
     """
+    sets, named = grouped(docs, size, per)
+    named = named.select("fp", "component")
+    own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    return sets.select("doc_id", "n", "fp").join(named, "fp", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def grouped(docs: DataFrame, size: int, per: int) -> tuple[DataFrame, DataFrame]:
+    """The stored sets of the rows (doc_id, key, n, fp), and fp, root and component of every set with shingles."""
     docs = docs.select("doc_id", "text")
-    sets = stored(sets_of(docs, size, per), "partenum-signatures")
+    sets = stored(sets_of(docs, size, per).withColumn("row", F.monotonically_increasing_id()), "partenum-signatures")
     firsts = sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = links(docs, sets, size, per)
     roots = components(found)
     named = firsts.join(roots, F.col("fp") == F.col("id"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
-    named = named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "component")
-    own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return sets.select("doc_id", "n", "fp").join(named, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return sets, named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "root", "component")
 
 
 def representatives(docs: DataFrame, size: int = 5, per: int = 80) -> DataFrame:
