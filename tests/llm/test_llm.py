@@ -252,6 +252,26 @@ def test_licenses(spark):
         (1, ["MIT"], 0), (2, ["MIT"], 0), (5, ["Apache-2.0", "CC-BY-4.0"], 0), (7, [], 1), (7, [], 1)]
 
 
+@pytest.mark.parametrize("form", ["plain", "wrapped", "head", "crlf"])
+def test_every_license_sentence_and_rule(spark, form):
+    def shown(sentence):
+        w = sentence.split(" ")
+        lines = [" ".join(w[i:i + 7]) for i in range(0, len(w), 7)]
+        return {"plain": sentence, "wrapped": "\n".join(lines), "crlf": "\r\n * ".join(lines),
+                "head": "Some License\n\nCopyright (c) 2020 Somebody\n\n" + "\n".join(lines) + "\n\nand more words"}[form]
+
+    known = list(licenses.SENTENCES)
+    rows = [(i, shown(licenses.SENTENCES[k])) for i, k in enumerate(known)]
+    rules = [(name, [x.rstrip("?") for x in rule]) for name, rule in licenses.RULES]
+    rows += [(100 + i, "\n".join(shown(licenses.SENTENCES[k]) for k in rule)) for i, (_, rule) in enumerate(rules)]
+    rows.append((200, licenses.SENTENCES["mit-line"] + "\n" + shown(licenses.SENTENCES["gpl-free"]) + "\n" + licenses.SENTENCES["cc-by4-line"]))
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.sentences for i, r in got.items() if i < 100} == {i: [k] for i, k in enumerate(known)}
+    assert {i: (r.sentences, r.licenses, r.n_unmatched) for i, r in got.items() if 100 <= i < 200} == {
+        100 + i: (rule, [name], 0) for i, (name, rule) in enumerate(rules)}
+    assert got[200].licenses == ["MIT", "GPL-3.0-or-later", "CC-BY-4.0"]
+
+
 def test_token_counts(docs, plain):
     with open(token_counts.VOCABULARY, "rb") as f:
         encode, _ = token_counts.encoder(f.read())

@@ -44,33 +44,37 @@ RULES = [
 HINT = r"(?i)licen[sc]e|permission|copyright|redistribut|free software"
 
 
-def normal(sentence: Column) -> Column:
-    """Lower case, one space for anything but letters and digits, British spelling undone."""
-    plain = F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
-    return F.regexp_replace(plain, r"\blicence", "license")
+def pieces(text: Column) -> Column:
+    """The text cut at stops and at line ends, every piece between bars: lower case, one space for anything but letters
+    and digits, British spelling undone."""
+    cut = F.regexp_replace(F.lower(F.translate(text, "\x01", " ")), r"(?<=[.;:!?])\s+|\R+", "\x01")
+    cut = F.regexp_replace(F.regexp_replace(cut, r"[^\p{L}\p{N}\x01]+", " "), r" ?\x01[ \x01]*", "|")
+    return F.regexp_replace(F.concat(F.lit("|"), F.trim(cut), F.lit("|")), r"\blicence", "license")
 
 
 def plain(sentence: str) -> str:
     return " ".join("".join(c if c.isalnum() else " " for c in sentence.lower()).split()).replace("licence", "license")
 
 
-def identifiers(text: Column, ends: str) -> Column:
-    known = F.create_map(*chain.from_iterable((F.lit(plain(s)), F.lit(i)) for i, s in SENTENCES.items()))
-    found = F.transform(F.split(text, ends), lambda x: F.try_element_at(known, normal(x)))
-    return F.filter(found, lambda x: x.isNotNull())
+def identifiers(text: Column) -> Column:
+    """The known sentences in order, the longest where several begin. A sentence begins and ends with a piece and may run
+    over the ends of the pieces between: over lines, or over a stop of its own."""
+    known = {plain(s): i for i, s in SENTENCES.items()}
+    any_of = "|".join(s.replace(" ", "[ |]") for s in sorted(known, key=len, reverse=True))
+    found = F.regexp_extract_all(pieces(text), F.lit(rf"(?<=\|)(?:{any_of})(?=\|)"), F.lit(0))
+    names = F.create_map(*chain.from_iterable((F.lit(s), F.lit(i)) for s, i in known.items()))
+    return F.transform(found, lambda x: F.try_element_at(names, F.translate(x, "|", " ")))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, sentences (identifiers in order), licenses (in order, repeats included) and n_unmatched for each row with a known sentence.
 
-    Sentences end at a stop and white space or at a line end; texts whose sentences run over lines are read without line
-    ends when that finds more. Identifiers that no rule takes count as unmatched. Null, empty and other texts give no row;
+    Sentences begin and end at a stop and white space or at a line end, and may run over lines: see ``identifiers``.
+    Identifiers that no rule takes count as unmatched. Null, empty and other texts give no row;
     equal rows give equal rows. Rows are read one by one, nothing is shuffled.
     """
     text = F.col("text")
-    by_line, by_sentence = identifiers(text, r"(?<=[.;:!?])\s+|\n+"), identifiers(text, r"(?<=[.;:!?])\s+")
-    hinted = docs.select("doc_id", "text").where(text.rlike(HINT)).select("doc_id", by_line.alias("a"), by_sentence.alias("b"))
-    rows = hinted.select("doc_id", F.when(F.size("b") > F.size("a"), F.col("b")).otherwise(F.col("a")).alias("sentences"))
+    rows = docs.select("doc_id", "text").where(text.rlike(HINT)).select("doc_id", identifiers(text).alias("sentences"))
     joined = F.concat(F.lit(" "), F.array_join("sentences", "  "), F.lit(" "))
     for i, (_, rule) in enumerate(RULES):
         pattern = "".join(f"(?: {x[:-1]} )?" if x.endswith("?") else f" {x} " for x in rule)
