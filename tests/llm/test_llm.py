@@ -317,3 +317,34 @@ def test_pipeline(spark):
     assert jaccard.join(kept, 5, 80).where("doc_id <> component_id").count() == 0
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SMALL)
     assert last.count() == docs.count() and "shard" in last.columns
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """Rows with null and shared doc_ids: every row is judged by its own text."""
+    text = lambda name, *changed: " ".join(f"{name}{'x' if i in changed else ''}{i}" for i in range(20))
+    item = text("q")
+    rows = [(None, item), (1, item), (1, text("a")), (2, text("b")), (2, text("c")), (2, text("c")), (None, text("c", 19)),
+            (None, text("d")), (None, text("d")), (None, text("d", 0)), (3, text("e")), (3, text("a", 19)), (4, text("f", 19)),
+            (4, text("g")), (None, text("f")), (5, "too short"), (None, None), (6, text("q", 19)), (7, text("h") + " " + item), (7, text("i"))]
+    docs = spark.createDataFrame([(i, t, None, "a", len(t or "")) for i, t in rows], DOCS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    cut = lambda t: {tuple(words(t)[k:k + 5]) for k in range(len(words(t)) - 4)}
+    left = [(i, t) for i, t in rows if len(words(t)) >= 10]
+    label = list(range(len(left)))
+    for _ in left:
+        for a, b in combinations(range(len(left)), 2):
+            x, y = cut(left[a][1]), cut(left[b][1])
+            if 100 * len(x & y) >= 80 * len(x | y):
+                label[a] = label[b] = min(label[a], label[b])
+    groups = {}
+    for (i, t), k in zip(left, label):
+        groups.setdefault(k, []).append((i is None, i or 0, t))
+    near = lambda t: max(len(w & cut(item)) / len(w | cut(item)) for w in (
+        cut(" ".join(words(t)[k:k + 20])) for k in range(max(len(words(t)) - 19, 1))))
+    want = [(None if bare else i, sorted(t for b, j, t in g if (b, j) == (bare, i))) for g in groups.values() for bare, i, _ in [min(g)]]
+    want = [(i, ts) for i, ts in want if near(ts[0]) < 0.8]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert len(got) == len(want)
+    for i, ts in want:
+        assert sum(j == i and t in ts for j, t in got) == 1

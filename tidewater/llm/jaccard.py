@@ -225,10 +225,22 @@ def grouped(docs: DataFrame, size: int, per: int) -> tuple[DataFrame, DataFrame]
 
 
 def representatives(docs: DataFrame, size: int = 5, per: int = 80) -> DataFrame:
-    """The documents with one of each group of near duplicates: the row whose doc_id names the component.
+    """The documents with one of each group of near duplicates: a row with the smallest doc_id, null last.
 
-    Rows that share that doc_id are copies of one document; one of them stays. Rows without doc_id stay.
+    Rows are told apart by ``text_key``, not by doc_id: texts that share a doc_id or lack one are judged on their own.
+    Rows with equal doc_id and text are copies of one document; one of them stays. Rows without shingles are near
+    nothing; of those with equal doc_id and text one stays, those without doc_id stay all.
     """
-    others = join(docs, size, per).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    sets, named = grouped(docs, size, per)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "key"))
+    firsts = sets.where("n > 0").groupBy("fp").agg(order.alias("first")).join(named.select("fp", "root"), "fp")
+    chosen = stored(firsts.groupBy("root").agg(F.min("first").alias("first")).select("first.key"), "partenum-kept")
+    keys = sets.groupBy("key").agg(F.max("n").alias("n"), F.count("*").alias("c"), F.max("doc_id").alias("doc_id"))
+    keys = keys.join(chosen.withColumn("stays", F.lit(True)), "key", "left")
+    told = F.when((F.col("n") > 0) & F.col("stays").isNull(), "other").when(
+        (F.col("c") > 1) & ((F.col("n") > 0) | F.col("doc_id").isNotNull()), "again")
+    told = stored(keys.select("key", told.alias("told")).where("told is not null"), "partenum-told")
+    rows = (docs.withColumn("key", text_key()).join(small(told, told.count(), MOST_CHOSEN), "key", "left")
+            .where("told is null or told <> 'other'"))
+    copies = rows.where("told = 'again'").groupBy("key").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return rows.where("told is null").select(*docs.columns).union(copies)
