@@ -211,6 +211,19 @@ def test_mix(docs, plain):
     assert sum(r.copies for r in got) == mixing.apply_mix(docs).count()
 
 
+def test_mix_of_rows_without_or_with_one_doc_id(spark):
+    text = lambda i: " ".join(f"w{i}-{k}" for k in range(10))
+    rows = [(None, text(i), None, "a", 1) for i in range(90)] + [(5, text(0), None, "b", 1)] * 60 + [(6, text(i), None, "b", 1) for i in range(30)]
+    rows += [(7, text(3), "en", None, 1)] * 100 + [(i, text(i), None, "d", 1) for i in range(200, 400)]
+    df = spark.createDataFrame(rows, DOCS).repartition(5)
+    got, mixed = mixing.mix(df).collect(), Counter(r.source for r in mixing.apply_mix(df).collect())
+    assert len(got) == len(rows)
+    for s in ("a", "b", "d", None):
+        some = [r for r in got if r.source == s]
+        assert 0 <= some[0].target - sum(r.taken for r in some) < 10 and sum(r.copies for r in some) == mixed[s]
+    assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix(df.repartition(3)).collect()))
+
+
 def test_shards(docs):
     rows = sharding.assign(docs, 16).collect()
     counts = Counter(r.shard for r in rows)
