@@ -48,7 +48,7 @@ def plain(docs):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in llm_queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in llm_queries()} == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (
+    byte_bpe,
     decontaminate,
+    hard_negatives,
     html_text,
     jaccard,
     licenses,
     mixing,
     quality_rules,
+    repair,
     rule_classifier,
     sharding,
     token_counts,
@@ -70,10 +73,38 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.parse(lines, transcripts.train(lines))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(conversations))
+    every = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    for part in (found.conversations, repair.digests(found.turns)):
+        part = part.withColumnRenamed("conv_id", "key")
+        every = every.join(part, every["conv_id"].eqNullSafe(part["key"]), "left").drop("key")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.select("conv_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(vectors.select("vec_id", moved.alias("label"), "embedding"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_quality_rules, op3_license_scan, op4_source_mix, op5_html_text, op6_ring_shards,
-        op7_token_counts, op8_rule_classifier, op9_chat_format, op10_jaccard_join)}
+        op7_token_counts, op8_rule_classifier, op9_chat_format, op10_jaccard_join, op11_turn_repair, op12_byte_bpe,
+        op13_hard_negatives)}
 
 
 def llm_sql() -> dict[str, str]:
