@@ -42,13 +42,7 @@ def job_queries() -> dict[str, Query]:
     out = {}
     for domain, name in JOBS:
         build = retail_from_events if name == "ads_user_action" else builds[domain]
-        if name == "dim_user_zip" and domain == "retail":
-            build = _retail_with_open_users
         out[f"{domain}_{name}"] = _job(build, name, _day(domain, name))
     out["retail_dws_trade_user_sku_order_1d_daily"] = _job(retail, "dws_trade_user_sku_order_1d", ORDER_DAY)
     return out
 
-
-def _retail_with_open_users(t: Tables) -> Warehouse:
-    wh = retail(t)
-    return Warehouse("retail", {**wh._tables, "dim_user_zip_init": lambda: wh.run("dim_user_zip_init", "1995-01-01")})

@@ -50,18 +50,46 @@ def logistics_tables(t: Tables) -> dict:
             out = out.unionAll(more)
         return out
 
+    def state():
+        key = F.col("o_orderkey")
+        return F.when(key % 19 == 0, "60999").when(F.col("o_orderstatus") == "F", "60080").otherwise(
+            (key % 8 * 10 + 60010).cast("string"))
+
     def waybills() -> DataFrame:
+        return headers(t.orders, state(), later("o_orderdate", F.col("o_orderkey") % 4, F.col("o_orderkey") % 86400))
+
+    def changes() -> DataFrame:
+        """The log behind the waybills: a row per state a waybill passed, now and then one more update of the last."""
+        key, end = F.col("o_orderkey"), state()
+
+        def at(step):
+            return later("o_orderdate", 0, step * (key % 4) * 21600 + key % 3600)
+
+        def row(code, when):
+            return F.struct(code.alias("code"), when.alias("at"))
+
+        gone = end == "60999"
+        path = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: row((j * 10 + 60010).cast("string"), at(j)))
+        passed = F.filter(path, lambda x: F.when(gone, x["code"] <= F.when(key % 2 == 0, "60020").otherwise("60010")).otherwise(
+            ((x["code"] != "60040") & (x["code"] <= end)) | (x["code"] == end)))
+        dropped = row(end, later("o_orderdate", 2, key % 3600))
+        last = F.when(gone, dropped["at"]).otherwise(at(F.try_divide(end.cast("int") - 60010, F.lit(10)).cast("int")))
+        again = row(end, last + F.expr("INTERVAL 2 DAYS 1 HOUR"))
+        none = F.filter(F.array(again), lambda x: F.lit(False))
+        rows = F.concat(passed, F.when(gone, F.array(dropped)).otherwise(none), F.when(key % 5 == 0, F.array(again)).otherwise(none))
+        log = t.orders.withColumn("x", F.explode(rows))
+        return headers(log, F.col("x.code"), F.col("x.at"), F.to_date("x.at").alias("dt"))
+
+    def headers(rows: DataFrame, status, updated, *more) -> DataFrame:
         key, user = F.col("o_orderkey"), F.col("o_custkey")
-        state = F.when(key % 19 == 0, "60999").when(F.col("o_orderstatus") == "F", "60080").otherwise(
-            (key % 8 * 10 + 60010).cast("string"))
-        placed = t.orders.join(t.customer, user == F.col("c_custkey"), "left")
+        placed = rows.join(t.customer, user == F.col("c_custkey"), "left")
 
         def district(c):
             return c % 25 * 4 + 1 + c % 3 + 10000
 
         city, province = big(F.col("c_nationkey") + 1000), big(F.col("c_nationkey") % 5 + 100)
         return placed.select(
-            key.alias("id"), tag("W", "o_orderkey").alias("order_no"), state.alias("status"),
+            key.alias("id"), tag("W", "o_orderkey").alias("order_no"), status.alias("status"),
             (key % 2 + 1).cast("string").alias("collect_type"), user.alias("user_id"),
             F.concat(F.lit("110"), F.substring("o_orderpriority", 1, 1)).alias("payment_type"),
             user.alias("receiver_complex_id"), province.alias("receiver_province_id"),
@@ -73,8 +101,8 @@ def logistics_tables(t: Tables) -> dict:
             F.unix_millis(later("o_orderdate", 3)).cast("string").alias("estimate_arrive_time"),
             money(user % 1000 + F.lit(0.25)).alias("distance"),
             F.date_format(later("o_orderdate"), ISO).alias("create_time"),
-            F.date_format(later("o_orderdate", key % 4, key % 86400), ISO).alias("update_time"),
-            F.when(key % 17 == 0, "1").otherwise("0").alias("is_deleted"))
+            F.date_format(updated, ISO).alias("update_time"),
+            F.when(key % 17 == 0, "1").otherwise("0").alias("is_deleted"), *more)
 
     def cargo() -> DataFrame:
         return t.lineitem.select(
@@ -177,7 +205,7 @@ def logistics_tables(t: Tables) -> dict:
 
     return {
         "ods_base_region_info": regions, "ods_base_organ": organs, "ods_base_dic": dictionary,
-        "ods_order_info": waybills, "ods_order_cargo": cargo, "ods_transport_task": trips,
+        "ods_order_info": waybills, "ods_order_change": changes, "ods_order_cargo": cargo, "ods_transport_task": trips,
         "ods_order_org_bound": scans, "ods_line_base_info": lines_info, "ods_line_base_shift": shifts,
         "ods_truck_info": trucks, "ods_truck_model": models, "ods_truck_team": teams, "ods_user_info": users,
         "ods_base_complex": complexes,
@@ -203,3 +231,17 @@ def logistics_tables(t: Tables) -> dict:
 
 def logistics(t: Tables) -> Warehouse:
     return Warehouse("logistics", logistics_tables(t))
+
+
+def logistics_by_day(t: Tables) -> Warehouse:
+    """The same with a day on every source that grows: cargo lines come with their waybill, scans on their day."""
+    tables = logistics_tables(t)
+    cargo, scans, waybills = tables["ods_order_cargo"], tables["ods_order_org_bound"], tables["ods_order_info"]
+    placed = lambda: t.orders.select(F.col("o_orderkey").alias("order_id"), F.date_format("o_orderdate", ISO).alias("create_time"),
+                                     F.to_date("o_orderdate").alias("dt"))
+    return Warehouse("logistics", {
+        **tables,
+        "ods_order_info": lambda: waybills().withColumn("dt", F.to_date(F.substring("create_time", 1, 10))),
+        "ods_order_cargo": lambda: cargo().drop("create_time").join(placed(), "order_id"),
+        "ods_order_org_bound": lambda: scans().withColumn("dt", F.to_date(F.timestamp_millis(F.col("inbound_time").cast("bigint")))),
+    })

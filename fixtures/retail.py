@@ -227,7 +227,7 @@ def event_trade_tables(t: Tables) -> dict:
 
 
 def retail(t: Tables) -> Warehouse:
-    return Warehouse("retail", retail_tables(t))
+    return Warehouse("retail", retail_tables(t), start="1995-01-01")
 
 
 def retail_from_events(t: Tables) -> Warehouse:

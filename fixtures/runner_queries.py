@@ -8,9 +8,11 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtures.logistics import logistics_by_day
 from fixtures.plain import plain
 from fixtures.retail import retail
-from fixtures.tables import ORDER_DAY, Tables
+from fixtures.tables import EVENT_DAY, ORDER_DAY, Tables
+from fixtures.traffic import traffic_by_day
 from tidewater.plans import Warehouse, materialize
 from tidewater.session import work_dir
 
@@ -21,35 +23,51 @@ def known_by(wh: Warehouse, dt: str) -> Warehouse:
 
     def cut(name: str) -> DataFrame:
         df = wh.table(name)
-        return df if name == "ods_order_info" or "dt" not in df.columns else df.where(F.col("dt") <= F.lit(dt).cast("date"))
+        day = next((c for c in ("dt", "effective_date") if c in df.columns), None)
+        return df if name == "ods_order_info" or day is None else df.where(F.col(day) <= F.lit(dt).cast("date"))
 
-    return Warehouse(wh.domain, {n: (lambda n=n: cut(n)) for n in list(wh._tables)})
+    return wh.derive({n: (lambda n=n: cut(n)) for n in list(wh._tables)})
 
 
-def stored_days(build: Callable[[Tables], Warehouse], t: Tables, names: list[str], dt: str) -> Warehouse:
-    """A first run on the day before ``dt``, then ``dt`` twice."""
+def days_before(dt: str, n: int) -> str:
+    return str(date.fromisoformat(dt) - timedelta(days=n))
+
+
+def stored_days(build: Callable[[Tables], Warehouse], t: Tables, names: list[str], dt: str, n: int = 2) -> Warehouse:
+    """A run on each of ``n`` days up to ``dt``, the first with the 30 days before it, and ``dt`` once more."""
     root, wh = work_dir(t.spark, "runner"), build(t)
-    before = str(date.fromisoformat(dt) - timedelta(days=1))
-    materialize(t.spark, known_by(wh, before), root, names, before, days=30)
-    materialize(t.spark, known_by(wh, dt), root, names, dt)
+    for i in range(n):
+        day = days_before(dt, n - 1 - i)
+        materialize(t.spark, known_by(wh, day), root, names, day, 30 if i == 0 else 1)
     return materialize(t.spark, known_by(wh, dt), root, names, dt)
 
 
-def _runner(name: str):
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        stored = stored_days(retail, Tables(spark, sf_dir), [name], ORDER_DAY).scan(name, ORDER_DAY)
-        return plain(stored if name.startswith("ads_") else stored.drop("dt"))
+#: Registered name: where from, the job whose stored table is read, the last day, and how many days of it are read (a report
+#: or a to-date table has one, a fact the three days of the runs, a history all).
+RUNNERS: dict[str, tuple[Callable[[Tables], Warehouse], str, str, int | None]] = {
+    "runner_retail_order_stats": (retail, "ads_order_stats_by_tm", ORDER_DAY, 1),
+    "runner_retail_order_to_date": (retail, "dws_trade_user_order_td", ORDER_DAY, 1),
+    "runner_retail_order_to_pay": (retail, "ads_order_to_pay_interval_avg", ORDER_DAY, 1),
+    "runner_retail_user_history": (retail, "dim_user_zip", ORDER_DAY, None),
+    "runner_retail_login_to_date": (retail, "dws_user_user_login_td", EVENT_DAY, 1),
+    "runner_logistics_waybill_reached": (logistics_by_day, "dwm_waybill_reached", ORDER_DAY, None),
+    "runner_logistics_sign": (logistics_by_day, "dwd_trans_sign_detail_inc", ORDER_DAY, 3),
+    "runner_logistics_under_way": (logistics_by_day, "ads_trans_order_stats_td", ORDER_DAY, 1),
+    "runner_logistics_trans_order": (logistics_by_day, "ads_trans_order_stats", ORDER_DAY, 1),
+    "runner_traffic_section_visit": (traffic_by_day, "ads_section_visit", EVENT_DAY, 1),
+    "runner_traffic_user_history": (traffic_by_day, "dim_user_zip", EVENT_DAY, None),
+}
 
-    return query
 
+def _runner(build: Callable[[Tables], Warehouse], name: str, dt: str, days: int | None):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = stored_days(build, Tables(spark, sf_dir), [name], dt, 2 if name.startswith("ads_") else 3).table(name)
+        if days is not None:
+            rows = rows.where(F.col("dt").between(F.lit(days_before(dt, days - 1)).cast("date"), F.lit(dt).cast("date")))
+        return plain(rows if name.startswith(("ads_", "dwd_")) else rows.drop("dt"))
 
-#: Registered name: the job whose stored table is read on the last day. Its SQL is that of the job's own query.
-RUNNERS = {
-    "runner_retail_order_stats": "ads_order_stats_by_tm",
-    "runner_retail_order_to_date": "dws_trade_user_order_td",
-    "runner_retail_order_to_pay": "ads_order_to_pay_interval_avg",
-}
+    return query
 
 
 def runner_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q: _runner(name) for q, name in RUNNERS.items()}
+    return {q: _runner(*spec) for q, spec in RUNNERS.items()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fixtures.tables import Tables, big, tag
+from fixtures.tables import EVENT_DAY, Tables, big, tag
 from tidewater.plans import Warehouse
 
 
@@ -55,3 +55,14 @@ def traffic_tables(t: Tables) -> dict:
 
 def traffic(t: Tables) -> Warehouse:
     return Warehouse("traffic", traffic_tables(t))
+
+
+def traffic_by_day(t: Tables) -> Warehouse:
+    """The same with a copy of every page table for each day of the log's last week."""
+    tables = traffic_tables(t)
+    days = F.explode(F.sequence(F.lit(EVENT_DAY).cast("date") - 6, F.lit(EVENT_DAY).cast("date")))
+
+    def dated(name: str):
+        return lambda: tables[name]().withColumn("dt", days)
+
+    return Warehouse("traffic", {**tables, **{n: dated(n) for n in ("ods_shop_full", "ods_section_full", "ods_spu_info_full")}})

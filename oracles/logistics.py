@@ -48,7 +48,8 @@ WAY = f"""way AS (
          'S*' AS sender_name, o_orderkey % 5 + 1 AS cargo_num, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
          strftime(o_orderdate + INTERVAL 3 DAY, {TIME}) AS estimate_arrive_time,
          CAST(o_custkey % 1000 + 0.25 AS DOUBLE) AS distance,
-         o_orderdate + to_days(CAST(o_orderkey % 4 AS INTEGER)) + to_seconds(o_orderkey % 86400) AS updated
+         o_orderdate + to_days(CAST(o_orderkey % 4 AS INTEGER)) + to_seconds(o_orderkey % 86400) AS updated,
+         o_orderdate AS placed
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 17 <> 0),
 cargo AS (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS order_id, CAST(l_linenumber + 80000 AS VARCHAR) AS cargo_type,
@@ -61,21 +62,46 @@ WAY_COLS = """order_no, status, collect_type, user_id, receiver_complex_id, rece
   receiver_district_id, receiver_name, sender_complex_id, sender_province_id, sender_city_id, sender_district_id, sender_name,
   cargo_num, CAST(amount AS DOUBLE) AS amount, estimate_arrive_time, distance"""
 
+# The change log of the waybills: a row for every state passed, a second update of the last state for every fifth waybill.
+LOG = """steps AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS j),
+passed AS (
+  SELECT way.order_id, CAST(60010 + 10 * j AS VARCHAR) AS code, placed + to_hours(j * (order_id % 4) * 6) + to_seconds(order_id % 3600) AS moment
+  FROM way JOIN steps ON CASE WHEN status = '60999' THEN j <= 1 - order_id % 2
+    ELSE (j <> 3 AND 60010 + 10 * j <= CAST(status AS INTEGER)) OR 60010 + 10 * j = CAST(status AS INTEGER) END
+  UNION ALL SELECT order_id, status, placed + INTERVAL 2 DAY + to_seconds(order_id % 3600) FROM way WHERE status = '60999'),
+changes AS (
+  SELECT * FROM passed
+  UNION ALL SELECT order_id, max(code), max(moment) + INTERVAL 2 DAY + INTERVAL 1 HOUR FROM passed WHERE order_id % 5 = 0 GROUP BY order_id),
+log AS (SELECT way.* EXCLUDE (status, updated), code AS status, moment FROM changes JOIN way USING (order_id))"""
+
 REACHED = {"order": "true", "pay": "status >= '60020' AND status <> '60999'", "cancel": "status = '60999'",
            "receive": "status >= '60030' AND status <> '60999'", "dispatch": "status >= '60050' AND status <> '60999'",
            "bound_finish": "status >= '60060' AND status <> '60999'", "deliver": "status >= '60070' AND status <> '60999'",
            "sign": "status >= '60080' AND status <> '60999'"}
 
 
+def first(event: str) -> str:
+    """The change with which a waybill reached an event for the first time."""
+    return f"SELECT DISTINCT ON (order_id) * FROM log WHERE {REACHED[event]} ORDER BY order_id, moment, status"
+
+
+def waybill_reached(where: str = "") -> str:
+    events = ("pay", "receive", "dispatch", "bound_finish", "deliver", "sign", "cancel")
+    reached = ", ".join(f"min(moment) FILTER ({REACHED[e]}) AS {e}" for e in events)
+    times = ", ".join(f"strftime({e}, {TIME}) AS {e}" for e in events)
+    return f"""WITH {WAY}, {LOG}, f AS (SELECT order_id AS id, min(placed) AS placed, {reached} FROM log {where} GROUP BY order_id)
+SELECT id, strftime(placed, '%Y-%m-%d') AS placed, {times}, coalesce(strftime(least(sign, cancel), '%Y-%m-%d'), '9999-12-31') AS dt FROM f"""
+
+
 def waybill_fact(event: str, time: str) -> str:
-    at = "created" if event == "order" else "updated"
+    at, of = ("created", "way") if event == "order" else ("moment", "reached")
     pay = "" if event == "order" else "payment_type, d4.name AS payment_type_name, "
     join = "" if event == "order" else "LEFT JOIN dic d4 ON payment_type = d4.code"
-    return f"""WITH {DIC}, {WAY}
+    return f"""WITH {DIC}, {WAY}, {LOG}, reached AS ({first(event)})
 SELECT {CARGO_COLS}, {WAY_COLS}, {pay} d1.name AS cargo_type_name, d2.name AS status_name, d3.name AS collect_type_name,
   strftime({at}, {TIME}) AS {time}, strftime({at}, '%Y-%m-%d') AS dt
-FROM cargo JOIN way USING (order_id) LEFT JOIN dic d1 ON cargo_type = d1.code LEFT JOIN dic d2 ON status = d2.code
-LEFT JOIN dic d3 ON collect_type = d3.code {join} WHERE {REACHED[event]}"""
+FROM cargo JOIN {of} USING (order_id) LEFT JOIN dic d1 ON cargo_type = d1.code LEFT JOIN dic d2 ON status = d2.code
+LEFT JOIN dic d3 ON collect_type = d3.code {join}"""
 
 
 TRIPS = """trip AS (
@@ -107,8 +133,8 @@ order_1d AS (
 
 def once(event: str) -> str:
     """Waybills with at least one cargo line that reached an event, one row per waybill and day."""
-    return f"""(SELECT order_id, amount, sender_district_id, receiver_district_id, CAST(updated AS DATE) AS dt
-  FROM way WHERE order_id IN (SELECT order_id FROM cargo) AND {REACHED[event]})"""
+    return f"""(SELECT order_id, amount, sender_district_id, receiver_district_id, CAST(moment AS DATE) AS dt
+  FROM (WITH {LOG} {first(event)}) WHERE order_id IN (SELECT order_id FROM cargo))"""
 
 
 def org_orders(event: str, district: str, name: str) -> str:
@@ -259,6 +285,7 @@ FROM customer WHERE c_custkey % 13 <> 0"""
         ("dwd_trans_sign_detail_inc", "sign", "sign_time"),
     ]:
         q[table] = waybill_fact(event, time)
+    q["dwm_waybill_reached"] = waybill_reached()
     q["dwd_trade_order_process_inc"] = f"""WITH {DIC}, {WAY}, f AS (
   SELECT {CARGO_COLS}, {WAY_COLS}, payment_type, d4.name AS payment_type_name, d1.name AS cargo_type_name, d2.name AS status_name,
     d3.name AS collect_type_name, strftime(created, {TIME}) AS order_time, strftime(created, '%Y-%m-%d') AS start_date,

@@ -159,7 +159,7 @@ def users_init() -> str:
     '1994-01-01 00:00:00' AS operate_time FROM customer"""
 
 
-def user_history() -> str:
+def user_history(until: str = "DATE '9999-12-31'") -> str:
     changed = "o_orderdate + to_seconds(o_orderkey % 86400)"
     return f"""WITH init AS ({users_init()}), ch AS (
   SELECT o_custkey AS id, 'U*' AS name,
@@ -170,7 +170,7 @@ def user_history() -> str:
     CASE WHEN o_custkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender, '1994-01-01' AS create_time,
     strftime({changed}, '%Y-%m-%d %H:%M:%S') AS operate_time, CAST(o_orderdate AS DATE) AS start_date,
     row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY {changed} DESC, o_orderkey DESC) AS rn
-  FROM orders),
+  FROM orders WHERE o_orderdate < {until} + INTERVAL 1 DAY),
   v AS (
   SELECT * EXCLUDE (rn) FROM ch WHERE rn = 1
   UNION ALL

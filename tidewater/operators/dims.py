@@ -34,3 +34,16 @@ def scd2_merge(open_rows: DataFrame, changes: DataFrame, key: str, effective: st
     following = F.lead("start_date").over(Window.partitionBy(key).orderBy("start_date"))
     end = F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END).cast("date"))
     return versions.withColumn("end_date", end).select(*attributes, "start_date", "end_date")
+
+
+def scd2_reopen(rows: DataFrame, first: str) -> DataFrame:
+    """Versions as they stood on the eve of ``first``: what that day or a later one closed is open again."""
+    day = F.lit(first).cast("date")
+    known = rows.where(F.col("start_date") < day)
+    open_then = F.col("end_date") >= F.date_sub(day, 1)
+    return known.withColumn("end_date", F.when(open_then, F.lit(OPEN_END).cast("date")).otherwise(F.col("end_date"))).drop("dt")
+
+
+def closed_on(end: Column) -> Column:
+    """The day whose changes closed a version that ends on ``end``."""
+    return F.when(end == F.lit(OPEN_END).cast("date"), end).otherwise(F.date_add(end, 1))

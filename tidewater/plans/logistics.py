@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import (
@@ -15,18 +15,19 @@ from tidewater.functions import (
     ratio,
 )
 from tidewater.functions.masking import EMAIL, PHONE
-from tidewater.operators.dims import scd2_init
-from tidewater.operators.facts import close_interval, transaction_fact
+from tidewater.operators.dims import OPEN_END, scd2_init
+from tidewater.operators.facts import close_interval, first_reach, merge_reach, reach_before, transaction_fact
 from tidewater.operators.joins import alive, attach, flatten_star, parent_chain, resolve_level
 from tidewater.operators.reports import driver_split
 from tidewater.operators.rollups import dedup_sum, n_day_rows, one_day, total
 from tidewater.operators.sets import collect_values, metric_merge, signed_balance, union_all
-from tidewater.plans.warehouse import Warehouse, job
+from tidewater.plans.warehouse import DAY, OPEN_DAYS, Intervals, Warehouse, job
 
 # Waybill states in the order a waybill passes them, and the state of a cancelled one.
 REACHED = {"order": "60010", "pay": "60020", "receive": "60030", "dispatch": "60050", "bound_finish": "60060",
            "deliver": "60070", "sign": "60080"}
 SIGNED, CANCELLED = "60080", "60999"
+EVENTS, CLOSING = [*list(REACHED)[1:], "cancel"], ["sign", "cancel"]
 
 HEADER = ["order_no", "status", "collect_type", "user_id", "receiver_complex_id", "receiver_province_id",
           "receiver_city_id", "receiver_district_id", "receiver_name", "sender_complex_id", "sender_province_id",
@@ -170,81 +171,120 @@ def _cargo(wh: Warehouse, dt: str | None) -> DataFrame:
         iso_trim(F.col("create_time")).alias("__created"))
 
 
-def _waybills(wh: Warehouse) -> DataFrame:
-    return _live(wh, "ods_order_info").withColumns({
+def _waybills(wh: Warehouse, name: str = "ods_order_info") -> DataFrame:
+    return _live(wh, name).withColumns({
         "receiver_name": mask_name(F.col("receiver_name")),
         "sender_name": mask_name(F.col("sender_name")),
         "estimate_arrive_time": ms_to_time(F.col("estimate_arrive_time")),
         "updated": iso_trim(F.col("update_time")),
+        "placed": F.to_date(F.substring("create_time", 1, 10)),
     })
 
 
+def _has_reached(event: str) -> Column:
+    status = F.col("status")
+    return status == CANCELLED if event == "cancel" else (status >= REACHED[event]) & (status != CANCELLED)
+
+
+def _reach_before(rows: DataFrame, first: str) -> DataFrame:
+    return _closing_day(reach_before(rows.drop("dt"), EVENTS, "placed", first))
+
+
+def _closing_day(rows: DataFrame) -> DataFrame:
+    end = F.least(*CLOSING)
+    return rows.withColumn("dt", close_interval(end.isNotNull(), F.to_date(end)))
+
+
+@job("logistics", "ods_order_change", reads={"ods_order_change": DAY}, intervals=Intervals(_reach_before, "placed"))
+def dwm_waybill_reached(wh: Warehouse, dt: str | None) -> DataFrame:
+    """When each waybill reached each event for the first time; open until it is signed or cancelled."""
+    log = _waybills(wh, "ods_order_change").withColumn("at", F.to_timestamp("updated"))
+    new = first_reach(log, "id", "at", {e: _has_reached(e) for e in EVENTS}, CLOSING, "placed")
+    before = wh.before("dwm_waybill_reached")
+    if before is not None:
+        new = merge_reach(before, new, "id", "placed", EVENTS, CLOSING, wh.since)
+    return _closing_day(new)
+
+
+def _first_changes(wh: Warehouse, event: str, take: list[str]) -> DataFrame:
+    """The change with which a waybill reached an event for the first time; nothing counts after it was closed."""
+    reached, closed = _has_reached(event), _has_reached("sign") | _has_reached("cancel")
+    change = F.min_by(F.struct(*take), F.when(reached, F.struct("updated", "status")))
+    best = _waybills(wh, "ods_order_change").where(reached | closed).groupBy("id").agg(
+        change.alias("h"), F.min(F.when(closed, F.col("updated"))).alias("__closed"), F.min("placed").alias("__placed"))
+    first = best.where(F.col("h").isNotNull() & F.coalesce(F.col("h.updated") <= F.col("__closed"), F.lit(True)))
+    before = wh.before("dwm_waybill_reached")
+    if before is not None:
+        done = F.col(event).isNotNull() | (F.col("dt") != F.lit(OPEN_END).cast("date"))
+        first = attach(first, before.select("id", done.alias("done")), {"id": "id"}, {"__done": "done"})
+        first = first.where(F.coalesce(~F.col("__done"), F.col("__placed") >= F.lit(wh.since).cast("date")))
+    return first.select("id", "h.*")
+
+
 def _waybill_fact(wh: Warehouse, dt: str | None, event: str, name: str) -> DataFrame:
     """Cargo lines of the waybills that reached ``event``, dated by the event.
 
-    The order event is dated by the cargo line, every later event by the last update of the waybill. With a day
-    given, the header filter on that day comes before the join.
+    The order event is dated by the cargo line, every later event by the change with which the waybill first reached it.
     """
-    if event == "cancel":
-        reached = F.col("status") == CANCELLED
-    else:
-        reached = (F.col("status") >= REACHED[event]) & (F.col("status") != CANCELLED)
-        if event == "order":
-            reached = F.lit(True)
     by_line = event == "order"
     day = None if dt is None else F.lit(dt).cast("date")
-    lines, header = _cargo(wh, None), _waybills(wh).where(reached)
-    if day is not None and by_line:
-        lines = lines.where(F.to_date("__created") == day)
-    elif day is not None:
-        header = header.where(F.to_date("updated") == day)
     codes = [("cargo_type", "cargo_type_name"), ("status", "status_name"), ("collect_type", "collect_type_name")]
     take = [*HEADER, "updated"]
-    if event != "order":
+    if not by_line:
         codes.append(("payment_type", "payment_type_name"))
         take.append("payment_type")
+    lines = _cargo(wh, None)
+    header = _waybills(wh) if by_line else _first_changes(wh, event, take)
+    if day is not None and by_line:
+        lines = lines.where(F.to_date("__created") == day)
+    elif day is not None:
+        header = header.where(F.to_date("updated") == day)
     dic = alive(wh.snapshot("ods_base_dic", dt)).select(F.col("id").cast("string").alias("id"), "name")
     fact = transaction_fact(lines, header, {"order_id": "id"}, take,
                             F.to_timestamp(F.col("__created" if by_line else "updated")), name, codes, dic)
     return fact.drop("__created", "updated")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+#: A run reads its own days of the change log, and the cargo lines since the oldest open waybill was placed.
+EVENT = {"reads": {"ods_order_change": DAY, "ods_order_cargo": OPEN_DAYS}, "state": "dwm_waybill_reached"}
+
+
+@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic", reads={"ods_order_cargo": DAY, "ods_order_info": DAY})
 def dwd_trade_order_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "order", "order_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trade_pay_suc_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "pay", "payment_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trade_order_cancel_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "cancel", "cancel_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trans_receive_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "receive", "receive_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trans_dispatch_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "dispatch", "dispatch_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trans_bound_finish_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "bound_finish", "bound_finish_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trans_deliver_suc_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "deliver", "deliver_suc_time")
 
 
-@job("logistics", "ods_order_cargo", "ods_order_info", "ods_base_dic")
+@job("logistics", "ods_order_cargo", "ods_order_change", "ods_base_dic", **EVENT)
 def dwd_trans_sign_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _waybill_fact(wh, dt, "sign", "sign_time")
 
@@ -263,7 +303,7 @@ def dwd_trade_order_process_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return fact if dt is None else fact.where(F.col("dt") == F.lit(dt).cast("date"))
 
 
-@job("logistics", "ods_transport_task", "dim_shift_full")
+@job("logistics", "ods_transport_task", "dim_shift_full", reads={"ods_transport_task": DAY})
 def dwd_trans_trans_finish_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     """Finished trips; the estimated end is the start plus the estimated minutes of the shift."""
     start, end = F.col("actual_start_time"), F.col("actual_end_time")
@@ -286,17 +326,17 @@ def _bound(wh: Warehouse, dt: str | None, time: str, emp: str) -> DataFrame:
     return fact if dt is None else fact.where(F.col("dt") == F.lit(dt).cast("date"))
 
 
-@job("logistics", "ods_order_org_bound")
+@job("logistics", "ods_order_org_bound", reads={"ods_order_org_bound": DAY})
 def dwd_bound_inbound_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _bound(wh, dt, "inbound_time", "inbound_emp_id")
 
 
-@job("logistics", "ods_order_org_bound")
+@job("logistics", "ods_order_org_bound", reads={"ods_order_org_bound": DAY})
 def dwd_bound_sort_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _bound(wh, dt, "sort_time", "sorter_emp_id")
 
 
-@job("logistics", "ods_order_org_bound")
+@job("logistics", "ods_order_org_bound", reads={"ods_order_org_bound": DAY})
 def dwd_bound_outbound_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return _bound(wh, dt, "outbound_time", "outbound_emp_id")
 
@@ -315,7 +355,7 @@ def _org_place(wh: Warehouse, df: DataFrame, dt: str | None) -> DataFrame:
     return df.drop("__region", "__district_id", "__district_name")
 
 
-@job("logistics", "dwd_trade_order_detail_inc", "dim_organ_full", "dim_region_full")
+@job("logistics", "dwd_trade_order_detail_inc", "dim_organ_full", "dim_region_full", reads={"dwd_trade_order_detail_inc": DAY})
 def dws_trade_org_cargo_type_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = dedup_sum(wh.scan("dwd_trade_order_detail_inc", dt), "order_id",
                       ["cargo_type", "cargo_type_name", "sender_district_id", "sender_city_id", "dt"], "amount",
@@ -327,7 +367,7 @@ def dws_trade_org_cargo_type_order_1d(wh: Warehouse, dt: str | None) -> DataFram
     return attach(merged, wh.snapshot("dim_region_full", dt), {"city_id": "id"}, {"city_name": "name"})
 
 
-@job("logistics", "dwd_trans_dispatch_detail_inc")
+@job("logistics", "dwd_trans_dispatch_detail_inc", reads={"dwd_trans_dispatch_detail_inc": DAY})
 def dws_trans_dispatch_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return dedup_sum(wh.scan("dwd_trans_dispatch_detail_inc", dt), "order_id", ["dt"], "amount", "order_count",
                      "order_amount")
@@ -342,17 +382,17 @@ def _org_orders(wh: Warehouse, dt: str | None, fact: str, district: str, amount:
     return one_day(placed, ["org_id", "org_name", *PLACE, "dt"], sums)
 
 
-@job("logistics", "dwd_trans_deliver_suc_detail_inc", "dim_organ_full", "dim_region_full")
+@job("logistics", "dwd_trans_deliver_suc_detail_inc", "dim_organ_full", "dim_region_full", reads={"dwd_trans_deliver_suc_detail_inc": DAY})
 def dws_trans_org_deliver_suc_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return _org_orders(wh, dt, "dwd_trans_deliver_suc_detail_inc", "receiver_district_id", amount=False)
 
 
-@job("logistics", "dwd_trans_receive_detail_inc", "dim_organ_full", "dim_region_full")
+@job("logistics", "dwd_trans_receive_detail_inc", "dim_organ_full", "dim_region_full", reads={"dwd_trans_receive_detail_inc": DAY})
 def dws_trans_org_receive_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return _org_orders(wh, dt, "dwd_trans_receive_detail_inc", "sender_district_id", amount=True)
 
 
-@job("logistics", "dwd_bound_sort_inc", "dim_organ_full", "dim_region_full")
+@job("logistics", "dwd_bound_sort_inc", "dim_organ_full", "dim_region_full", reads={"dwd_bound_sort_inc": DAY})
 def dws_trans_org_sort_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_bound_sort_inc", dt), ["org_id", "dt"], {"sort_count": F.count(F.lit(1))})
     organ = wh.snapshot("dim_organ_full", dt)
@@ -360,7 +400,7 @@ def dws_trans_org_sort_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return resolve_level(named, organ, wh.snapshot("dim_region_full", dt))
 
 
-@job("logistics", "dwd_trans_trans_finish_inc", "dim_truck_full")
+@job("logistics", "dwd_trans_trans_finish_inc", "dim_truck_full", reads={"dwd_trans_trans_finish_inc": DAY})
 def dws_trans_org_truck_model_type_trans_finish_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     trips = wh.scan("dwd_trans_trans_finish_inc", dt).withColumnsRenamed(
         {"start_org_id": "org_id", "start_org_name": "org_name"})
@@ -385,10 +425,20 @@ def dws_trade_org_cargo_type_order_nd(wh: Warehouse, dt: str) -> DataFrame:
                       _same("order_count", "order_amount"))
 
 
+def _added(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Totals to date plus new ones, in the types that are stored already."""
+    sums = total(union_all([old, new]), _same("order_count", "order_amount"))
+    return sums.select(*[F.col(c).cast(old.schema[c].dataType).alias(c) for c in sums.columns])
+
+
 @job("logistics", "dwd_trans_bound_finish_detail_inc")
 def dws_trans_bound_finish_td(wh: Warehouse, dt: str) -> DataFrame:
-    history = wh.table("dwd_trans_bound_finish_detail_inc").where(F.col("dt") <= F.lit(dt).cast("date"))
-    return dedup_sum(history, "order_id", [], "amount", "order_count", "order_amount")
+    """Waybills finished to date: the table of the day before plus the day, or the whole history. A waybill finishes once."""
+    old = wh.before("dws_trans_bound_finish_td")
+    rows = wh.table("dwd_trans_bound_finish_detail_inc")
+    days = F.col("dt") <= F.lit(dt).cast("date") if old is None else F.col("dt") == F.lit(dt).cast("date")
+    new = dedup_sum(rows.where(days), "order_id", [], "amount", "order_count", "order_amount")
+    return new if old is None else _added(old, new)
 
 
 @job("logistics", "dws_trans_dispatch_1d")
@@ -398,8 +448,9 @@ def dws_trans_dispatch_nd(wh: Warehouse, dt: str) -> DataFrame:
 
 @job("logistics", "dws_trans_dispatch_1d")
 def dws_trans_dispatch_td(wh: Warehouse, dt: str) -> DataFrame:
-    history = wh.table("dws_trans_dispatch_1d").where(F.col("dt") <= F.lit(dt).cast("date"))
-    return total(history, _same("order_count", "order_amount"))
+    old, day = wh.before("dws_trans_dispatch_td"), F.lit(dt).cast("date")
+    rows = wh.table("dws_trans_dispatch_1d").where(F.col("dt") <= day if old is None else F.col("dt") == day)
+    return total(rows, _same("order_count", "order_amount")) if old is None else _added(old, rows.drop("dt"))
 
 
 @job("logistics", "dws_trans_org_deliver_suc_1d")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import mask_email, mask_name, mask_phone, money, ratio, rule_text
-from tidewater.operators.dims import scd2_init, scd2_merge
+from tidewater.operators.dims import scd2_init, scd2_merge, scd2_reopen
 from tidewater.operators.facts import accumulating_snapshot
 from tidewater.operators.joins import attach, decode, flatten_star
 from tidewater.operators.reports import (
@@ -30,7 +30,7 @@ from tidewater.operators.rollups import (
 )
 from tidewater.operators.sequences import consecutive_days, top_k
 from tidewater.operators.sets import collect_structs, combine_scalars, union_distinct
-from tidewater.plans.warehouse import Warehouse, job
+from tidewater.plans.warehouse import DAY, Intervals, Warehouse, Window, job
 
 CATEGORY = ["category1_id", "category1_name", "category2_id", "category2_name", "category3_id", "category3_name"]
 BRAND = ["tm_id", "tm_name"]
@@ -176,10 +176,21 @@ def dim_user_zip_init(wh: Warehouse, dt: str | None) -> DataFrame:
     return scd2_init(users, F.lit(dt).cast("date"))
 
 
-@job("retail", "dim_user_zip_init", "ods_user_change")
+#: The history of users: closed versions by their last day; a run reads the open ones and the changes of its days.
+USER_HISTORY = {"reads": {"ods_user_change": Window(day="effective_date")}, "intervals": Intervals(scd2_reopen, "start_date")}
+
+
+@job("retail", "ods_user_info", "ods_user_change", **USER_HISTORY)
 def dim_user_zip(wh: Warehouse, dt: str | None) -> DataFrame:
-    """User history after merging changed users; raw values are masked before the merge, stored ones never again."""
-    open_rows = wh.table("dim_user_zip_init").where(F.col("end_date") == F.lit("9999-12-31").cast("date"))
+    """User history after merging changed users; raw values are masked before the merge, stored ones never again.
+
+    The first run loads the users as of the warehouse's ``start``; later runs build on the versions open before them.
+    """
+    open_rows = wh.before("dim_user_zip")
+    if open_rows is None:
+        if wh.start is None:
+            raise ValueError("the first load of dim_user_zip needs a warehouse with a start day")
+        open_rows = wh.run("dim_user_zip_init", wh.start)
     changes = _masked_users(wh.scan("ods_user_change", dt), "middle")
     return scd2_merge(open_rows, changes, "id", "effective_date", ["operate_time", "change_id"])
 
@@ -206,13 +217,14 @@ def _order_lines(wh: Warehouse, dt: str | None) -> DataFrame:
     ])
 
 
-@job("retail", "ods_cart_info")
+@job("retail", "ods_cart_info", reads={"ods_cart_info": DAY})
 def dwd_trade_cart_add_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return wh.scan("ods_cart_info", dt).select(
         "id", "user_id", "sku_id", _day("create_time").alias("date_id"), "create_time", "sku_num", "dt")
 
 
-@job("retail", "ods_order_detail", "ods_order_info", "ods_order_detail_activity", "ods_order_detail_coupon")
+@job("retail", "ods_order_detail", "ods_order_info", "ods_order_detail_activity", "ods_order_detail_coupon",
+     reads={"ods_order_detail": DAY})
 def dwd_trade_order_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     fact = attach(_order_lines(wh, dt), wh.scan("ods_order_info", dt), {"order_id": "id"},
                   _same("user_id", "province_id"))
@@ -223,7 +235,7 @@ def dwd_trade_order_detail_inc(wh: Warehouse, dt: str | None) -> DataFrame:
 
 
 @job("retail", "ods_order_detail", "ods_payment_info", "ods_order_info", "ods_order_detail_activity",
-     "ods_order_detail_coupon", "ods_base_dic")
+     "ods_order_detail_coupon", "ods_base_dic", reads={"ods_payment_info": DAY})
 def dwd_trade_pay_detail_suc_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     """Paid lines; the fact's day is the payment day, its lines may have been ordered on earlier days."""
     payment = wh.scan("ods_payment_info", dt).withColumnRenamed("dt", "pay_dt")
@@ -239,7 +251,7 @@ def dwd_trade_pay_detail_suc_inc(wh: Warehouse, dt: str | None) -> DataFrame:
         F.col("split_total_amount").alias("split_payment_amount"), "dt")
 
 
-@job("retail", "ods_cart_info")
+@job("retail", "ods_cart_info", reads={"ods_cart_info": DAY})
 def dwd_trade_cart_full(wh: Warehouse, dt: str | None) -> DataFrame:
     return wh.scan("ods_cart_info", dt).where(F.col("is_ordered") == "0").select(
         "id", "user_id", "sku_id", "sku_name", "sku_num", "dt")
@@ -263,14 +275,14 @@ def dwd_trade_trade_flow_acc(wh: Warehouse, dt: str | None) -> DataFrame:
         F.coalesce("payment_amount", F.lit(0)).alias("payment_amount"), "dt")
 
 
-@job("retail", "ods_coupon_use")
+@job("retail", "ods_coupon_use", reads={"ods_coupon_use": DAY})
 def dwd_tool_coupon_used_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return wh.scan("ods_coupon_use", dt).select(
         "id", "coupon_id", "user_id", "order_id", _day("get_time").alias("date_id"),
         F.col("used_time").alias("payment_time"), _day("get_time").alias("dt"))
 
 
-@job("retail", "ods_favor_info")
+@job("retail", "ods_favor_info", reads={"ods_favor_info": DAY})
 def dwd_interaction_favor_add_inc(wh: Warehouse, dt: str | None) -> DataFrame:
     return wh.scan("ods_favor_info", dt).select(
         "id", "user_id", "sku_id", _day("create_time").alias("date_id"), "create_time", "dt")
@@ -290,7 +302,7 @@ def _order_measures() -> dict[str, Column]:
     }
 
 
-@job("retail", "dwd_trade_order_detail_inc", "dim_sku_full")
+@job("retail", "dwd_trade_order_detail_inc", "dim_sku_full", reads={"dwd_trade_order_detail_inc": DAY})
 def dws_trade_user_sku_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     """Without a day this is the history load, with a day the daily load."""
     daily = one_day(wh.scan("dwd_trade_order_detail_inc", dt), ["dt", "user_id", "sku_id"],
@@ -298,26 +310,26 @@ def dws_trade_user_sku_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return attach(daily, _sku(wh, dt), {"sku_id": "id"}, _same(*SKU))
 
 
-@job("retail", "dwd_trade_order_detail_inc")
+@job("retail", "dwd_trade_order_detail_inc", reads={"dwd_trade_order_detail_inc": DAY})
 def dws_trade_user_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return distinct_count(wh.scan("dwd_trade_order_detail_inc", dt), ["dt", "user_id"], "order_id",
                           "order_count_1d", _order_measures())
 
 
-@job("retail", "dwd_trade_cart_add_inc")
+@job("retail", "dwd_trade_cart_add_inc", reads={"dwd_trade_cart_add_inc": DAY})
 def dws_trade_user_cart_add_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return one_day(wh.scan("dwd_trade_cart_add_inc", dt), ["dt", "user_id"],
                    {"cart_add_count_1d": _rows(), "cart_add_num_1d": "sku_num"})
 
 
-@job("retail", "dwd_trade_pay_detail_suc_inc")
+@job("retail", "dwd_trade_pay_detail_suc_inc", reads={"dwd_trade_pay_detail_suc_inc": DAY})
 def dws_trade_user_payment_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return distinct_count(wh.scan("dwd_trade_pay_detail_suc_inc", dt), ["dt", "user_id"], "order_id",
                           "payment_count_1d",
                           {"payment_num_1d": F.sum("sku_num"), "payment_amount_1d": F.sum("split_payment_amount")})
 
 
-@job("retail", "dwd_trade_order_detail_inc", "dim_province_full")
+@job("retail", "dwd_trade_order_detail_inc", "dim_province_full", reads={"dwd_trade_order_detail_inc": DAY})
 def dws_trade_province_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     measures = {k: v for k, v in _order_measures().items() if k != "order_num_1d"}
     daily = distinct_count(wh.scan("dwd_trade_order_detail_inc", dt), ["dt", "province_id"], "order_id",
@@ -325,7 +337,7 @@ def dws_trade_province_order_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return attach(daily, wh.snapshot("dim_province_full", dt), {"province_id": "id"}, _same(*PROVINCE))
 
 
-@job("retail", "dwd_tool_coupon_used_inc", "dim_coupon_full")
+@job("retail", "dwd_tool_coupon_used_inc", "dim_coupon_full", reads={"dwd_tool_coupon_used_inc": DAY})
 def dws_tool_user_coupon_coupon_used_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_tool_coupon_used_inc", dt), ["dt", "user_id", "coupon_id"],
                     {"used_count_1d": _rows()})
@@ -333,20 +345,20 @@ def dws_tool_user_coupon_coupon_used_1d(wh: Warehouse, dt: str | None) -> DataFr
                   _same("coupon_name", "coupon_type_code", "coupon_type_name", "benefit_rule"))
 
 
-@job("retail", "dwd_interaction_favor_add_inc", "dim_sku_full")
+@job("retail", "dwd_interaction_favor_add_inc", "dim_sku_full", reads={"dwd_interaction_favor_add_inc": DAY})
 def dws_interaction_sku_favor_add_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     daily = one_day(wh.scan("dwd_interaction_favor_add_inc", dt), ["dt", "sku_id"], {"favor_add_count_1d": _rows()})
     return attach(daily, _sku(wh, dt), {"sku_id": "id"}, _same(*SKU))
 
 
-@job("retail", "dwd_traffic_page_view_inc")
+@job("retail", "dwd_traffic_page_view_inc", reads={"dwd_traffic_page_view_inc": DAY})
 def dws_traffic_session_page_view_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return one_day(wh.scan("dwd_traffic_page_view_inc", dt),
                    ["dt", "session_id", "mid_id", "brand", "model", "operate_system", "version_code", "channel"],
                    {"during_time_1d": "during_time", "page_count_1d": _rows()})
 
 
-@job("retail", "dwd_traffic_page_view_inc")
+@job("retail", "dwd_traffic_page_view_inc", reads={"dwd_traffic_page_view_inc": DAY})
 def dws_traffic_page_visitor_page_view_1d(wh: Warehouse, dt: str | None) -> DataFrame:
     return one_day(wh.scan("dwd_traffic_page_view_inc", dt),
                    ["dt", "mid_id", "brand", "model", "operate_system", "page_id"],

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.dims import scd2_merge
+from tidewater.operators.dims import scd2_merge, scd2_reopen
 from tidewater.operators.joins import attach
 from tidewater.operators.reports import share_of
 from tidewater.operators.rollups import in_days, n_day_columns
 from tidewater.operators.sequences import next_value, rank_all, top_share
-from tidewater.plans.warehouse import Warehouse, job
+from tidewater.plans.warehouse import DAY, Intervals, Warehouse, Window, job
 
 DAYS = [1, 7, 30]
 
@@ -73,17 +73,17 @@ def ads_pc_source(wh: Warehouse, dt: str) -> DataFrame:
     return _report(top_share(pc, "page_url", "user_id", 20), dt)
 
 
-@job("traffic", "ods_logs_inc", "ods_shop_full", "ods_section_full", "ods_spu_info_full")
+@job("traffic", "ods_logs_inc", "ods_shop_full", "ods_section_full", "ods_spu_info_full", reads={"ods_logs_inc": DAY})
 def dwd_logs_wide(wh: Warehouse, dt: str | None) -> DataFrame:
     """Log rows with names; an item page inherits its section and a section page its shop."""
     log = wh.scan("ods_logs_inc", dt)
-    log = attach(log, wh.scan("ods_spu_info_full", dt), {"spu_id": "spu_id"},
+    log = attach(log, wh.snapshot("ods_spu_info_full", dt), {"spu_id": "spu_id"},
                  {"spu_name": "spu_name", "__section": "section_id"})
     log = log.withColumn("section_id", F.coalesce("__section", "section_id")).drop("__section")
-    log = attach(log, wh.scan("ods_section_full", dt), {"section_id": "section_id"},
+    log = attach(log, wh.snapshot("ods_section_full", dt), {"section_id": "section_id"},
                  {"section_name": "section_name", "__shop": "shop_id"})
     log = log.withColumn("shop_id", F.coalesce("__shop", "shop_id")).drop("__shop")
-    return attach(log, wh.scan("ods_shop_full", dt), {"shop_id": "shop_id"}, {"shop_name": "shop_name"})
+    return attach(log, wh.snapshot("ods_shop_full", dt), {"shop_id": "shop_id"}, {"shop_name": "shop_name"})
 
 
 def _visits(wh: Warehouse, dt: str, keys: list[str]) -> DataFrame:
@@ -131,8 +131,10 @@ def ads_shop_avg_stay(wh: Warehouse, dt: str) -> DataFrame:
         for n in DAYS]), dt)
 
 
-@job("traffic", "dim_user_zip@open", "ods_user_change")
+@job("traffic", "dim_user_zip@open", "ods_user_change", reads={"ods_user_change": Window(day="effective_date")},
+     intervals=Intervals(scd2_reopen, "start_date"))
 def dim_user_zip(wh: Warehouse, dt: str | None) -> DataFrame:
-    """User history of the traffic warehouse."""
-    return scd2_merge(wh.table("dim_user_zip@open"), wh.scan("ods_user_change", dt), "user_id", "effective_date",
-                      ["update_time"])
+    """User history of the traffic warehouse; the first run starts from the given open versions."""
+    before = wh.before("dim_user_zip")
+    open_rows = wh.table("dim_user_zip@open") if before is None else before
+    return scd2_merge(open_rows, wh.scan("ods_user_change", dt), "user_id", "effective_date", ["update_time"])

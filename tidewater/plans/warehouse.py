@@ -8,6 +8,7 @@ layer and passes :func:`path_tables`; a test passes DataFrames and lets the laye
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import date, timedelta
 from functools import reduce
 from graphlib import TopologicalSorter
@@ -17,40 +18,113 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.dims import OPEN_END
-from tidewater.sinks.writers import overwrite_partition
+from tidewater.operators.dims import OPEN_END, closed_on
+from tidewater.sinks.writers import overwrite_intervals, overwrite_partition
 
 Job = Callable[["Warehouse", "str | None"], DataFrame]
 Table = "DataFrame | Callable[[], DataFrame]"
 
+@dataclass(frozen=True)
+class Window:
+    """The days of an input that a run over the days ``first`` to ``last`` reads.
+
+    ``back`` days before the first are read too, None means every day up to the last. With ``since_open`` the window starts
+    no later than the day on which the oldest open row of the job's state was opened. ``day`` is the input's day column; an
+    input without it is read whole.
+    """
+
+    back: int | None = 0
+    since_open: bool = False
+    day: str = "dt"
+
+
+DAY, WHOLE, OPEN_DAYS = Window(), Window(None), Window(since_open=True)
+
+
+@dataclass(frozen=True)
+class Intervals:
+    """A table whose rows stay open until something closes them; it is partitioned by the day that closed them, open rows
+    under OPEN_END. What the days before the first run closed is stored under the first day of that run.
+
+    ``reopen`` takes the rows that are open or were closed by a given day or a later one, and that day, and gives them as
+    they stood on its eve. So a day can be run again, and only the open rows and the days of the run are written.
+    ``opened`` is the day on which a row was opened.
+    """
+
+    reopen: Callable[[DataFrame, str], DataFrame]
+    opened: str
+
+
+@dataclass(frozen=True)
+class Spec:
+    inputs: tuple[str, ...] = ()
+    milestones: tuple[str, ...] = ()
+    reads: Mapping[str, Window] = field(default_factory=dict)
+    state: str | None = None
+    intervals: Intervals | None = None
+
+
 JOBS: dict[tuple[str, str], Job] = {}
-INPUTS: dict[tuple[str, str], tuple[str, ...]] = {}
-MILESTONES: dict[tuple[str, str], tuple[str, ...]] = {}
+SPECS: dict[tuple[str, str], Spec] = {}
 
 
-def job(domain: str, *inputs: str, milestones: tuple[str, ...] = ()) -> Callable[[Job], Job]:
+def job(domain: str, *inputs: str, milestones: tuple[str, ...] = (), reads: Mapping[str, Window] | None = None,
+        state: str | None = None, intervals: Intervals | None = None) -> Callable[[Job], Job]:
     """Register a job under (domain, function name) with the tables it reads.
 
-    ``milestones`` are day columns that are filled after the day of the row; a run rewrites the days they touch.
+    ``milestones`` are day columns that are filled after the day of the row; a run rewrites the days they touch. ``reads``
+    states which days of an input a run needs; other inputs are read whole. ``state`` names the interval table that the
+    job reads as it stood before the run.
     """
 
     def register(fn: Job) -> Job:
         JOBS[domain, fn.__name__] = fn
-        INPUTS[domain, fn.__name__] = inputs
-        MILESTONES[domain, fn.__name__] = milestones
+        SPECS[domain, fn.__name__] = Spec(inputs, milestones, reads or {}, state, intervals)
         return fn
 
     return register
 
 
 class Warehouse:
-    def __init__(self, domain: str, tables: Mapping[str, Table], as_of: str | None = None):
-        """``as_of`` is the day at which dated snapshots are read by jobs that run over many days."""
+    def __init__(self, domain: str, tables: Mapping[str, Table], as_of: str | None = None, start: str | None = None,
+                 since: str | None = None):
+        """``as_of`` is the day at which dated snapshots are read by jobs that run over many days, ``start`` the day of the
+        first load of histories, ``since`` the first day of a run that builds on stored state."""
         self.domain = domain
-        self.as_of = as_of
+        self.as_of, self.start, self.since = as_of, start, since
         self._given = set(tables)
         self._tables = dict(tables)
 
+    def derive(self, tables: Mapping[str, Table], as_of: str | None = None, since: str | None = None) -> Warehouse:
+        """The same warehouse with some tables given or replaced."""
+        return Warehouse(self.domain, {**{n: self._tables[n] for n in self._given}, **tables}, as_of or self.as_of, self.start, since)
+
+    def window(self, name: str, first: str | None, last: str) -> Warehouse:
+        """The inputs of a job cut to the days that it reads in a run over ``first`` (None: the beginning) to ``last``. The
+        cuts are plain filters on day columns, so stored tables are pruned by partition."""
+        spec = SPECS[self.domain, name]
+
+        def cut(table: str, read: Window) -> DataFrame:
+            df = self.table(table)
+            if read.day not in df.columns:
+                return df
+            day = F.col(read.day)
+            rows = df.where(day <= F.lit(last).cast("date"))
+            if first is None or read.back is None:
+                return rows
+            lower = str(date.fromisoformat(first) - timedelta(days=read.back))
+            return rows.where(day >= F.lit(min(lower, self._oldest_open(spec.state) or lower) if read.since_open else lower).cast("date"))
+
+        return self.derive({t: (lambda t=t, r=r: cut(t, r)) for t, r in spec.reads.items()}, since=self.since)
+
+    def _oldest_open(self, state: str) -> str | None:
+        """The day on which the oldest open row of a state was opened."""
+        opened = SPECS[self.domain, state].intervals.opened
+        before = self.before(state)
+        if before is None:
+            return None
+        return before.where(F.col("dt") == F.lit(OPEN_END).cast("date")).agg(F.min(opened).cast("date").cast("string")).first()[0]
+
     def stored(self, name: str) -> bool:
         """The table was given, so no job has to compute it."""
         return name in self._given
@@ -71,6 +145,8 @@ class Warehouse:
         """A table restricted to one day. On a stored table the filter prunes partitions. A table without ``dt``
         is a current snapshot and is read as it is."""
         df = self.table(name)
+        if dt is None and name.endswith("_full") and self.stored(name) and "dt" in df.columns:
+            raise ValueError(f"{name} holds a copy per day: give a day")
         if dt is not None and "dt" in df.columns:
             df = df.where(F.col("dt") == F.lit(dt).cast("date"))
         return df
@@ -103,10 +179,10 @@ class Warehouse:
             name = todo.pop()
             if name in graph or self.stored(name):
                 continue
-            wanted = INPUTS.get((self.domain, name))
-            if wanted is None:
+            spec = SPECS.get((self.domain, name))
+            if spec is None:
                 continue
-            graph[name] = {i for i in wanted if (self.domain, i) in JOBS}
+            graph[name] = {i for i in (*spec.inputs, *([spec.state] if spec.state else [])) if (self.domain, i) in JOBS}
             todo += graph[name]
         return [n for n in TopologicalSorter(graph).static_order() if n in graph]
 
@@ -118,29 +194,70 @@ def materialize(
 
     A daily run stores one day of every table, and the open and earlier days that a milestone of that day touches. The
     first run of a warehouse takes ``days`` = 30, so that n-day jobs find their history in the facts and one-day tables.
-    Dimensions are read at the run's day. A to-date table adds the day to the table of the day before; without that, or
-    where its job keeps no state, it comes from the whole history of the sources. Repeating a run changes nothing.
-    Returns a warehouse that reads the stored tables.
+    Inputs are cut to the days that a job declares. Dimensions are read at the run's day. A to-date table adds the day to
+    the table of the day before; without that, or where its job keeps no state, it comes from the whole history of the
+    sources. An interval table is built from the whole history by the first run, from its open rows and the run's days
+    afterwards; a run of an earlier day takes it back to that day, so the days after it must be run again. Repeating a run
+    changes nothing. Returns a warehouse that reads the stored tables.
     """
-    sources = Warehouse(warehouse.domain, warehouse._tables, dt)
+    sources = warehouse.derive({}, dt)
     stored: dict[str, Table] = {}
     for name in sources.build_order(names):
         path = f"{root.rstrip('/')}/{name}"
-        layers = Warehouse(sources.domain, {**warehouse._tables, **stored}, dt)
-        history = name.startswith("dwd_") or name.endswith("_1d")
-        if history:
-            result = _touched(layers.run(name), MILESTONES[sources.domain, name], dt, days)
-        elif name.endswith("_td"):
-            before = _stored_day(spark, path, str(date.fromisoformat(dt) - timedelta(days=1)))
-            if before is None:
-                result = sources.run(name, dt)
-            else:
-                result = Warehouse(sources.domain, {**layers._tables, f"{name}@before": before}, dt).run(name, dt)
+        result = _result(spark, sources, stored, root, name, dt, days)
+        if SPECS[sources.domain, name].intervals:
+            overwrite_intervals(spark, result, path, _first_day(dt, days), OPEN_END)
         else:
-            result = layers.run(name, dt)
-        overwrite_partition(result, path, None if history else dt)
+            overwrite_partition(result, path, None if _is_history(name) else dt)
         stored |= path_tables(spark, root, [name])
-    return Warehouse(sources.domain, {**warehouse._tables, **stored}, dt)
+    return sources.derive(stored)
+
+
+def daily_plan(spark: SparkSession, warehouse: Warehouse, root: str, name: str, dt: str, days: int = 1) -> DataFrame:
+    """What :func:`materialize` would store for one job, given the other tables stored under ``root``."""
+    sources = warehouse.derive({}, dt)
+    needed = [n for n in sources.build_order([name]) if n != name]
+    return _result(spark, sources, path_tables(spark, root, needed), root, name, dt, days)
+
+
+def _result(spark: SparkSession, sources: Warehouse, stored: Mapping[str, Table], root: str, name: str, dt: str, days: int) -> DataFrame:
+    spec, first = SPECS[sources.domain, name], _first_day(dt, days)
+    path, layers = f"{root.rstrip('/')}/{name}", sources.derive(stored)
+    if spec.intervals:
+        before = _reopened(spark, path, spec.intervals, first)
+        if before is not None:
+            layers = layers.derive({f"{name}@before": before}, since=first)
+        rows = layers.window(name, None if before is None else first, dt).run(name)
+        closed = F.col("dt") if "dt" in rows.columns else closed_on(F.col("end_date"))
+        return rows.withColumn("dt", F.greatest(closed, F.lit(first).cast("date")))
+    if _is_history(name):
+        if spec.state:
+            state = SPECS[sources.domain, spec.state].intervals
+            before = _reopened(spark, f"{root.rstrip('/')}/{spec.state}", state, first)
+            layers = layers.derive({f"{spec.state}@before": before}, since=first)
+        return _touched(layers.window(name, first, dt).run(name), spec.milestones, dt, days)
+    if name.endswith("_td"):
+        before = _stored_day(spark, path, _day_before(dt))
+        return sources.run(name, dt) if before is None else layers.derive({f"{name}@before": before}).run(name, dt)
+    return layers.run(name, dt)
+
+
+def _is_history(name: str) -> bool:
+    return name.startswith("dwd_") or name.endswith("_1d")
+
+
+def _first_day(dt: str, days: int) -> str:
+    return str(date.fromisoformat(dt) - timedelta(days=days - 1))
+
+
+def _day_before(dt: str) -> str:
+    return str(date.fromisoformat(dt) - timedelta(days=1))
+
+
+def _reopened(spark: SparkSession, path: str, intervals: Intervals, first: str) -> DataFrame | None:
+    """An interval table as it stood before ``first``, or None where it is not stored yet."""
+    rows = _stored(spark, path)
+    return None if rows is None else intervals.reopen(rows.where(F.col("dt") >= F.lit(first).cast("date")), first)
 
 
 def _touched(rows: DataFrame, milestones: Sequence[str], dt: str, days: int) -> DataFrame:
@@ -158,8 +275,12 @@ def _touched(rows: DataFrame, milestones: Sequence[str], dt: str, days: int) ->
 
 
 def _stored_day(spark: SparkSession, path: str, dt: str) -> DataFrame | None:
+    return _stored(spark, f"{path}/dt={dt}")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(f"{path}/dt={dt}")
+        return spark.read.parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

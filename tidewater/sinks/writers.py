@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.functions import fmt_day, is_blank
+from tidewater.session import work_dir
 
 
 def overwrite_partition(df: DataFrame, path: str, dt: str | None = None, fmt: str = "parquet") -> None:
@@ -24,6 +26,31 @@ def overwrite_partition(df: DataFrame, path: str, dt: str | None = None, fmt: st
         .partitionBy("dt").save(path)
 
 
+def overwrite_intervals(spark: SparkSession, df: DataFrame, path: str, first: str, open_end: str) -> None:
+    """Write an interval table, partitioned by the day that closed a row: the days from ``first`` on and the open rows;
+    earlier days stay.
+
+    ``df`` may come from the table itself and is staged first. Closed days are written before the open rows: a run that
+    dies in between loses nothing, since the versions it closed are still open, and repeating it puts both right.
+    """
+    stage = work_dir(spark, "intervals")
+    df.write.parquet(stage)
+    staged = spark.read.schema(df.schema).parquet(stage)
+    closed = F.col("dt") != F.lit(open_end).cast("date")
+    try:
+        known = spark.read.schema(df.schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = staged.limit(0)
+    touched = closed & (F.col("dt") >= F.lit(first).cast("date"))
+    emptied = known.where(touched).select("dt").distinct().subtract(staged.where(closed).select("dt").distinct())
+    for row in emptied.toLocalIterator():
+        overwrite_partition(staged.limit(0), path, str(row.dt))
+    overwrite_partition(staged.where(closed), path)
+    overwrite_partition(staged.where(~closed), path, open_end)
+
+
 def append_partition(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Add rows. Repeating the job repeats the rows; prefer :func:`overwrite_partition`."""
     df.write.format(fmt).mode("append").partitionBy("dt").save(path)
