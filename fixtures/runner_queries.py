@@ -43,7 +43,7 @@ def stored_days(build: Callable[[Tables], Warehouse], t: Tables, names: list[str
 
 
 #: Registered name: where from, the job whose stored table is read, the last day, and how many days of it are read (a report
-#: or a to-date table has one, a fact the three days of the runs, a history all).
+#: or a to-date table has one, a fact the days of all runs, a history all).
 RUNNERS: dict[str, tuple[Callable[[Tables], Warehouse], str, str, int | None]] = {
     "runner_retail_order_stats": (retail, "ads_order_stats_by_tm", ORDER_DAY, 1),
     "runner_retail_order_to_date": (retail, "dws_trade_user_order_td", ORDER_DAY, 1),
@@ -51,7 +51,7 @@ RUNNERS: dict[str, tuple[Callable[[Tables], Warehouse], str, str, int | None]] =
     "runner_retail_user_history": (retail, "dim_user_zip", ORDER_DAY, None),
     "runner_retail_login_to_date": (retail, "dws_user_user_login_td", EVENT_DAY, 1),
     "runner_logistics_waybill_reached": (logistics_by_day, "dwm_waybill_reached", ORDER_DAY, None),
-    "runner_logistics_sign": (logistics_by_day, "dwd_trans_sign_detail_inc", ORDER_DAY, 3),
+    "runner_logistics_sign": (logistics_by_day, "dwd_trans_sign_detail_inc", ORDER_DAY, 32),
     "runner_logistics_under_way": (logistics_by_day, "ads_trans_order_stats_td", ORDER_DAY, 1),
     "runner_logistics_trans_order": (logistics_by_day, "ads_trans_order_stats", ORDER_DAY, 1),
     "runner_traffic_section_visit": (traffic_by_day, "ads_section_visit", EVENT_DAY, 1),

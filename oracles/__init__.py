@@ -21,5 +21,5 @@ def all_sql() -> dict[str, str]:
     out["runner_retail_user_history"] = retail.user_history(day)
     out["runner_logistics_waybill_reached"] = f"""SELECT * EXCLUDE (dt) FROM ({
         logistics.waybill_reached(f"WHERE moment < {day} + INTERVAL 1 DAY")})"""
-    out["runner_logistics_sign"] = f"SELECT * FROM ({out['logistics_dwd_trans_sign_detail_inc']}) WHERE CAST(dt AS DATE) BETWEEN {day} - 2 AND {day}"
+    out["runner_logistics_sign"] = f"SELECT * FROM ({out['logistics_dwd_trans_sign_detail_inc']}) WHERE CAST(dt AS DATE) BETWEEN {day} - 31 AND {day}"
     return out
