@@ -155,16 +155,16 @@ def test_near_copies_of_a_text_without_doc_id(spark):
 
 def test_leaks_against_brute_force(docs, plain, spark):
     bench = table(spark, "benchmark").unionByName(spark.createDataFrame([(900, None), (901, ""), (902, "a b c")], "item_id long, text string"))
-    cut = lambda t: [tuple(words(t.lower())[k:k + 5]) for k in range(len(words(t)) - 4)]
-    want = set()
-    for item, text in [(r.item_id, r.text) for r in bench.collect() if r.text]:
-        for i, t, _ in plain:
-            if cut(text) and i is not None and set(cut(text)) <= set(cut(t or "")):
-                want.add((i, item))
+
+    def shingles(text):
+        w = words((text or "").lower())
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+    texts = {i: shingles(t) for i, t, _ in plain if i is not None}
+    items = {r.item_id: shingles(r.text) for r in bench.collect()}
+    want = {(i, k) for i, have in texts.items() for k, item in items.items() if item and item <= have}
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
     assert want and want <= got
-    texts = {i: set(cut(t or "")) for i, t, _ in plain}
-    items = {r.item_id: set(cut(r.text)) for r in bench.collect() if r.text}
     assert all(len(items[k] & texts[i]) >= 0.7 * len(items[k]) for i, k in got)
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
     assert decontaminate.clean(docs, bench).count() == sum(i not in {x for x, _ in got} for i, _, _ in plain)
