@@ -255,12 +255,13 @@ def stream_dwd_base(t: Tables) -> DataFrame:
 
 @query
 def stream_user_dim(t: Tables) -> DataFrame:
-    """User columns merged one by one under salted keys."""
+    """One row per user under a salted key, its columns merged one by one."""
     path = work_dir(t.spark, "users")
     after = cdc.extract_after(cdc.parse_envelope(ods_changes(t.stream("orders")))).where(
         F.col("__table") == "ods_user_info")
     run_available(t.spark, after, "user-dim", sink=jobs.user_dim_sink(path))
-    return read_snapshot(t.spark, path)
+    cells = F.transform(F.map_entries("cells"), lambda e: F.concat_ws("=", e["key"], e["value"]["value"]))
+    return read_snapshot(t.spark, path).select("row_key", F.col("at").alias("ts_ms"), F.array_join(F.array_sort(cells), ",").alias("cells"))
 
 
 def _comments(t: Tables) -> DataFrame:

@@ -109,8 +109,8 @@ FROM u GROUP BY 1, 2"""
 GROUP BY ALL"""
     q["stream_user_dim"] = f"""WITH {ODS}, u AS (SELECT CAST(key AS VARCHAR) AS cell, ts_ms FROM ods
   WHERE tab = 'ods_user_info' AND op IN ('c', 'u'))
-SELECT {salted("dim_user_info", "cell")} AS row_key, "column", cell, ts_ms
-FROM u, (SELECT unnest(['user_id', 'order_id', 'order_detail_id', 'pay_id', 'refund_id']) AS "column")"""
+SELECT {salted("dim_user_info", "cell")} AS row_key, ts_ms, 'order_detail_id=' || cell || ',order_id=' || cell || ',pay_id=' || cell ||
+  ',refund_id=' || cell || ',user_id=' || cell AS cells FROM u"""
     q["stream_comment_join"] = f"WITH {EV}, {COMMENT} SELECT * FROM cj"
     q["stream_moderation"] = f"""WITH {EV}, {COMMENT}, m AS (SELECT *, split_part("commentTxt", ',', -1) AS w FROM cj)
 SELECT user_id, info_consignee AS consignee, ts_ms, ds, "commentTxt" AS msg, CASE WHEN r_name IS NULL THEN 0 ELSE 1 END AS is_violation,

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
@@ -6,8 +7,11 @@ from tidewater.sinks import (
     merge_history,
     overwrite_partition,
     read_snapshot,
+    rebucket,
     scan_snapshot,
+    upsert_cells,
     upsert_snapshot,
+    vacuum,
     write_day_buckets,
 )
 from tidewater.sources import (
@@ -61,6 +65,54 @@ def test_snapshot_replay_and_versions(spark, rows):
     assert scan_snapshot(spark, path, 1).count() == 1
 
 
+def test_only_touched_buckets_are_written(spark, rows):
+    path, schema = work_dir(spark, "buckets"), "k bigint, v string, ts bigint"
+    base = spark.range(200).selectExpr("id k", "'old' v", "0L ts")
+    upsert_snapshot(spark, base, ["k"], ["ts"], path, 0, buckets=8)
+    first = {f for f in read_snapshot(spark, path).inputFiles()}
+    touched = upsert_snapshot(spark, spark.createDataFrame([(7, "new", 1)], schema), ["k"], ["ts"], path, 1)
+    second = {f for f in read_snapshot(spark, path).inputFiles()}
+    assert len(second) == len(first) == 8 and len(first & second) == 7
+    assert touched.where("k = 7 and v = 'new'").count() == 1 and touched.count() < 60
+    assert rows(read_snapshot(spark, path).groupBy("v").count(), "v", "count") == [("new", 1), ("old", 199)]
+    upsert_snapshot(spark, spark.createDataFrame([(7, "new", 1)], schema), ["k"], ["ts"], path, 1)
+    assert set(read_snapshot(spark, path).inputFiles()) == second
+    with pytest.raises(ValueError, match="older"):
+        upsert_snapshot(spark, base, ["k"], ["ts"], path, 0)
+
+
+def test_an_unfinished_batch_is_not_seen(spark, rows):
+    path, schema = work_dir(spark, "torn"), "k string, v string, ts bigint"
+    upsert_snapshot(spark, spark.createDataFrame([("a", "1", 1), ("b", "1", 1)], schema), ["k"], ["ts"], path, 0, buckets=2)
+    spark.createDataFrame([("x", "9", 9)], schema).selectExpr("*", "0 as of_bucket").write.partitionBy("of_bucket").parquet(f"{path}/data/of_batch=1")
+    assert rows(read_snapshot(spark, path), "k", "v") == [("a", "1"), ("b", "1")]
+    upsert_snapshot(spark, spark.createDataFrame([("a", "2", 2)], schema), ["k"], ["ts"], path, 1)
+    assert rows(read_snapshot(spark, path), "k", "v") == [("a", "2"), ("b", "1")]
+
+
+def test_new_columns_deletions_other_buckets_and_vacuum(spark, rows):
+    path = work_dir(spark, "wide")
+    upsert_snapshot(spark, spark.createDataFrame([("a", 1), ("b", 1)], "k string, ts bigint"), ["k"], ["ts"], path, 0, buckets=4)
+    more = spark.createDataFrame([("a", 2, "x"), ("b", 2, "gone")], "k string, ts bigint, v string")
+    upsert_snapshot(spark, more, ["k"], ["ts"], path, 1, deleted=F.col("v") == "gone")
+    assert rows(read_snapshot(spark, path), "k", "ts", "v") == [("a", 2, "x")]
+    rebucket(spark, path, 2, 3)
+    upsert_snapshot(spark, spark.createDataFrame([("c", 1)], "k string, ts bigint"), ["k"], ["ts"], path, 3)
+    want = [("a", 2, "x"), ("c", 1, None)]
+    assert rows(read_snapshot(spark, path), "k", "ts", "v") == want
+    assert vacuum(spark, path, keep=1) == [0, 1, 2] and rows(read_snapshot(spark, path), "k", "ts", "v") == want
+    assert vacuum(spark, path, keep=1) == []
+
+
+def test_cells_of_a_key(spark):
+    path, schema = work_dir(spark, "cells"), "k string, c map<string,string>, at bigint"
+    upsert_cells(spark, spark.createDataFrame([("u", {"a": "1", "b": "1"}, 5), ("u", {"a": "0"}, 1), ("w", {"a": "9"}, 1)], schema),
+                 "k", "c", "at", path, 0)
+    upsert_cells(spark, spark.createDataFrame([("u", {"b": "2", "c": "3"}, 2)], schema), "k", "c", "at", path, 1)
+    got = {r.k: (r["at"], {n: c.value for n, c in r.cells.items()}) for r in read_snapshot(spark, path).collect()}
+    assert got == {"u": (5, {"a": "1", "b": "2", "c": "3"}), "w": (1, {"a": "9"})}
+
+
 def test_nulls_do_not_overwrite(spark, rows):
     path = work_dir(spark, "n")
     schema = "k string, a string, b string, ts bigint"

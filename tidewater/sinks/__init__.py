@@ -1,4 +1,13 @@
-from tidewater.sinks.snapshot import read_snapshot, scan_snapshot, snapshot_writer, upsert_snapshot
+from tidewater.sinks.snapshot import (
+    merge_into,
+    read_snapshot,
+    rebucket,
+    scan_snapshot,
+    snapshot_writer,
+    upsert_cells,
+    upsert_snapshot,
+    vacuum,
+)
 from tidewater.sinks.writers import (
     append_partition,
     apply_dim_config,
@@ -11,7 +20,7 @@ from tidewater.sinks.writers import (
 )
 
 __all__ = [
-    "append_partition", "apply_dim_config", "merge_history", "overwrite_partition", "read_snapshot",
-    "route_to_topics", "scan_snapshot", "snapshot_writer", "upsert_snapshot", "write_day_buckets", "write_events",
-    "write_jdbc",
+    "append_partition", "apply_dim_config", "merge_history", "merge_into", "overwrite_partition", "read_snapshot", "rebucket",
+    "route_to_topics", "scan_snapshot", "snapshot_writer", "upsert_cells", "upsert_snapshot", "vacuum", "write_day_buckets",
+    "write_events", "write_jdbc",
 ]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import add_day, money
 from tidewater.operators import cdc, logs
 from tidewater.operators.joins import attach
-from tidewater.sinks.snapshot import upsert_snapshot
+from tidewater.sinks.snapshot import upsert_cells, upsert_snapshot
 from tidewater.streaming.times import interval_join, with_event_time
 from tidewater.streaming.windows import (
     action_stats,
@@ -230,12 +230,12 @@ def dwd_base(streams: Frames) -> Frames:
 
 
 def user_dim_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Micro-batch sink for the user dimension: columns are merged one by one and nulls overwrite nothing."""
+    """Micro-batch sink for the user dimension: one row per user, whose cells are merged one by one; nulls overwrite
+    nothing."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         good, _ = cdc.user_dim_rows(batch)
-        pairs = good.select("row_key", "ts_ms", F.explode("columns").alias("column", "cell"))
-        upsert_snapshot(batch.sparkSession, pairs, ["row_key", "column"], ["ts_ms"], path, batch_id)
+        upsert_cells(batch.sparkSession, good, "row_key", "columns", "ts_ms", path, batch_id)
 
     return sink
 
