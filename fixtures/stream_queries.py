@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.envelopes import customer_changes, envelope, log_texts, ods_changes, order_changes
+from fixtures.envelopes import customer_changes, envelope, log_texts, ods_changes, order_changes, pick
 from fixtures.plain import plain
 from fixtures.tables import Tables, events_with_k, tag
 from tidewater.operators import cdc
@@ -237,6 +237,31 @@ def stream_dim_bus(t: Tables) -> DataFrame:
     return read_snapshot(t.spark, path)
 
 
+def _config_changes(t: Tables) -> DataFrame:
+    """A configuration read at first, changed, deleted, created anew and changed again, one step a region."""
+    r = F.col("r_regionkey")
+    sink = pick(["dim_customer", "dim_buyer", "dim_buyer", "dim_customer", "dim_client"], r)
+    row = F.struct(F.lit("customer").alias("source_table"), sink.alias("sink_table"),
+                   F.when(r < 3, "c_custkey").otherwise("c_name").alias("sink_row_key"))
+    text = envelope(F.lit(jobs.CONFIG_TABLE), pick(["r", "u", "d", "c", "u"], r), row, r * 20)
+    return t.region.select(text.alias("value"), (r * 20).cast("bigint").alias("at"))
+
+
+@query
+def config_bus(t: Tables) -> DataFrame:
+    """Customer changes and, between them, changes of the configuration; a file is a micro-batch."""
+    source, config, path = (work_dir(t.spark, n) for n in ("config-bus", "config", "config-dims"))
+    at = F.col("c_custkey") % 100
+    op = F.when(F.col("c_custkey") % 10 == 0, "d").otherwise("c")
+    row = F.struct("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    texts = t.customer.select(envelope(F.lit("customer"), op, row, at).alias("value"), at.alias("at")).unionByName(_config_changes(t))
+    for low, high in ((0, 35), (35, 70), (70, 100)):
+        texts.where(F.col("at").between(low, high - 1)).select("value").coalesce(1).write.mode("append").parquet(source)
+    bus = t.spark.readStream.schema("value string").option("maxFilesPerTrigger", 1).parquet(source)
+    run_available(t.spark, bus, "config-bus", sink=jobs.config_bus_sink(config, path))
+    return read_snapshot(t.spark, path)
+
+
 @query
 def stream_ods_bootstrap(t: Tables) -> DataFrame:
     """Raw and extracted changes with their topics."""
@@ -332,8 +357,10 @@ def stream_is_new(t: Tables) -> DataFrame:
 
 @query
 def stream_dedup_bloom(t: Tables) -> DataFrame:
-    """Duplicate filter with a Bloom filter; at this rate a false positive is not to be expected."""
+    """Duplicate filter with Bloom filters per day, made for far fewer keys than come; at this rate a false positive is not
+    to be expected."""
     use_rocksdb(t.spark)
-    e = events(t).select("event_id", "user_id", F.concat_ws("_", "user_id", F.unix_millis("ts")).alias("key"))
-    twice = e.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return run_available(t.spark, dedup_bloom(twice, "key", 1_000_000, 1e-6, buckets=8), "bloom")
+    e = events(t).withWatermark("ts", "2 days")
+    keyed = e.select("event_id", "user_id", F.concat_ws("_", "user_id", F.unix_millis("ts")).alias("key"), "ts")
+    twice = keyed.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return run_available(t.spark, dedup_bloom(twice, "key", 50, 1e-6, buckets=2, ts="ts", slice_seconds=86400), "bloom").drop("ts")

@@ -103,6 +103,10 @@ FROM u GROUP BY 1, 2"""
     q["stream_visit_daily"] = f"WITH {EV}, {VISIT_MIN} SELECT {DAY}, {visits} FROM vmin GROUP BY 1"
     q["stream_db_router"] = ROUTED
     q["stream_dim_bus"] = CUSTOMER_DIM
+    q["config_bus"] = """SELECT CASE WHEN t < 20 THEN 'dim_customer' WHEN t < 40 THEN 'dim_buyer' WHEN t < 80 THEN 'dim_customer' ELSE 'dim_client' END AS sink_table,
+  md5(CASE WHEN t < 40 THEN CAST(c_custkey AS VARCHAR) ELSE c_name END) AS row_key,
+  'c_custkey=' || c_custkey || ',c_mktsegment=' || c_mktsegment || ',c_name=' || c_name || ',c_nationkey=' || c_nationkey AS columns,
+  t AS ts_ms FROM (SELECT *, c_custkey % 100 AS t FROM customer) WHERE c_custkey % 10 <> 0 AND NOT t BETWEEN 40 AND 59"""
     q["stream_ods_bootstrap"] = f"""WITH {ODS}, x AS (SELECT 'ods_mysql_' || tab || '_raw' AS topic FROM ods
   UNION ALL SELECT 'ods_mysql_' || tab FROM ods WHERE op <> 'd') SELECT topic, count(*) AS n FROM x GROUP BY 1"""
     q["stream_dwd_base"] = f"""WITH {ODS} SELECT {DWD_TOPIC} AS topic, CAST(dt AS VARCHAR) AS dt, count(*) AS n FROM ods WHERE op <> 'd'

@@ -137,6 +137,56 @@ def test_bloom_filter_drops_repeats(spark, tmp_path, rows):
     assert rows(run_available(spark, dedup_bloom(stream, "key", 1000, 0.001, buckets=2), "bloom")) == [("a",), ("b",), ("c",)]
 
 
+def test_bloom_filters_grow_and_go_by_slice(spark, tmp_path):
+    use_rocksdb(spark)
+    day = lambda n: [(f"{n}-{i}", n * 86_400 + i % 80_000) for i in range(1_500)]
+    batches = [day(1) + day(1)[:200], day(1)[100:300] + day(2), day(2)[:700] + day(4), day(4)[:50] + day(1)[:30]]
+    stream = files(spark, tmp_path / "in", batches, "key string, s bigint").withColumn("ts", F.timestamp_seconds("s")).withWatermark("ts", "1 day")
+    got = run_available(spark, dedup_bloom(stream, "key", 20, 0.02, buckets=1, ts="ts", slice_seconds=86_400), "slices")
+    keys = [r.key for r in got.collect()]
+    assert len(keys) == len(set(keys))
+    # A filter made for 20 keys met 1,500 a slice: what it wrongly drops stays within the rate.
+    assert 4_500 * (1 - 0.02) <= len(keys) <= 4_500
+
+
+def test_configuration_holds_from_change_to_change(spark, rows):
+    def config(source, sink, key="id"):
+        return {"source_table": source, "sink_table": sink, "sink_row_key": key}
+
+    changes = spark.createDataFrame(
+        [("r", None, config("a", "dim_a"), 5), ("u", config("a", "dim_a"), config("a", "dim_b"), 10), ("d", config("a", "dim_b"), None, 20),
+         ("c", None, config("a", "dim_c"), 20), ("u", config("a", "dim_c"), config("b", "dim_c"), 30), ("c", None, config("z", "dim_z"), 7)],
+        "op string, before map<string,string>, after map<string,string>, ts_ms bigint")
+    versions = cdc.config_versions(changes.unionAll(changes.limit(2)))
+    assert rows(versions, "source_table", "sink_table", "valid_from", "valid_to") == sorted(
+        [("a", "dim_a", None, 10), ("a", "dim_b", 10, 20), ("a", "dim_c", 20, 30), ("b", "dim_c", 30, None), ("z", "dim_z", 7, None)], key=repr)
+    texts = [json.dumps({"op": "c", "after": {"id": str(at)}, "source": {"table": t}, "ts_ms": at})
+             for t, at in [("a", 1), ("a", 9), ("a", 10), ("a", 20), ("a", 30), ("b", 29), ("b", 31), ("z", None), ("y", 1)]]
+    routed = cdc.route_by_versions(cdc.parse_envelope(spark.createDataFrame([(x,) for x in texts], "value string")), versions)
+    assert rows(routed.select("sink_table", F.col("ts_ms"))) == sorted(
+        [("dim_a", 1), ("dim_a", 9), ("dim_b", 10), ("dim_c", 20), ("dim_c", 31), ("dim_z", None)], key=repr)
+
+
+def test_config_bus_makes_and_drops_targets(spark, tmp_path, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bus")
+
+    def text(op, table, row, at):
+        return (json.dumps({"op": op, "before" if op == "d" else "after": row, "source": {"table": table}, "ts_ms": at}),)
+
+    def config(op, sink, at):
+        return text(op, jobs.CONFIG_TABLE, {"source_table": "a", "sink_table": sink, "sink_row_key": "id"}, at)
+
+    batches = [[text("c", "a", {"id": "1"}, 1), config("c", "dim_one", 5), text("c", "a", {"id": "2"}, 6)],
+               [config("d", "dim_one", 8), text("c", "a", {"id": "3"}, 9), text("u", "a", {"id": "2", "n": "x"}, 7)],
+               [config("c", "dim_two", 12), text("c", "a", {"id": "4"}, 13), text("c", "a", {"id": "5"}, 7)]]
+    stream = files(spark, tmp_path / "in", batches, "value string")
+    store = work_dir(spark, "bus")
+    run_available(spark, stream, "bus", sink=jobs.config_bus_sink(work_dir(spark, "config"), store, database="bus", schema_of=lambda n: "row_key string"))
+    got = read_snapshot(spark, store).select("sink_table", F.col("columns")["id"].alias("id"), "ts_ms")
+    assert rows(got) == [("dim_one", "2", 7), ("dim_one", "5", 7), ("dim_two", "4", 13)]
+    assert {t.name for t in spark.catalog.listTables("bus")} == {"dim_two"}
+
+
 def test_snapshot_completion_by_change(spark, tmp_path):
     use_rocksdb(spark)
 

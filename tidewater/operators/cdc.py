@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from tidewater.functions import add_day, is_blank, parsed_once, salted_key
@@ -155,6 +156,46 @@ def route_by_config(envelopes: DataFrame, config: DataFrame) -> DataFrame:
         F.col("after").alias("columns"), "ts_ms")
 
 
+def config_versions(changes: DataFrame) -> DataFrame:
+    """Which configuration held when, from all its changes (see :func:`clean_config_cdc`).
+
+    One row per source table and span: ``source_table``, ``sink_table``, ``sink_row_key``, ``valid_from`` (null: always, for
+    a row that the initial snapshot read) and ``valid_to`` (exclusive; null: still). An update that moves a configuration to
+    another source table ends it for the old one. Changes count in order of their time, at one time a delete first. A
+    source table has few changes, so the window over them is small.
+    """
+    def of(side: str, name: str) -> Column:
+        return F.try_element_at(F.col(side), F.lit(name))
+
+    def step(side: str, live: bool) -> Column:
+        return F.struct(of(side, "source_table").alias("source_table"), of(side, "sink_table").alias("sink_table"),
+                        of(side, "sink_row_key").alias("sink_row_key"), F.lit(live).alias("live"))
+
+    moved = (F.col("op") == "u") & ~of("before", "source_table").eqNullSafe(of("after", "source_table"))
+    steps = F.array_compact(F.array(F.when((F.col("op") == "d") | moved, step("before", False)),
+                                    F.when(F.col("op") != "d", step("after", True))))
+    at = F.when(F.col("op") != "r", F.col("ts_ms"))
+    rows = changes.select(at.alias("valid_from"), F.explode(steps).alias("s")).select("valid_from", "s.*").where("source_table is not null").distinct()
+    ahead = Window.partitionBy("source_table").orderBy(F.col("valid_from").asc_nulls_first(), "live", "sink_table", "sink_row_key")
+    spans = rows.withColumn("valid_to", F.lead("valid_from").over(ahead)).withColumn("__last", F.lead("live").over(ahead).isNull())
+    return spans.where(F.col("live") & (F.col("__last") | F.col("valid_to").isNotNull())).select(
+        "source_table", "sink_table", "sink_row_key", "valid_from", "valid_to")
+
+
+def route_by_versions(envelopes: DataFrame, versions: DataFrame) -> DataFrame:
+    """Dimension rows by the configuration that held at their time; a row without a time takes the one that holds now.
+
+    ``versions`` comes from :func:`config_versions`. The source table is an equal key and the span a condition beside it.
+    """
+    rows = envelopes.where(F.col("op").isNotNull() & (F.col("op") != "d"))
+    now, at = F.col("valid_to").isNull(), F.col("ts_ms")
+    held = (F.col("valid_from").isNull() | (at >= F.col("valid_from"))) & (now | (at < F.col("valid_to")))
+    routed = rows.join(versions, (F.col("source.table") == F.col("source_table")) & F.when(at.isNull(), now).otherwise(held))
+    return routed.select(
+        "sink_table", F.md5(F.try_element_at(F.col("after"), F.col("sink_row_key"))).alias("row_key"),
+        F.col("after").alias("columns"), "ts_ms")
+
+
 def comment_fact(envelopes: DataFrame) -> DataFrame:
     """Comment rows with the columns of the comment fact."""
     rows = envelopes.where((F.col("source.table") == "comment_info") & F.col("after").isNotNull())

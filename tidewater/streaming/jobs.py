@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tidewater.functions import add_day, money
 from tidewater.operators import cdc, logs
 from tidewater.operators.joins import attach
-from tidewater.sinks.snapshot import upsert_cells, upsert_snapshot
+from tidewater.sinks.snapshot import read_snapshot, upsert_cells, upsert_snapshot
+from tidewater.sinks.writers import apply_dim_config
 from tidewater.streaming.times import interval_join, with_event_time
 from tidewater.streaming.windows import (
     action_stats,
@@ -45,6 +46,40 @@ def dim_bus_sink(config: Callable[[], DataFrame], path: str) -> Callable[[DataFr
     return sink
 
 
+#: Source table whose changes are the configuration of the dimension bus.
+CONFIG_TABLE = "table_process_dim"
+
+
+def config_bus_sink(
+    config_path: str, path: str, config_table: str = CONFIG_TABLE, database: str | None = None,
+    schema_of: Callable[[str], str] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch sink for a change bus that carries the configuration's changes beside those of the dimension tables.
+
+    Changes of the configuration are kept under ``config_path``; the rows of a batch are routed by the version that held at
+    their own time, so the order of rows within a batch, or of batches, does not decide. A change must not come later than
+    the batch of the first row that needs it. With a ``database``, target tables are created and dropped as the changes say.
+    Rows of one target and key are merged under ``path``, the newest by time stays.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, envelopes = batch.sparkSession, cdc.parse_envelope(batch).persist()
+        try:
+            is_config = F.coalesce(F.col("source.table") == config_table, F.lit(False))
+            changes = cdc.clean_config_cdc(envelopes.where(is_config))
+            entries = [F.to_json(c) for c in ("before", "after")]
+            kept = changes.withColumn("change", F.md5(F.concat_ws("|", "op", F.col("ts_ms").cast("string"), *entries)))
+            upsert_snapshot(spark, kept, ["change"], ["ts_ms"], config_path, batch_id, buckets=1)
+            if database is not None:
+                apply_dim_config(spark, changes, schema_of, database)
+            rows = cdc.route_by_versions(envelopes.where(~is_config), cdc.config_versions(read_snapshot(spark, config_path)))
+            upsert_snapshot(spark, rows, ["sink_table", "row_key"], ["ts_ms"], path, batch_id, last_batch_wins=False)
+        finally:
+            envelopes.unpersist()
+
+    return sink
+
+
 def comment_bus(streams: Frames, dictionary: DataFrame, order_schema: str, delay: str = "3 seconds") -> Frames:
     """Comments with the name of their grade and the order they belong to."""
     envelopes = cdc.parse_envelope(streams["cdc"])

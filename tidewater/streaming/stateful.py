@@ -154,42 +154,88 @@ def snapshot_completion(phased: DataFrame, table: str = "table", salt: int = 8)
 
 
 class _Bloom(StatefulProcessor):
-    """Bloom filter of the keys seen in one bucket."""
+    """Bloom filters of the keys seen in one bucket of one time slice.
 
-    def __init__(self, bits: int, hashes: int):
-        self.bits, self.hashes = bits, hashes
+    A filter that holds as many keys as it was made for stays as it is, and a new one of twice the size and half the rate
+    takes the next keys, so all filters together stay below the wanted rate however many keys come.
+    """
+
+    def __init__(self, capacity: int, fpp: float, end: bool):
+        self.capacity, self.fpp, self.end = capacity, fpp, end
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.filter = handle.getValueState("filter", "bits binary")
+        self.handle = handle
+        self.filters = handle.getMapState("filters", "layer int", "bits binary, fill bigint")
+
+    def _shape(self, layer: int) -> tuple[int, int, int]:
+        """Keys, bits and hashes of a layer."""
+        keys, rate = self.capacity << layer, self.fpp / (2 << layer)
+        bits = max(8, math.ceil(-keys * math.log(rate) / math.log(2) ** 2))
+        return keys, bits, max(1, round(bits / keys * math.log(2)))
+
+    def _places(self, layer: int, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        _, bits, hashes = self._shape(layer)
+        steps = np.arange(1, hashes + 1, dtype=np.uint64)
+        at = (h1[:, None] + h2[:, None] * steps[None, :]) % np.uint64(bits)
+        return (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
 
     def handleInputRows(self, key, rows, timerValues):
-        if self.filter.exists():
-            words = np.frombuffer(self.filter.get()[0], dtype=np.uint8).copy()
-        else:
-            words = np.zeros((self.bits + 7) // 8, dtype=np.uint8)
+        filters = {k[0]: [np.frombuffer(v[0], dtype=np.uint8).copy(), v[1]] for k, v in self.filters.iterator()}
+        if self.end and not filters:
+            self.handle.registerTimer(int(key[0]))
+        changed = set()
         for part in rows:
             part = part.drop_duplicates(["h1_", "h2_"])
             h1 = part["h1_"].to_numpy().astype(np.uint64)
             h2 = part["h2_"].to_numpy().astype(np.uint64) | np.uint64(1)
-            steps = np.arange(1, self.hashes + 1, dtype=np.uint64)
-            at = (h1[:, None] + h2[:, None] * steps[None, :]) % np.uint64(self.bits)
-            byte, bit = (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
-            known = ((words[byte] >> bit) & 1).all(axis=1)
-            np.bitwise_or.at(words, byte, np.left_shift(np.uint8(1), bit))
-            yield part[~known].drop(columns=["h1_", "h2_", "bucket_"])
-        self.filter.update((words.tobytes(),))
+            known = np.zeros(len(part), bool)
+            for layer, (words, _) in filters.items():
+                byte, bit = self._places(layer, h1, h2)
+                known |= ((words[byte] >> bit) & 1).all(axis=1)
+            yield part[~known].drop(columns=["h1_", "h2_", "bucket_", "slice_"])
+            h1, h2 = h1[~known], h2[~known]
+            while len(h1):
+                layer = max(filters, default=0)
+                keys, bits, _ = self._shape(layer)
+                if layer in filters and filters[layer][1] >= keys:
+                    layer += 1
+                    keys, bits, _ = self._shape(layer)
+                words, fill = filters.setdefault(layer, [np.zeros((bits + 7) // 8, dtype=np.uint8), 0])
+                room = min(keys - fill, len(h1))
+                byte, bit = self._places(layer, h1[:room], h2[:room])
+                np.bitwise_or.at(words, byte, np.left_shift(np.uint8(1), bit))
+                filters[layer][1] = fill + room
+                changed.add(layer)
+                h1, h2 = h1[room:], h2[room:]
+        for layer in changed:
+            self.filters.updateValue((layer,), (filters[layer][0].tobytes(), filters[layer][1]))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.filters.clear()
+        yield from ()
 
     def close(self) -> None:
         pass
 
 
-def dedup_bloom(df: DataFrame, key: str, expected: int, fpp: float, buckets: int = 64) -> DataFrame:
-    """Duplicate filter with constant state, opt-in: at the false-positive rate it also drops new keys. The exact
-    form is :func:`dedup_exact`. Keys are spread over ``buckets`` filters."""
-    per_bucket = max(1, math.ceil(expected / buckets))
-    bits = max(8, math.ceil(-per_bucket * math.log(fpp) / math.log(2) ** 2))
-    hashes = max(1, round(bits / per_bucket * math.log(2)))
+def dedup_bloom(df: DataFrame, key: str, expected: int, fpp: float, buckets: int = 64, ts: str | None = None,
+                slice_seconds: int = 3600) -> DataFrame:
+    """Duplicate filter with small state, opt-in: at most at the false-positive rate it also drops new keys. The exact form
+    is :func:`dedup_exact`.
+
+    Keys are spread over ``buckets``. ``expected`` keys (of a time slice, where there is one) fit the first filters; more
+    keys get more filters at a lower rate, so none is lost for want of room. ``ts`` names a time column with a watermark
+    that is the same in every copy of a row, as in keys made of an id and a time: filters are then kept per slice of that
+    time and go once the watermark has passed the slice. Rows without that time share one slice that stays; rows behind the
+    watermark are late. Without ``ts`` the filters stay for good.
+    """
+    first = max(1, math.ceil(expected / buckets))
+    at = F.lit(0).cast("bigint")
+    if ts is not None:
+        width = slice_seconds * 1000
+        at = F.coalesce((F.floor(F.unix_millis(ts) / width) + 1) * width, F.lit((1 << 62))).cast("bigint")
     hashed = df.withColumns({
-        "h1_": F.xxhash64(F.col(key)), "h2_": F.xxhash64(F.col(key), F.lit(1)),
+        "h1_": F.xxhash64(F.col(key)), "h2_": F.xxhash64(F.col(key), F.lit(1)), "slice_": at,
         "bucket_": F.pmod(F.hash(F.col(key)), F.lit(buckets))})
-    return hashed.groupBy("bucket_").transformWithStateInPandas(_Bloom(bits, hashes), df.schema, "append", "none")
+    return hashed.groupBy("slice_", "bucket_").transformWithStateInPandas(
+        _Bloom(first, fpp, ts is not None), df.schema, "append", "none" if ts is None else "EventTime")
