@@ -15,6 +15,7 @@ from tidewater.operators import cdc
 from tidewater.operators.sets import union_all
 from tidewater.session import work_dir
 from tidewater.sinks import read_snapshot, snapshot_writer
+from tidewater.sources import append_log, read_cdc, read_events
 from tidewater.streaming import jobs
 from tidewater.streaming.run import fan_out, run_available
 from tidewater.streaming.stateful import dedup_bloom, dedup_exact, keep_newest, use_rocksdb
@@ -216,7 +217,7 @@ def stream_db_router(t: Tables) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
 
     texts = order_changes(t.stream("orders"))
-    run_available(t.spark, texts, "router", sink=fan_out(lambda b: jobs.db_router({"cdc": b}), write))
+    run_available(t.spark, texts, "router", sink=fan_out(cdc.route_by_table, write, prepare=jobs.db_rows))
     routed = [
         cdc.typed_payload(t.spark.read.parquet(f"{root}/{n}"), "id bigint", keep=["op", "event_time"]).withColumn(
             "stream", F.lit(n)) for n in cdc.FACT_STREAMS.values()]
@@ -320,6 +321,43 @@ def stream_moderation(t: Tables) -> DataFrame:
     return jobs.moderation({"comments": _comments(t)}, words)["checked"]
 
 
+# ---- sources
+
+
+def _consume(rows: DataFrame, out: str, checkpoint: str) -> None:
+    writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+@query
+def stream_event_log(t: Tables) -> DataFrame:
+    """Five topics of an event log, half of it there at the first start and the rest, with a batch that is repeated, after a
+    restart; records without a value are tombstones."""
+    log, out, checkpoint = (work_dir(t.spark, n) for n in ("event-log", "event-rows", "event-checkpoint"))
+    e = t.event_rows()
+    value = F.when(F.col("k") % 50 != 0, F.to_json(F.struct("event_id", "user_id")))
+    rows = e.select(tag("log_", "event_type").alias("topic"), F.col("user_id").cast("string").alias("key"), value.alias("value"),
+                    F.unix_millis("ts").alias("timestamp"), (F.col("dt") >= F.lit("2024-01-15").cast("date")).alias("late"))
+    topics = [f"log_{x}" for x in ("click", "error", "purchase", "signup", "view")]
+    for batch, some in ((0, rows.where(~F.col("late"))), (1, rows.where("late")), (1, rows.where("late"))):
+        append_log(some, log, batch)
+        _consume(read_events(t.spark, "event_log", path=log, subscribe=topics), out, checkpoint)
+    read = t.spark.read.parquet(out)
+    return read.select("topic", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
+                       F.get_json_object("value", "$.user_id").cast("bigint").alias("user_id"), F.unix_millis("timestamp").alias("ts_ms"))
+
+
+@query
+def stream_cdc_log(t: Tables) -> DataFrame:
+    """Change envelopes read from an event log: fact rows by stream and operation."""
+    log, out, checkpoint = (work_dir(t.spark, n) for n in ("cdc-log", "cdc-rows", "cdc-checkpoint"))
+    append_log(order_changes(t.orders).select(F.lit("db").alias("topic"), F.lit(None).cast("string").alias("key"), "value"), log, 0)
+    changes = cdc.normalize_cdc(cdc.parse_envelope(read_cdc(t.spark, "event_log", path=log, subscribe=["db"])))
+    routed = changes.withColumn("stream", cdc.fact_stream(F.col("_table"), F.col("op"))).where("stream is not null")
+    _consume(cdc.typed_payload(routed, "id bigint", keep=["op", "event_time", "stream"]), out, checkpoint)
+    return t.spark.read.parquet(out)
+
+
 # ---- keyed state
 
 

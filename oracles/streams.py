@@ -102,6 +102,9 @@ FROM u GROUP BY 1, 2"""
     visits = ", ".join(z(m) for m in ("pv", "uv", "duration_ms", "bounce_ct", "session_ct"))
     q["stream_visit_daily"] = f"WITH {EV}, {VISIT_MIN} SELECT {DAY}, {visits} FROM vmin GROUP BY 1"
     q["stream_db_router"] = ROUTED
+    q["stream_cdc_log"] = ROUTED
+    q["stream_event_log"] = f"""WITH {EV} SELECT 'log_' || event_type AS topic, event_id, user_id, epoch_us(ts) // 1000 AS ts_ms
+FROM ev WHERE k % 50 <> 0"""
     q["stream_dim_bus"] = CUSTOMER_DIM
     q["config_bus"] = """SELECT CASE WHEN t < 20 THEN 'dim_customer' WHEN t < 40 THEN 'dim_buyer' WHEN t < 80 THEN 'dim_customer' ELSE 'dim_client' END AS sink_table,
   md5(CASE WHEN t < 40 THEN CAST(c_custkey AS VARCHAR) ELSE c_name END) AS row_key,

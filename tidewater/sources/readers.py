@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.sources import event_log
+
 
 def read_events(
     spark: SparkSession,
@@ -19,10 +21,13 @@ def read_events(
 ) -> DataFrame:
     """A stream of events.
 
-    For ``kafka`` the topics of ``subscribe`` form one stream read from the earliest offset; the result has the
-    columns ``topic``, ``value`` (text) and ``timestamp``, with tombstones removed. Other formats are file streams
-    over ``path``.
+    For ``kafka``, and for ``event_log`` under ``path``, the topics of ``subscribe`` form one stream read from the earliest
+    offset; the result has the columns ``topic``, ``value`` (text) and ``timestamp``, with tombstones removed. Other formats
+    are file streams over ``path``.
     """
+    if fmt == event_log.FORMAT:
+        raw = event_log.read_log(spark, path, list(subscribe) or None, **(options or {}))
+        return decode_value(raw).select("topic", "value", "timestamp")
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         reader = reader.option("startingOffsets", "earliest").option("subscribe", ",".join(subscribe))
@@ -40,9 +45,9 @@ def decode_value(df: DataFrame, column: str = "value") -> DataFrame:
 
 def read_cdc(spark: SparkSession, fmt: str, options: Mapping[str, str] | None = None, path: str | None = None,
              subscribe: Sequence[str] = ()) -> DataFrame:
-    """Captured change envelopes, one JSON text per row in ``value``, from Kafka or from text files."""
-    if fmt == "kafka":
-        return read_events(spark, "kafka", options, subscribe=subscribe)
+    """Captured change envelopes, one JSON text per row in ``value``, from Kafka, an event log or text files."""
+    if fmt in ("kafka", event_log.FORMAT):
+        return read_events(spark, fmt, options, path=path, subscribe=subscribe)
     return read_events(spark, fmt, options, "value string", path)
 
 

@@ -41,16 +41,18 @@ def run_available(
 
 
 def fan_out(
-    split: Callable[[DataFrame], Mapping[str, DataFrame]], write: Callable[[str, DataFrame, int], None]
+    split: Callable[[DataFrame], Mapping[str, DataFrame]], write: Callable[[str, DataFrame, int], None],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A sink that splits a micro-batch into several outputs; the batch is read and parsed once."""
+    """A sink that splits a micro-batch into several outputs. What ``prepare`` makes of the batch, such as parsed rows, is
+    kept for all of them; without it the batch itself is."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        kept = (prepare(batch) if prepare else batch).persist()
         try:
-            for name, rows in split(batch).items():
+            for name, rows in split(kept).items():
                 write(name, rows, batch_id)
         finally:
-            batch.unpersist()
+            kept.unpersist()
 
     return sink
