@@ -27,7 +27,8 @@ from tidewater.sinks import (
     write_day_buckets,
     write_events,
 )
-from tidewater.sources import ingest_full, ingest_inc
+from tidewater.sinks.published import publish, read_published
+from tidewater.sources import ingest_full, ingest_inc, load_device_records, read_json_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -310,3 +311,39 @@ def snapshot_merge_columns(t: Tables) -> DataFrame:
     for _ in range(2):
         upsert_snapshot(t.spark, changes, ["id"], ["version"], path, 1, skip_nulls=True)
     return scan_snapshot(t.spark, path)
+
+
+def _device_texts(t: Tables) -> DataFrame:
+    """Device records as text lines; every 50th number gives a broken one."""
+    k = F.col("k")
+    record = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("log_id"),
+        F.struct(tag("brand", k % 3).alias("brand"), tag("u", "user_id").alias("uname")).alias("device"),
+        F.struct(tag("10.0.0.", k % 200).alias("ip")).alias("gis"), F.struct(F.lit("wifi").alias("net")).alias("network"),
+        F.col("event_type").alias("opa"), F.col("value").alias("ts"), tag("p", k).alias("product_id"),
+        F.array(tag("w", k % 5), tag("w", k % 7)).alias("keywords"), "dt"))
+    return t.event_rows().select(F.when(k % 50 == 0, F.concat(F.lit("broken "), record)).otherwise(record).alias("value"), "dt")
+
+
+@query
+def device_load(t: Tables) -> DataFrame:
+    """Device records from text files, published by day halves; the second load is repeated and must not count again."""
+    source, path = work_dir(t.spark, "device-texts"), work_dir(t.spark, "devices")
+    late = F.col("dt") >= F.lit("2024-01-15").cast("date")
+    texts = _device_texts(t)
+    for name, rows in (("early", texts.where(~late)), ("late", texts.where(late))):
+        rows.select("value").write.text(f"{source}/{name}")
+    schema = load_device_records(t.spark, f"{source}/early").schema
+    for name in ("early", "late", "late"):
+        publish(load_device_records(t.spark, f"{source}/{name}"), path, name, batch_size=2_000)
+    rows = read_published(t.spark, path, schema)
+    return rows.select("log_id", "brand", "uname", "ip", "net", "opa", "ts", "product_id", "keywords")
+
+
+@query
+def json_lines(t: Tables) -> DataFrame:
+    """The same lines with a schema of their own; a line that does not parse keeps its text."""
+    source = work_dir(t.spark, "json-lines")
+    _device_texts(t).select("value").write.text(source)
+    rows = read_json_lines(t.spark, source, "log_id string, opa string, ts double")
+    return rows.select("log_id", "opa", "ts", F.substring("_corrupt_record", 1, 6).alias("broken"))

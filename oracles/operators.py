@@ -78,6 +78,12 @@ SELECT topic, count(*) AS n FROM x GROUP BY 1"""
     q["snapshot_phase"] = f"""WITH {ODS} SELECT tab AS "table", CASE op WHEN 'r' THEN 'snapshot' ELSE 'stream' END AS phase,
   count(*) AS n FROM ods GROUP BY ALL"""
     q["dim_route"] = CUSTOMER_DIM
+    q["device_load"] = f"""WITH {EV} SELECT CAST(event_id AS VARCHAR) AS log_id, 'brand' || (k % 3) AS brand, 'u' || user_id AS uname,
+  '10.0.0.' || (k % 200) AS ip, 'wifi' AS net, event_type AS opa, value AS ts, 'p' || k AS product_id,
+  'w' || (k % 5) || ',w' || (k % 7) AS keywords FROM ev WHERE k % 50 <> 0"""
+    q["json_lines"] = f"""WITH {EV} SELECT CASE WHEN k % 50 <> 0 THEN CAST(event_id AS VARCHAR) END AS log_id,
+  CASE WHEN k % 50 <> 0 THEN event_type END AS opa, CASE WHEN k % 50 <> 0 THEN value END AS ts,
+  CASE WHEN k % 50 = 0 THEN 'broken' END AS broken FROM ev"""
     q["user_dim_salted"] = f"""WITH {ODS}, u AS (SELECT CAST(key AS VARCHAR) AS user_id, ts_ms FROM ods
   WHERE tab = 'ods_user_info' AND op IN ('c', 'u'))
 SELECT {salted("dim_user_info", "user_id")} AS row_key, user_id, ts_ms FROM u"""
