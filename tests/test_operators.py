@@ -1,6 +1,7 @@
 """Hand cases of the operators."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -105,6 +106,25 @@ def test_top_three_keeps_ties(spark, rows):
     assert rows(rank_all(df, "v"), "i", "rk") == [(0, 1), (1, 2), (2, 3), (3, 3), (4, 5)]
 
 
+def test_rank_over_many_values(spark):
+    rng = random.Random(3)
+    values = [None if i % 50 == 0 else rng.choice([0, -1, 1, -2.5, 2.0**40, rng.uniform(-9, 9), rng.randint(-2000, 2000)]) for i in range(400)]
+    got = rank_all(spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "v double"), "v")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    known = [v for v in values if v is not None]
+    want = sorted(1 + (sum(x > v for x in known) if v is not None else len(known)) for v in values)
+    assert sorted(r.rk for r in got.collect()) == want
+    windows = [line.split("windowspecdefinition(")[1] for line in plan.split("\n") if "windowspecdefinition(" in line]
+    assert windows and all(w.startswith("__c#") for w in windows)
+
+
+def test_shares_read_the_aggregate_once(spark, rows):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 3), ("b", "x", 0), (None, "x", 5)], "g string, p string, n int")
+    got = share_of(df, ["g"], {"ratio": "n"})
+    assert rows(got) == sorted([("a", "x", 0.25), ("a", "y", 0.75), ("b", "x", None)], key=repr)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_top_share_counts_all_keys(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("b", 1), ("c", 9)], "p string, u int")
     assert rows(top_share(df, "p", "u", 1)) == [("a", 2, 0.5)]

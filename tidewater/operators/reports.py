@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewater.functions import ratio, step_label
 from tidewater.operators.rollups import in_days
@@ -71,12 +72,12 @@ def repeat_rate(orders: DataFrame, entity: str, keys: Sequence[str], count: str,
 
 
 def share_of(df: DataFrame, group: Sequence[str], measures: dict[str, str]) -> DataFrame:
-    """Share of each row in the sum of its group; ``measures`` maps output to input columns."""
-    sums = df.groupBy(*group).agg(*[F.sum(src).alias(f"__t_{out}") for out, src in measures.items()])
-    return df.join(sums, list(group)).select(
+    """Share of each row in the sum of its group; ``measures`` maps output to input columns. ``df`` is an aggregate with one
+    row per group and part, which is read once; parts of no group have no share."""
+    whole = Window.partitionBy(*group)
+    return df.dropna(subset=list(group)).select(
         *[c for c in df.columns if c not in measures.values()],
-        *[F.try_divide(F.col(src).cast("double"), F.col(f"__t_{out}")).alias(out) for out, src in measures.items()],
-    )
+        *[F.try_divide(F.col(src).cast("double"), F.sum(src).over(whole)).alias(out) for out, src in measures.items()])
 
 
 def driver_split(trips: DataFrame, halves: Sequence[str], whole: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -98,17 +98,32 @@ def rank_in(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: st
     return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
+def _cell(value: Column) -> Column:
+    """A whole number that does not fall as the value rises: its binary order with six more bits, about 1.5 % wide."""
+    size = F.abs(value.cast("double"))
+    order = F.floor(F.log2(size))
+    cell = (order + 1_100) * 128 + F.floor(size / F.pow(F.lit(2.0), order - 6))
+    return F.when(value == 0, F.lit(0)).otherwise(F.when(value < 0, -cell).otherwise(cell)).cast("bigint")
+
+
 def rank_all(df: DataFrame, value: str, out: str = "rk") -> DataFrame:
-    """Rank over the whole table, largest first.
+    """Rank over the whole table by a number, largest first, nulls last.
 
-    The window runs over the distinct values with their row counts, not over the rows, and the result is joined
-    back, so no task sorts the table.
+    Distinct values with their row counts are dealt to cells of neighbouring values. Ranks are counted inside the cells, and
+    what lies in higher cells is added: the sums per cell are added up in one row, as there are only a few thousand cells
+    however many rows. No task sorts the table, nor all its distinct values.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    above = Window.orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(
-        F.col(value).alias("__v"), (F.coalesce(F.sum("__n").over(above), F.lit(0)) + 1).alias(out)
-    )
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__n")).withColumn("__c", _cell(F.col(value)))
+    cells = counts.groupBy("__c").agg(F.sum("__n").alias("__s"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("__c").isNull().alias("last"), (-F.col("__c")).alias("down"), F.col("__s").alias("s"))))
+    list_of = cells.agg(ordered.alias("a"))
+    before = F.transform("a", lambda x, i: F.struct(
+        (-x["down"]).alias("__k"), F.aggregate(F.slice("a", 1, i), F.lit(0).cast("bigint"), lambda t, y: t + y["s"]).alias("__before")))
+    starts = list_of.select(F.inline(before))
+    above = Window.partitionBy("__c").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = counts.withColumn("__in", F.coalesce(F.sum("__n").over(above), F.lit(0)))
+    ranks = inside.join(starts, inside["__c"].eqNullSafe(starts["__k"])).select(
+        F.col(value).alias("__v"), (F.col("__before") + F.col("__in") + 1).alias(out))
     return df.join(ranks, df[value].eqNullSafe(ranks["__v"])).drop("__v")
 
 
