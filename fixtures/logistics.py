@@ -60,25 +60,19 @@ def logistics_tables(t: Tables) -> dict:
 
     def changes() -> DataFrame:
         """The log behind the waybills: a row per state a waybill passed, now and then one more update of the last."""
-        key, end = F.col("o_orderkey"), state()
+        key, end, j = F.col("o_orderkey"), state().cast("int"), F.col("j")
+        gone, code = end == 60999, j * 10 + 60010
 
         def at(step):
             return later("o_orderdate", 0, step * (key % 4) * 21600 + key % 3600)
 
-        def row(code, when):
-            return F.struct(code.alias("code"), when.alias("at"))
-
-        gone = end == "60999"
-        path = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: row((j * 10 + 60010).cast("string"), at(j)))
-        passed = F.filter(path, lambda x: F.when(gone, x["code"] <= F.when(key % 2 == 0, "60020").otherwise("60010")).otherwise(
-            ((x["code"] != "60040") & (x["code"] <= end)) | (x["code"] == end)))
-        dropped = row(end, later("o_orderdate", 2, key % 3600))
-        last = F.when(gone, dropped["at"]).otherwise(at(F.try_divide(end.cast("int") - 60010, F.lit(10)).cast("int")))
-        again = row(end, last + F.expr("INTERVAL 2 DAYS 1 HOUR"))
-        none = F.filter(F.array(again), lambda x: F.lit(False))
-        rows = F.concat(passed, F.when(gone, F.array(dropped)).otherwise(none), F.when(key % 5 == 0, F.array(again)).otherwise(none))
-        log = t.orders.withColumn("x", F.explode(rows))
-        return headers(log, F.col("x.code"), F.col("x.at"), F.to_date("x.at").alias("dt"))
+        dropped = later("o_orderdate", 2, key % 3600)
+        last = F.when(gone, dropped).otherwise(at((end - 60010) / 10))
+        on_path = F.when(gone, j <= 1 - key % 2).otherwise(((j != 3) & (code <= end)) | (code == end))
+        log = t.orders.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(9)))).where(
+            F.when(j <= 7, on_path).when(j == 8, gone).otherwise(key % 5 == 0))
+        moment = F.when(j <= 7, at(j)).when(j == 8, dropped).otherwise(last + F.expr("INTERVAL 2 DAYS 1 HOUR"))
+        return headers(log, F.when(j <= 7, code).otherwise(end).cast("string"), moment, F.to_date(moment).alias("dt"))
 
     def headers(rows: DataFrame, status, updated, *more) -> DataFrame:
         key, user = F.col("o_orderkey"), F.col("o_custkey")

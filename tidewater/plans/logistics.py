@@ -207,18 +207,28 @@ def dwm_waybill_reached(wh: Warehouse, dt: str | None) -> DataFrame:
 
 
 def _first_changes(wh: Warehouse, event: str, take: list[str]) -> DataFrame:
-    """The change with which a waybill reached an event for the first time; nothing counts after it was closed."""
+    """The change with which a waybill reached an event for the first time, its time as ``updated``; nothing counts after it
+    was closed.
+
+    Changes are ordered by one number made of time and state; changes of one waybill with the same time and state are taken
+    as one change. Every column is an aggregate of its own, so those that nobody reads are not carried.
+    """
     reached, closed = _has_reached(event), _has_reached("sign") | _has_reached("cancel")
-    change = F.min_by(F.struct(*take), F.when(reached, F.struct("updated", "status")))
-    best = _waybills(wh, "ods_order_change").where(reached | closed).groupBy("id").agg(
-        change.alias("h"), F.min(F.when(closed, F.col("updated"))).alias("__closed"), F.min("placed").alias("__placed"))
-    first = best.where(F.col("h").isNotNull() & F.coalesce(F.col("h.updated") <= F.col("__closed"), F.lit(True)))
+    log = _waybills(wh, "ods_order_change").where(reached | closed)
+    second = F.unix_timestamp(F.to_timestamp("updated"))
+    rank = F.when(reached, second * 100_000 + F.col("status").cast("int"))
+    best = log.groupBy("id").agg(
+        F.min(rank).alias("__first"), F.min(F.when(closed, second)).alias("__closed"), F.min("placed").alias("__placed"),
+        *[F.min_by(c, rank).alias(c) for c in take if c != "updated"])
+    at = F.floor(F.col("__first") / 100_000)
+    first = best.withColumn("updated", F.timestamp_seconds(at)).where(
+        F.col("__first").isNotNull() & F.coalesce(at <= F.col("__closed"), F.lit(True)))
     before = wh.before("dwm_waybill_reached")
     if before is not None:
         done = F.col(event).isNotNull() | (F.col("dt") != F.lit(OPEN_END).cast("date"))
         first = attach(first, before.select("id", done.alias("done")), {"id": "id"}, {"__done": "done"})
         first = first.where(F.coalesce(~F.col("__done"), F.col("__placed") >= F.lit(wh.since).cast("date")))
-    return first.select("id", "h.*")
+    return first.select("id", *take)
 
 
 def _waybill_fact(wh: Warehouse, dt: str | None, event: str, name: str) -> DataFrame:
