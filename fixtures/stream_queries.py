@@ -12,6 +12,7 @@ from fixtures.envelopes import customer_changes, envelope, log_texts, ods_change
 from fixtures.plain import plain
 from fixtures.tables import Tables, events_with_k, tag
 from tidewater.operators import cdc
+from tidewater.operators.sequences import latest
 from tidewater.operators.sets import union_all
 from tidewater.session import work_dir
 from tidewater.sinks import read_snapshot, snapshot_writer
@@ -62,14 +63,39 @@ def bills(e: DataFrame, kind: str, amount: str) -> DataFrame:
 # ---- minute statistics
 
 
-def _order_minute(t: Tables) -> DataFrame:
-    out = jobs.order_window({"order_detail": order_lines(events(t))})
+def closed_stream(t: Tables, df: DataFrame, at: str, closing: DataFrame, name: str) -> DataFrame:
+    """A stream of four micro-batches: three files of rows in time order, then rows of a later time, which close every window
+    before them and stay open themselves."""
+    path = work_dir(t.spark, name)
+    seconds = F.unix_seconds(F.col(at).cast("timestamp")) if df.schema[at].dataType.typeName() != "long" else F.col(at) / 1000
+    low, high = df.agg(F.min(seconds), F.max(seconds)).first()
+    part = F.least(F.floor((seconds - low) * 3 / F.lit(high - low + 1)), F.lit(2))
+    for i in range(3):
+        df.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    month = F.lit(30 * 86_400_000) if df.schema[at].dataType.typeName() == "long" else F.expr("INTERVAL 30 DAYS")
+    closing.withColumn(at, F.col(at) + month).select(df.columns).coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def closed_events(t: Tables) -> DataFrame:
+    return events_with_k(closed_stream(t, t.events, "ts", latest(t.events, ["event_type"], ["ts"]), "events"))
+
+
+def _order_minute(t: Tables, e: DataFrame) -> DataFrame:
+    out = jobs.order_window({"order_detail": order_lines(e)})
     return run_available(t.spark, out["order_stats"], "order-minute")
 
 
 @query
 def stream_order_minute(t: Tables) -> DataFrame:
-    return _order_minute(t)
+    """One micro-batch; the windows that the watermark has not passed are still open."""
+    return _order_minute(t, events(t))
+
+
+@query
+def stream_order_minute_closed(t: Tables) -> DataFrame:
+    """All windows, over several micro-batches."""
+    return _order_minute(t, closed_events(t))
 
 
 def _paid(t: Tables) -> DataFrame:
@@ -97,12 +123,18 @@ def stream_refund_join(t: Tables) -> DataFrame:
 
 @query
 def stream_payment_minute(t: Tables) -> DataFrame:
-    """Join and window in one stream; windows the watermark has not passed are still open. Their number depends on
-    the watermark alone, so only windows that end a day before the last event are kept."""
-    out = jobs.payment_window({"payment": bills(events(t), "signup", "total_amount"),
-                               "order_detail": order_lines(events(t))})
-    rows = run_available(t.spark, out["payment_stats"], "payment-minute")
-    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+    """Join and window in one stream."""
+    e = closed_events(t)
+    out = jobs.payment_window({"payment": bills(e, "signup", "total_amount"), "order_detail": order_lines(e)})
+    return run_available(t.spark, out["payment_stats"], "payment-minute")
+
+
+@query
+def stream_refund_minute(t: Tables) -> DataFrame:
+    """The same for refunds."""
+    e = closed_events(t)
+    out = jobs.refund_window({"refund": bills(e, "error", "refund_amount"), "order_detail": order_lines(e)})
+    return run_available(t.spark, out["refund_stats"], "refund-minute")
 
 
 def _log_parts(t: Tables) -> dict[str, DataFrame]:
@@ -137,23 +169,28 @@ def _action_minute(t: Tables, mode: str = "stream") -> DataFrame:
     parts = _log_parts(t)
     if mode == "batch":
         return jobs.action_window(parts)["action_stats"]
-    streams = {k: _again(t, parts[k].drop("batch"), k) for k in ("display", "action")}
+    streams = _closed_parts(t, parts, "display", "action")
     return run_available(t.spark, jobs.action_window(streams)["action_stats"], "action-minute")
 
 
+def _closed_parts(t: Tables, parts: jobs.Frames, *names: str) -> jobs.Frames:
+    out = {}
+    for name in names:
+        rows = parts[name].drop("batch")
+        out[name] = closed_stream(t, rows, "ts", rows.orderBy(F.col("ts").desc()).limit(1), name)
+    return out
+
+
 @query
 def stream_action_minute(t: Tables) -> DataFrame:
-    """Windows of the whole log; the stream has closed all but the last ones."""
-    rows = _action_minute(t)
-    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+    """Windows of the whole log."""
+    return _action_minute(t)
 
 
 @query
 def stream_visit_minute(t: Tables) -> DataFrame:
-    parts = _log_parts(t)
-    streams = {k: _again(t, parts[k].drop("batch"), k) for k in ("page", "start")}
-    rows = run_available(t.spark, jobs.visit_window(streams)["visit_stats"], "visit-minute")
-    return rows.where(F.col("edt") <= F.lit("2024-01-29 12:00:00").cast("timestamp").cast("bigint") * 1000)
+    streams = _closed_parts(t, _log_parts(t), "page", "start")
+    return run_available(t.spark, jobs.visit_window(streams)["visit_stats"], "visit-minute")
 
 
 # ---- daily totals: update mode, written over by (dt, key)

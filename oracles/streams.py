@@ -11,7 +11,6 @@ LINES = """line AS (
   FROM ev WHERE event_type = 'purchase')"""
 
 MIN = "{0} // 60000 * 60000 AS stt, {0} // 60000 * 60000 + 60000 AS edt"
-LATEST = "CAST(epoch_ms(TIMESTAMP '2024-01-29 12:00:00') AS BIGINT)"
 
 ORDER_MIN = f"""{LINES}, omin AS (
   SELECT {MIN.format("ms")}, sku_id, count(*) AS order_ct, CAST(sum(sku_num) AS BIGINT) AS sku_num, sum(amount) AS order_amount,
@@ -72,12 +71,14 @@ cj AS (SELECT * FROM cm JOIN om ON order_id = info_id AND info_tm_ms BETWEEN ts_
 def sql() -> dict[str, str]:
     q = {}
     omin = "SELECT stt, edt, sku_id, order_ct, sku_num, CAST(order_amount AS DOUBLE) AS order_amount, order_user_ct FROM omin"
+    q["stream_order_minute_closed"] = f"WITH {EV}, {ORDER_MIN} {omin}"
     q["stream_order_minute"] = f"WITH {EV}, {ORDER_MIN} {omin} WHERE edt <= (SELECT max(ms) - 3000 FROM line)"
     pmin = "SELECT stt, edt, sku_id, payment_ct, CAST(payment_amount AS DOUBLE) AS payment_amount, payment_user_ct FROM pmin"
     q["stream_payment_join"] = f"WITH {EV}, {LINES}, {PAY} {pmin}"
-    q["stream_payment_minute"] = f"WITH {EV}, {LINES}, {PAY} {pmin} WHERE edt <= {LATEST}"
+    q["stream_payment_minute"] = f"WITH {EV}, {LINES}, {PAY} {pmin}"
     q["stream_refund_join"] = f"""WITH {EV}, {LINES}, {REF} SELECT stt, edt, sku_id, refund_ct,
   CAST(refund_amount AS DOUBLE) AS refund_amount, refund_user_ct FROM rmin"""
+    q["stream_refund_minute"] = q["stream_refund_join"]
     q["stream_log_bus"] = f"""WITH {EV}, {GOOD}, f AS (
   SELECT *, CASE WHEN dt = min(dt) OVER (PARTITION BY user_id) THEN '1' ELSE '0' END AS is_new FROM good), x AS (
   SELECT 'err' AS kind, '-' AS is_new FROM f WHERE event_type = 'error'
@@ -87,8 +88,8 @@ def sql() -> dict[str, str]:
   UNION ALL SELECT 'page', is_new FROM f WHERE event_type <> 'signup'
   UNION ALL SELECT 'dirty', '-' FROM ev WHERE k % 50 = 0)
 SELECT kind, is_new, count(*) AS n FROM x GROUP BY ALL"""
-    q["stream_action_minute"] = f"WITH {EV}, {ACT_MIN} SELECT * FROM amin WHERE edt <= {LATEST}"
-    q["stream_visit_minute"] = f"WITH {EV}, {VISIT_MIN} SELECT * FROM vmin WHERE edt <= {LATEST}"
+    q["stream_action_minute"] = f"WITH {EV}, {ACT_MIN} SELECT * FROM amin"
+    q["stream_visit_minute"] = f"WITH {EV}, {VISIT_MIN} SELECT * FROM vmin"
     q["stream_trade_daily"] = f"WITH {ALL_MIN} SELECT {DAY}, sku_id, {ORDER_SUMS}, {PAY_SUMS}, {REF_SUMS} FROM u GROUP BY 1, 2"
     q["stream_overview_daily"] = f"""WITH {ALL_MIN}, d AS (SELECT {DAY}, {ORDER_SUMS}, {PAY_SUMS}, {REF_SUMS} FROM u GROUP BY 1)
 SELECT *, CASE WHEN payment_user_ct = 0 THEN 0 ELSE payment_amount / payment_user_ct END AS arp FROM d"""
