@@ -1,6 +1,7 @@
 """Operators for training data against brute force on small tables, with nulls, empty texts, ties and repeated rows."""
 
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -245,6 +246,37 @@ def test_html():
     assert html_text.main_texts([page, None, "", "<p"], model)[:3] == ["A & b\nOne two three.\nFour five, six.", "", ""]
 
 
+BODY = "<p>The first sentence, with some words. And another one.</p><p>A second paragraph, also long enough, to be text.</p>"
+PLAIN = "The first sentence, with some words. And another one.\nA second paragraph, also long enough, to be text."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>Title</h1><svg width=1/>{BODY}</article>", f"Title\n{PLAIN}"),
+    (f"<article><h1>Title</h1><svg viewBox='0'><path/>{BODY}</article>", f"Title\n{PLAIN}"),
+    (f"<article><svg><svg></svg><text>no</text></svg>{BODY}</article>", PLAIN),
+    ("Bare text, without any block. <b>It</b> has two &amp; sentences.", "Bare text, without any block. It has two & sentences."),
+    ("<html><nav><ul><li><a href=x>Home</a></li></ul></nav>Text after a menu, quite long. It has sentences.</html>",
+     "Text after a menu, quite long. It has sentences."),
+    (f"<article><p data-x=don't>It's here, with an apostrophe.</p>{BODY}</article>", f"It's here, with an apostrophe.\n{PLAIN}"),
+    (f'<article><p title="never closed>Hello there, world.</p>{BODY}</article>', f"Hello there, world.\n{PLAIN}"),
+    (f"<article><p>a < b and 3 <4, as we see.</p>{BODY}<!-- no --><![CDATA[no]]></article>", f"a < b and 3 <4, as we see.\n{PLAIN}"),
+    (f"<article>{BODY}<script>if (a < b) no()", PLAIN),
+    (f"<article>{BODY * 400}</article>", "\n".join([PLAIN] * 400)),
+    ("<", "<"), ("<!--", ""), ("</", ""), ("<p", "")])
+def test_broken_and_odd_pages(page, text):
+    assert html_text.main_texts([page], html_text.train())[0] == text
+
+
+@pytest.mark.parametrize("part", ["<a '", "<b ", "<!", "</", "<svg>", "<p><b>", "</p>", "<a x=\"", "<i><b></i>", "<noscript>", "<svg><svg>"])
+def test_pages_are_read_in_time_in_proportion(part):
+    took = []
+    for n in (100_000, 400_000):
+        start = time.process_time()
+        html_text.parse("<p>x" + part * (n // len(part)))
+        took.append(time.process_time() - start)
+    assert took[1] < 1 or took[1] < 9 * took[0]
+
+
 def test_html_pages(spark):
     got = llm_queries()["op5_html_text"](spark, SMALL).collect()
     pages = {r.page_id: r.html for r in table(spark, "pages").collect()}

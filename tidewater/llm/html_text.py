@@ -6,6 +6,7 @@ import functools
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,9 @@ FURNITURE = set("nav menu navbar header footer aside sidebar side notice cookie
                 "sponsored promo form newsletter subscribe comment comments reply replies discussion share social related "
                 "breadcrumb breadcrumbs pagination pager widget popup modal login search copyright toolbar masthead button".split())
 ARTICLE = set("article main content post entry story body text page".split())
-MARKUP = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-TOKENS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: A tag opens with its name; then come attributes, of which only a value after "=" may be quoted, up to ">".
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+ATTRIBUTE = re.compile(r"[\s/]*+(?:(>)|([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?)")
 N_FEATURES = 15
 
 
@@ -43,67 +45,112 @@ class Node:
             parent.kids.append(self)
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """Block elements in page order and the text runs with their block; a None block ends a run. Broken markup is closed as browsers do."""
-    root = Node("#", None)
-    nodes, runs, open_, links, at = [root], [], [(root, "#")], 0, 0
-
-    def text(raw: str) -> None:
-        node = open_[-1][0]
-        runs.append((node, entities.unescape(raw)))
-        n = len(raw.strip())
-        node.chars += n
-        node.linked += n if links else 0
-        node.stops += sum(map(raw.count, ".,;?!"))
-
-    def close(upto: int) -> None:
-        nonlocal links
-        for _, name in open_[upto:]:
-            links -= name == "a"
-        del open_[upto:]
-
-    while True:
-        m = MARKUP.search(page, at)
-        if m is None or m.start() > at:
-            text(page[at:m.start() if m else len(page)])
+def tokens(page: str) -> Iterator[tuple[str, str, str]]:
+    """Text runs ("text", text, ""), start tags ("start", name, class, id and role) and end tags ("end", name, "") in page order.
+
+    Every position is read a bounded number of times, whatever is left open. As in browsers, a tag, comment or script that the
+    page never ends takes the rest; a quote that is never closed is part of an unquoted value. Other elements without markup
+    inside (``RAW``) lose their tag only when they never end; a self-closed one is empty.
+    """
+    at = start = 0
+    endless = set()
+    while (at := page.find("<", at)) >= 0:
+        m = TAG.match(page, at)
+        if m is None and page[at + 1:at + 2] not in ("!", "?", "/"):
+            at += 1
+            continue
+        if at > start:
+            yield "text", page[start:at], ""
         if m is None:
-            return nodes, runs
-        at, tag = m.end(), (m[2] or "").lower()
-        if not tag:
+            mark = "-->" if page.startswith("<!--", at) else ">"
+            end = page.find(mark, at + 2)
+            at = start = end + len(mark) if end >= 0 else len(page)
             continue
+        at, name, told = m.end(), m[2].lower(), []
+        while (x := ATTRIBUTE.match(page, at)) and not x[1]:
+            at = x.end()
+            if x[2].lower() in ("class", "id", "role"):
+                told.append(x[3] or x[4] or x[5] or "")
+        at = start = x.end() if x else len(page)
+        if x is None:
+            break
         if m[1]:
-            i = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][1] == tag), 0)
-            if i and (tag not in INLINE or all(x in INLINE for _, x in open_[i:])):
-                close(i)
-                if tag not in INLINE:
-                    runs.append((None, ""))
-            continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        if tag == "br":
-            runs.append((open_[-1][0], " "))
-        if tag in VOID:
-            if tag == "hr":
-                runs.append((None, ""))
-            continue
-        if tag in INLINE:
-            open_.append((open_[-1][0], tag))
-            links += tag == "a"
-            open_[-1][0].tags += 1
-            continue
-        ends = {"p"} | CLOSES.get(tag, set())
-        i = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][1] in ends or open_[i][1] not in INLINE), 0)
-        if i and open_[i][1] in ends:
-            close(i)
+            yield "end", name, ""
+        elif name not in RAW:
+            yield "start", name, " ".join(told).lower()
+        elif page[at - 2] != "/" and name not in endless:
+            end = raw_end(page, at, name)
+            if end < 0 and name not in ("script", "style"):
+                endless.add(name)
+            else:
+                at = start = end if end >= 0 else len(page)
+    if start < len(page):
+        yield "text", page[start:], ""
+
+
+def raw_end(page: str, at: int, name: str) -> int:
+    """The position after the end tag of a raw element that began before ``at``, -1 without one; drawings may be nested."""
+    depth, last = 1, -1
+    for m in re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])", re.I).finditer(page, at):
+        if m[1]:
+            depth, last = depth - 1, m.end()
+        elif name == "svg" and page[page.find(">", m.end()) - 1] != "/":
+            depth += 1
+        if depth == 0:
+            break
+    return -1 if last < 0 else page.find(">", last) + 1 or len(page)
+
+
+def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
+    """Block elements in page order and the text runs with their block; a None block ends a run. Broken markup is closed as browsers do.
+
+    A block that begins or ends closes the inline elements open in its parent, so only those of the innermost block are kept.
+    """
+    root = Node("#", None)
+    nodes, runs, blocks, inline, held = [root], [], [root], [], Counter()
+
+    def close_inline(upto: int = 0) -> None:
+        held.subtract(inline[upto:])
+        del inline[upto:]
+
+    def close_block() -> None:
+        close_inline()
+        held[blocks.pop().tag] -= 1
+
+    for kind, name, told in tokens(page):
+        node = blocks[-1]
+        if kind == "text":
+            runs.append((node, entities.unescape(name)))
+            n = len(name.strip())
+            node.chars += n
+            node.linked += n if held["a"] > 0 else 0
+            node.stops += sum(map(name.count, ".,;?!"))
+        elif kind == "end":
+            if held[name] <= 0:
+                continue
+            if name in INLINE:
+                close_inline(max(i for i, x in enumerate(inline) if x == name))
+                continue
+            while blocks[-1].tag != name:
+                close_block()
+            close_block()
+            runs.append((None, ""))
+        elif name in VOID:
+            if name in ("br", "hr"):
+                runs.append((node, " ") if name == "br" else (None, ""))
+        elif name in INLINE:
+            inline.append(name)
+            held[name] += 1
+            node.tags += 1
         else:
-            close(i + 1)
-        found = " ".join("".join(x) for x in TOKENS.findall(m[3])).lower()
-        node = Node(tag, open_[-1][0], frozenset(re.split(r"[^a-z]+", f"{tag} {found}")))
-        nodes.append(node)
-        open_.append((node, tag))
-        runs.append((None, ""))
+            if node.tag == "p" or node.tag in CLOSES.get(name, ()):
+                close_block()
+            close_inline()
+            blocks.append(Node(name, blocks[-1], frozenset(re.split(r"[^a-z]+", f"{name} {told}"))))
+            held[name] += 1
+            nodes.append(blocks[-1])
+            runs.append((None, ""))
+    return nodes, runs
 
 
 def features(nodes: list[Node]) -> np.ndarray:
@@ -116,14 +163,16 @@ def features(nodes: list[Node]) -> np.ndarray:
             tags[id(n.parent)] += 1
     out, bad, good = np.zeros((len(nodes), N_FEATURES)), {}, {}
     page = max(total[id(nodes[0])], 1)
+    place = {id(k): i for n in nodes for i, k in enumerate(n.kids)}
+    alike = {id(n): Counter(k.tag for k in n.kids) for n in nodes}
     for i, n in enumerate(nodes):
         p = n.parent
         own_bad, own_good = len(n.names & FURNITURE), len(n.names & ARTICLE)
         bad[id(n)], good[id(n)] = (own_bad + bad[id(p)], own_good + good[id(p)]) if p else (own_bad, own_good)
-        size, kin = total[id(n)], p.kids if p else [n]
+        size, kin = total[id(n)], len(p.kids) if p else 1
         out[i] = (math.log1p(size), size / page, linked[id(n)] / max(size, 1), stops[id(n)] / max(size, 1), math.log1p(n.chars),
                   tags[id(n)] / max(size, 1) * 100, own_bad, bad[id(n)] - own_bad, own_good, good[id(n)] - own_good, n.depth,
-                  len(kin), kin.index(n) / len(kin) if len(kin) < 50 else 0.5, sum(k.tag == n.tag for k in kin[:50]) / min(len(kin), 50),
+                  kin, place.get(id(n), 0) / kin, alike[id(p)][n.tag] / kin if p else 1.0,
                   n.tag in ("p", "h1", "h2", "h3", "blockquote", "pre", "li", "td"))
     return out
 
@@ -146,8 +195,9 @@ def layouts(pages: int, seed: int = 11) -> Iterator[tuple[str, str]]:
                 box("form", None, f"<label>{say(1, 3)}</label><input><button>{say(1, 2)}</button>"),
                 box("div", name("related", "share social", "newsletter"), f"<p>{say(4, 20)}</p>")]
 
-    for _ in range(pages):
-        paragraphs = [say(*((2, 8) if rng.random() < 0.2 else (8, 90))) for _ in range(rng.integers(1, 9))]
+    for k in range(pages):
+        several = rng.integers(60, 200) if k % 25 == 24 else rng.integers(1, 9)
+        paragraphs = [say(*((2, 8) if rng.random() < 0.2 else (8, 90 if several < 60 else 30))) for _ in range(several)]
         title = say(2, 9)
         tags = [name("p", "p", "p", "p", "li", "blockquote", "h2") for _ in paragraphs]
         inside = [f"<h1>{title}</h1>"] + [f"<ul><li>{x}</li></ul>" if t == "li" else f"<{t}>{x}</{t}>" for t, x in zip(tags, paragraphs)]
@@ -218,7 +268,7 @@ def chosen(nodes: list[Node], runs: list, f: np.ndarray) -> str:
             best[id(k)] = keep[id(k)] > drop[id(k)]
             keep[id(n)] += max(keep[id(k)], drop[id(k)])
             drop[id(n)] += drop[id(k)]
-    taken = {id(nodes[0]): True}
+    taken = {id(nodes[0]): keep[id(nodes[0])] > drop[id(nodes[0])]}
     for n in nodes[1:]:
         taken[id(n)] = taken[id(n.parent)] and best[id(n)]
     blocks, now, block = [], [], None
@@ -227,7 +277,7 @@ def chosen(nodes: list[Node], runs: list, f: np.ndarray) -> str:
             blocks.append(" ".join("".join(now).split()))
             now = []
         block = n
-        if n is not None and taken[id(n)] and n.tag not in ("#", "html"):
+        if n is not None and taken[id(n)]:
             now.append(t)
     return "\n".join(b for b in blocks if b)
 
@@ -235,7 +285,9 @@ def chosen(nodes: list[Node], runs: list, f: np.ndarray) -> str:
 def extract(pages: DataFrame, model=None) -> DataFrame:
     """page_id, url, text and n_chars for each row; a null or empty page, or one without an article, has an empty text.
 
-    Pages are read 200 at a time; equal rows give equal texts. The model (a few hundred numbers) travels with the task.
+    Pages are read 200 at a time; equal rows give equal texts, an empty table gives no rows. A page, however long or broken,
+    is read in time in proportion to its length; text outside any block counts as text of the page's root. The model (a few
+    hundred numbers) travels with the task. Other columns are left out.
     """
     model = train() if model is None else model
 
