@@ -1,5 +1,6 @@
 """Operators for training data against brute force on small tables, with nulls, empty texts, ties and repeated rows."""
 
+import math
 import re
 import time
 from collections import Counter
@@ -184,6 +185,40 @@ def test_leaks_cut_at_the_edges_of_the_text(spark):
     assert got[4, 1] == (round(34 / 37, 6), 0)
 
 
+def weighted(items):
+    """The shingle weights of a benchmark and the similarity of two sets of shingles under them."""
+    n = Counter(x for i in items for x in i)
+    weight = {x: math.log(1 + len(items) / c) for x, c in n.items()}
+    top = max(weight.values())
+    total = lambda xs: sum(weight.get(x, top) for x in xs)
+    return lambda a, b: total(a & b) / total(a | b)
+
+
+@pytest.mark.parametrize("shared, own", [(30, 44), (37, 44), (48, 60)])
+def test_leaks_of_items_with_a_shared_opening(spark, shared, own):
+    """Texts that hold only an item's own part, and near copies of it with up to 3 words replaced, by similarity."""
+    rng = np.random.default_rng(shared)
+    opening, tails = [f"s{i}" for i in range(shared)], [[f"w{k}-{i}" for i in range(own)] for k in range(150)]
+    cut = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    items = [cut(opening + t) for t in tails]
+    alike, texts = weighted(items), []
+    for k, t in enumerate(tails):
+        for words_ in (t, opening + t):
+            changed = list(words_)
+            for at in rng.choice(len(changed), k % 4, replace=False):
+                changed[at] = f"x{at}"
+            texts.append((len(texts), k, " ".join(changed)))
+    # the window of a cut text is the whole text, or one of an item's length in a longer one
+    want = {(d, k): alike(cut(t.split()), items[k]) for d, k, t in texts}
+    df = spark.createDataFrame([(d, t) for d, _, t in texts], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(opening + t)) for k, t in enumerate(tails)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in decontaminate.leaks(df, bench).collect()}
+    must = [x for x, v in want.items() if v >= 0.8]
+    assert len(must) > 40 and sum(x in got for x in must) >= 0.99 * len(must)
+    assert all(got[x] == pytest.approx(want[x], abs=1e-6) for x in must if x in got)
+    assert all(want.get(x, 0) >= 0.8 for x in got)
+
+
 def test_mix(docs, plain):
     got = mixing.mix(docs).collect()
     sizes = Counter()

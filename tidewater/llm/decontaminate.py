@@ -6,6 +6,7 @@ Column functions and joins only.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import small, stored, words
 
 SHINGLE = 5
-#: Two fingerprints within the radius agree in one of the blocks up to RADIUS // BLOCKS bits. At a similarity of 0.8
-#: the expected distance is 10 of 64 bits with a deviation of 3.
+#: Two fingerprints within the radius agree in one of the blocks up to RADIUS // BLOCKS bits. Each shingle counts by the
+#: root of its weight: at a weighted similarity of 0.8 the expected distance is then 10 of 64 bits with a deviation of 3.
 RADIUS, BLOCKS = 18, 6
+#: Up to so many rows of benchmark shingles or of block values are broadcast; beyond it Spark shuffles both sides.
 MOST_SHINGLES = 2_000_000
 #: Up to so many windows to fingerprint are broadcast to the texts (about 30 bytes each); beyond it Spark shuffles both.
 MOST_WINDOWS = 1_000_000
@@ -35,13 +37,23 @@ def with_shingles(df: DataFrame) -> DataFrame:
             .withColumn("sh", F.when(F.size("hashes") >= SHINGLE, rolled)).drop("hashes"))
 
 
-def simhash(sh: str) -> Column:
-    """64-bit SimHash: bit b is set when more shingles have it than not, ties count as not."""
-    bits = F.sequence(F.lit(0), F.lit(63))
-    ones = F.transform(bits, lambda b: F.aggregate(F.col(sh), F.lit(0), lambda a, x: a + F.call_function("shiftright", x, b).bitwiseAND(
-        F.lit(1)).cast("int")))
-    return F.aggregate(F.transform(ones, lambda n, b: F.when(n * 2 > F.size(sh), F.call_function("shiftleft", F.lit(1).cast("long"), b))
-                                   .otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+def simhash(df: DataFrame, keys: list[str], shingles: str, weights: DataFrame, highest: float, out: str) -> DataFrame:
+    """``keys`` (which name a row) and the 64-bit SimHash of each row's distinct shingles as ``out``.
+
+    A shingle counts by the root of its weight, in millionths, so that sums do not depend on their order; one without a weight
+    has the highest. Bit b is set when the shingles with it outweigh those without, ties count as not. Rows are exploded and
+    summed under their key, so a row of very many shingles needs no more room than others.
+    """
+    share = F.round(F.sqrt(F.coalesce("weight", F.lit(highest))) * 1_000_000).cast("long")
+    each = (df.select(*keys, F.explode(F.array_distinct(shingles)).alias("shingle")).join(weights, "shingle", "left")
+            .withColumn("share", share))
+    bit = lambda b: F.shiftright("shingle", b).bitwiseAND(F.lit(1))
+    sums = each.groupBy(*keys).agg(*[F.sum(F.col("share") * (bit(b) * 2 - 1)).alias(f"bit_{b}") for b in range(64)])
+    one = lambda b: F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long")
+    value = F.lit(0).cast("long")
+    for b in range(64):
+        value = value.bitwiseOR(F.when(F.col(f"bit_{b}") > 0, one(b)).otherwise(F.lit(0).cast("long")))
+    return sums.select(*keys, value.alias(out))
 
 
 def blocks(fingerprint: str, near: bool) -> Column:
@@ -55,6 +67,11 @@ def blocks(fingerprint: str, near: bool) -> Column:
     return F.concat(*out)
 
 
+def near_values() -> int:
+    """Rows that ``blocks`` makes of a fingerprint with ``near``."""
+    return sum(comb(EDGES[k + 1] - EDGES[k], r) for k in range(BLOCKS) for r in range(RADIUS // BLOCKS + 1))
+
+
 def _flip(block: int, value: Column):
     return lambda m: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(m.cast("long")).alias("value"))
 
@@ -68,16 +85,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
     its blocks among all items of that length, unless it holds fewer shingles than any such item needs for the threshold
     (its heaviest, counted exactly). Candidates within the radius are verified: shared shingle weight over united weight, a
     shingle weighing ln(1 + items / items with it), the larger for those that few items have.
+    Fingerprints weigh shingles as the similarity does, so the radius covers items that share an opening as well.
     Null, empty or short texts and items (fewer than five words) match nothing; repeated rows of a document count as
     one; rows without doc_id are left out; empty tables give no rows.
     """
     bench = stored(with_shingles(benchmark.select("item_id", "text").where("item_id is not null")).dropDuplicates(["item_id"]).select(
-        "item_id", "sh").withColumn("length", F.size("sh")).withColumn("fingerprint", simhash("sh")), "bench-items").where("sh is not null")
+        "item_id", "sh").withColumn("length", F.size("sh")), "bench-items").where("sh is not null")
     items = bench.select("item_id", "length", F.posexplode("sh").alias("at", "shingle"))
     n_items, n_shingles = bench.count(), items.count()
     fits = lambda df: small(df, n_shingles, MOST_SHINGLES)
     weights = (items.select("item_id", "shingle").distinct().groupBy("shingle")
                .agg(F.log(F.lit(1.0) + F.lit(float(max(n_items, 1))) / F.count("*")).alias("weight")))
+    weights = stored(weights, "bench-weights")
+    highest = float(weights.agg(F.max("weight")).collect()[0][0] or 0.0)
     ordered = (items.select("item_id", "shingle").distinct().join(weights, "shingle").groupBy("item_id")
                .agg(F.sort_array(F.collect_list("weight"), False).alias("heaviest"), F.sum("weight").alias("item_weight")))
     needed = ordered.select("item_id", F.aggregate(
@@ -99,17 +119,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> Data
         x["start"].alias("start"), x["span"].alias("span"), x["length"].alias("length"),
         F.slice("sh", x["start"] + 1, x["span"]).alias("window")))).alias("x")).select("doc_id", "x.*")
         .where(F.size("window") == F.col("span")))
-    cut = stored(cut.withColumn("print", simhash("window")), "bench-prints")
-
-    index = fits(bench.select("item_id", "length", F.col("fingerprint"), F.explode(blocks("fingerprint", True)).alias("key")))
-    near = (cut.select("doc_id", "start", "span", "length", "print", F.explode(blocks("print", False)).alias("key"))
+    cut = stored(cut, "bench-cuts")
+    window = ["doc_id", "start", "span", "length"]
+    prints = stored(simhash(cut, window, "window", fits(weights), highest, "print"), "bench-prints")
+
+    index = simhash(bench, ["item_id", "length"], "sh", fits(weights), highest, "fingerprint")
+    index = stored(index, "bench-index").withColumn("key", F.explode(blocks("fingerprint", True)))
+    index = small(index, n_items * near_values(), MOST_SHINGLES)
+    near = (prints.select(*window, "print", F.explode(blocks("print", False)).alias("key"))
             .join(index, ["length", "key"])
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint"))) <= RADIUS)
-            .select("doc_id", "start", "span", "length", "item_id").distinct())
-    return verified(near, cut, bench, weights, fits, threshold)
+            .select(*window, "item_id").distinct())
+    return verified(near, cut, bench, weights, highest, fits, threshold)
 
 
-def verified(near: DataFrame, cut: DataFrame, bench: DataFrame, weights: DataFrame, fits, threshold: float) -> DataFrame:
+def verified(near: DataFrame, cut: DataFrame, bench: DataFrame, weights: DataFrame, highest: float, fits,
+             threshold: float) -> DataFrame:
     """The candidates whose weighted shingle similarity reaches the threshold, best window per document and item.
 
     A shingle outside the benchmark weighs as much as one that a single item has.
@@ -121,7 +146,6 @@ def verified(near: DataFrame, cut: DataFrame, bench: DataFrame, weights: DataFra
              .join(fits(weighed), "item_id").withColumn("window", F.array_distinct("window")))
     common = F.filter("sh", lambda x: F.array_contains("window", x["shingle"]))
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x["weight"])
-    highest = float(weights.agg(F.max("weight")).collect()[0][0] or 0.0)
     return (pairs.withColumn("common", common).withColumn("both", total("common"))
             .withColumn("similarity", F.col("both") / (F.col("item_weight") + (F.size("window") - F.size("common")) * F.lit(highest)))
             .where(F.col("similarity") >= threshold)
