@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.envelopes import customer_changes, envelope, log_texts, ods_changes, order_changes, pick
@@ -18,6 +18,7 @@ from tidewater.session import work_dir
 from tidewater.sinks import read_snapshot, snapshot_writer
 from tidewater.sources import append_log, read_cdc, read_events
 from tidewater.streaming import jobs
+from tidewater.streaming.lateness import gather
 from tidewater.streaming.run import fan_out, run_available
 from tidewater.streaming.stateful import dedup_bloom, dedup_exact, keep_newest, use_rocksdb
 from tidewater.streaming.windows import payment_stats, refund_stats
@@ -137,6 +138,67 @@ def stream_refund_minute(t: Tables) -> DataFrame:
     return run_available(t.spark, out["refund_stats"], "refund-minute")
 
 
+# ---- late and undated rows, silent inputs
+
+
+def _arrivals(t: Tables, rows: DataFrame, at: str, delayed: Column, closing: DataFrame) -> DataFrame:
+    """Rows in five files: four by time, a ``delayed`` row one file later than its time says, and the closing rows a month later."""
+    path = work_dir(t.spark, "arrivals")
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    part = F.floor((F.col(at) - low) * 4 / F.lit(high - low + 1)) + F.when(delayed, 1).otherwise(0)
+    last = closing.withColumn(at, F.col(at) + F.lit(30 * 86_400_000)).withColumn("file_", F.lit(4).cast("bigint"))
+    parts = rows.withColumn("file_", F.least(part, F.lit(3))).unionByName(last)
+    for i in range(5):
+        parts.where(F.col("file_") == i).drop("file_").coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _sorted(t: Tables, job: str, streams: jobs.Frames, idle_seconds: int | None = None) -> Callable[[str, bool], DataFrame]:
+    """Runs the sorting sink and gives its outputs by name, as a stream of one file a batch or as a table."""
+    root, highs = work_dir(t.spark, f"sorted-{job}"), work_dir(t.spark, "highs")
+    schemas = {}
+
+    def write(name: str, rows: DataFrame, batch_id: int) -> None:
+        schemas[name] = rows.schema
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id:06d}")
+
+    run_available(t.spark, gather(streams), f"sort-{job}", sink=jobs.sorted_inputs(job, highs, write, idle_seconds=idle_seconds))
+
+    def output(name: str, stream: bool) -> DataFrame:
+        reader = t.spark.readStream.option("maxFilesPerTrigger", 1) if stream else t.spark.read
+        return reader.schema(schemas[name]).parquet(f"{root}/{name}/batch=*")
+
+    return output
+
+
+@query
+def stream_order_late(t: Tables) -> DataFrame:
+    """Order lines of which some have no time and some come a quarter of the month late: all windows, and what they leave out."""
+    real = order_lines(t.event_rows()).withColumn("real", F.col("event_time"))
+    closing = real.orderBy(F.col("real").desc(), "user_id", "sku_id").limit(1).withColumn("event_time", F.col("real") + F.lit(30 * 86_400_000))
+    rows = real.withColumn("event_time", F.when(F.col("sku_id") % 50 != 9, F.col("event_time")))
+    lines = _arrivals(t, rows, "real", F.col("sku_id") % 20 == 3, closing)
+    output = _sorted(t, "order_window", {"order_detail": lines.drop("real")})
+    stats = run_available(t.spark, jobs.order_window({"order_detail": output("order_detail", True)})["order_stats"], "order-late")
+    left = [output(f"order_detail_{kind}", False).groupBy("sku_id", (F.floor(F.col("event_time") / 60_000) * 60_000).alias("stt")).agg(
+        F.count(F.lit(1)).alias("order_ct"), F.sum("sku_num").alias("sku_num")).withColumn("kind", F.lit(kind)) for kind in ("late", "dirty")]
+    windows = stats.select(F.lit("window").alias("kind"), "stt", "sku_id", "order_ct", "sku_num")
+    return union_all([windows, *left])
+
+
+@query
+def stream_payment_idle(t: Tables) -> DataFrame:
+    """Payments that stop after the first third of the time: heartbeats let the join go on without them."""
+    ms = F.unix_millis("ts")
+    low, high = t.event_rows().agg(F.min(ms), F.max(ms)).first()
+    first = (ms - low) * 3 < F.lit(high - low + 1)
+    parts = closed_events(t)
+    streams = {"payment": bills(parts.where(first), "signup", "total_amount"), "order_detail": order_lines(parts)}
+    output = _sorted(t, "payment_window", streams, idle_seconds=7200)
+    stats = jobs.payment_window({n: output(n, True) for n in streams})["payment_stats"]
+    return run_available(t.spark, stats, "payment-idle")
+
+
 def _log_parts(t: Tables) -> dict[str, DataFrame]:
     """Outputs of the log bus, written once per kind by one stream."""
     root = work_dir(t.spark, "log-bus")

@@ -79,6 +79,18 @@ def sql() -> dict[str, str]:
     q["stream_refund_join"] = f"""WITH {EV}, {LINES}, {REF} SELECT stt, edt, sku_id, refund_ct,
   CAST(refund_amount AS DOUBLE) AS refund_amount, refund_user_ct FROM rmin"""
     q["stream_refund_minute"] = q["stream_refund_join"]
+    q["stream_order_late"] = f"""WITH {EV}, {LINES}, b AS (SELECT min(ms) AS low, max(ms) AS high FROM line),
+f AS (SELECT sku_id, sku_num, ms, CASE WHEN sku_id % 50 <> 9 THEN ms END AS tm,
+  least((ms - low) * 4 // (high - low + 1) + CASE WHEN sku_id % 20 = 3 THEN 1 ELSE 0 END, 3) AS file FROM line, b),
+h AS (SELECT n.file, max(f.tm) - 3000 AS mark FROM (SELECT unnest([1, 2, 3]) AS file) n JOIN f ON f.file < n.file GROUP BY 1),
+k AS (SELECT sku_id, sku_num, tm // 60000 * 60000 AS stt,
+  CASE WHEN tm IS NULL THEN 'dirty' WHEN tm // 60000 * 60000 + 60000 <= mark THEN 'late' ELSE 'window' END AS kind
+  FROM f LEFT JOIN h ON f.file = h.file)
+SELECT kind, stt, sku_id, count(*) AS order_ct, CAST(sum(sku_num) AS BIGINT) AS sku_num FROM k GROUP BY ALL"""
+    q["stream_payment_idle"] = f"""WITH {EV}, {LINES},
+third AS (SELECT min(epoch_us(ts) // 1000) AS low, max(epoch_us(ts) // 1000) AS high FROM ev),
+paid AS (SELECT ev.* FROM ev, third WHERE (epoch_us(ts) // 1000 - low) * 3 < high - low + 1),
+{PAY.replace("FROM ev b", "FROM paid b")} {pmin}"""
     q["stream_log_bus"] = f"""WITH {EV}, {GOOD}, f AS (
   SELECT *, CASE WHEN dt = min(dt) OVER (PARTITION BY user_id) THEN '1' ELSE '0' END AS is_new FROM good), x AS (
   SELECT 'err' AS kind, '-' AS is_new FROM f WHERE event_type = 'error'

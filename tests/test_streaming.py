@@ -10,6 +10,7 @@ from tidewater.operators import cdc
 from tidewater.session import work_dir
 from tidewater.sinks import read_snapshot, snapshot_writer
 from tidewater.streaming import interval_join, jobs, order_stats, run_available, with_event_time
+from tidewater.streaming.lateness import Input, gather, sorting_sink
 from tidewater.streaming.run import start
 from tidewater.streaming.stateful import dedup_bloom, dedup_exact, keep_newest, snapshot_completion, use_rocksdb
 
@@ -36,6 +37,62 @@ def test_late_rows(spark, tmp_path, rows):
     assert rows(got, "stt", "order_ct", "order_user_ct") == [(0, 2, 2), (120000, 3, 3)]
 
 
+def sort(spark, tmp_path, streams, inputs, **how):
+    """Runs the sorting sink; the outputs by name, as a stream of one file a batch or as a table."""
+    schemas = {}
+
+    def write(name, rows, batch_id):
+        schemas[name] = rows.schema
+        rows.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / name / f"batch={batch_id:04d}"))
+
+    run_available(spark, gather(streams), "sort", sink=sorting_sink(inputs, str(tmp_path / "highs"), write, **how))
+
+    def output(name, stream=False):
+        reader = spark.readStream.option("maxFilesPerTrigger", 1) if stream else spark.read
+        return reader.schema(schemas[name]).parquet(str(tmp_path / name / "batch=*"))
+
+    return output
+
+
+def test_late_and_undated_rows_are_outputs(spark, tmp_path, rows):
+    batches = [[line(1, 10), line(2, 20), line(8, 0)], [line(3, 125)], [line(7, 126)], [line(4, 121), line(5, 30), line(9, 0)], [line(6, 1000)]]
+    stream = files(spark, tmp_path / "in", batches, LINE)
+    output = sort(spark, tmp_path, {"order_detail": stream}, jobs.INPUTS["order_window"], window_ms=60_000)
+    assert rows(output("order_detail_late"), "user_id") == [(5,)]
+    assert rows(output("order_detail_dirty"), "user_id") == [(8,), (9,)]
+    assert rows(output("order_detail"), "user_id") == [(1,), (2,), (3,), (4,), (6,), (7,)]
+    got = run_available(spark, jobs.order_window({"order_detail": output("order_detail", True)})["order_stats"], "sorted")
+    assert rows(got, "stt", "order_ct", "order_user_ct") == [(0, 2, 2), (120000, 3, 3)]
+
+
+def test_a_repeated_batch_is_sorted_alike(spark, tmp_path):
+    out, inputs = {}, {"a": Input(["s"], 1000, "seconds")}
+    sink = sorting_sink(inputs, str(tmp_path / "highs"), lambda name, df, i: out.setdefault((name, i), []).append(sorted(map(tuple, df.collect()))))
+    parts = [[(1, 100), (2, 90)], [(3, 200), (4, 50), (5, None)], [(6, 198), (7, 200)], []]
+    for i, part in enumerate(parts):
+        for _ in range(2):
+            sink(gather({"a": spark.createDataFrame(part, "id int, s bigint")}), i)
+    assert all(a == b for a, b in out.values())
+    ids = {k: [r[0] for r in v[0]] for k, v in out.items()}
+    assert (ids["a", 0], ids["a", 1], ids["a_late", 1], ids["a_dirty", 1], ids["a", 2], ids["a_late", 2]) == ([1, 2], [3], [4], [5], [7], [6])
+    assert ids["a", 3] == ids["a_late", 3] == ids["a_dirty", 3] == []
+
+
+@pytest.mark.parametrize("idle_seconds", [None, 600])
+def test_a_silent_input_does_not_hold_results_back(spark, tmp_path, rows, idle_seconds):
+    pay = "order_id bigint, user_id bigint, total_amount double, event_time bigint"
+    lines = files(spark, tmp_path / "lines", [[line(1, 10)], [line(2, 20_000)], [line(3, 40_000)]], LINE)
+    paid = files(spark, tmp_path / "paid", [[(1, 1, 30.0, 12_000)]], pay)
+    output = sort(spark, tmp_path, {"payment": paid, "order_detail": lines}, jobs.INPUTS["payment_window"],
+                  idle_ms=None if idle_seconds is None else idle_seconds * 1000)
+    streams = {n: output(n, True) for n in ("payment", "order_detail")}
+    got = run_available(spark, jobs.payment_window(streams)["payment_stats"], "idle")
+    assert rows(got, "stt", "payment_ct") == ([] if idle_seconds is None else [(0, 1)])
+    if idle_seconds:
+        beats = rows(output("payment").where("heartbeat is not null"), "order_id", "event_time", "heartbeat")
+        assert beats == [(None, 19_400_000, 19_400_000), (None, 39_400_000, 39_400_000)]
+
+
 def test_stream_equals_batch(spark, tmp_path, rows):
     batch = [line(u, s, n, 1.5, t, u % 3) for u, s, n, t in [(1, 1, 2, None), (1, 2, 1, 9.5), (2, 61, 3, None), (3, 62, 1, 1.0)]]
     df = spark.createDataFrame(batch, LINE)

@@ -16,6 +16,7 @@ from tidewater.operators import cdc, logs
 from tidewater.operators.joins import attach
 from tidewater.sinks.snapshot import read_snapshot, upsert_cells, upsert_snapshot
 from tidewater.sinks.writers import apply_dim_config
+from tidewater.streaming.lateness import Input, sorting_sink
 from tidewater.streaming.times import interval_join, with_event_time
 from tidewater.streaming.windows import (
     action_stats,
@@ -197,21 +198,57 @@ def refund_window(streams: Frames, minutes: int = 1, **options) -> Frames:
     return {"refund_stats": refund_stats(refunded_lines(streams, **options), minutes=minutes)}
 
 
-def action_window(streams: Frames, minutes: int = 1, delay: str = "5 seconds") -> Frames:
-    displays = with_event_time(logs.normalize_display(streams["display"]), "ts", delay)
-    actions = with_event_time(logs.normalize_action(streams["action"]), "ts", delay)
+def action_rows(streams: Frames) -> Frames:
+    """Displays and actions as they enter the window; an action's own time decides."""
+    return {"display": logs.normalize_display(streams["display"]), "action": logs.normalize_action(streams["action"])}
+
+
+def action_window(streams: Frames, minutes: int = 1, delay: str = "5 seconds", normal: bool = False) -> Frames:
+    """``normal``: the streams are those of :func:`action_rows` already."""
+    rows = streams if normal else action_rows(streams)
+    displays, actions = (with_event_time(rows[n], "ts", delay) for n in ("display", "action"))
     return {"action_stats": action_stats(displays, actions, minutes=minutes)}
 
 
-def visit_window(streams: Frames, minutes: int = 1, delay: str = "5 seconds") -> Frames:
+def visit_rows(streams: Frames) -> Frames:
+    """Pages and starts as they enter the window."""
     page = streams["page"]
-    pages = with_event_time(
-        page.select("ts", logs.visitor(page).alias("visitor"), F.col("common.sid").alias("sid"),
-                    F.col("page.during_time").alias("during_time")), "ts", delay)
-    starts = with_event_time(streams["start"].select("ts", F.col("common.sid").alias("sid")), "ts", delay)
+    pages = page.select("ts", logs.visitor(page).alias("visitor"), F.col("common.sid").alias("sid"),
+                        F.col("page.during_time").alias("during_time"))
+    return {"page": pages, "start": streams["start"].select("ts", F.col("common.sid").alias("sid"))}
+
+
+def visit_window(streams: Frames, minutes: int = 1, delay: str = "5 seconds", normal: bool = False) -> Frames:
+    """``normal``: the streams are those of :func:`visit_rows` already."""
+    rows = streams if normal else visit_rows(streams)
+    pages, starts = (with_event_time(rows[n], "ts", delay) for n in ("page", "start"))
     return {"visit_stats": visit_stats(pages, starts, minutes=minutes)}
 
 
+MINUTE_MS = 60_000
+#: The inputs of the windowed jobs, as they enter the window or join.
+INPUTS = {
+    "order_window": {"order_detail": Input(["event_time"], 3000)},
+    "payment_window": {"payment": Input(["event_time"], 3000), "order_detail": Input(["event_time"], 3000)},
+    "refund_window": {"refund": Input(["event_time"], 3000), "order_detail": Input(["event_time"], 3000)},
+    "action_window": {"display": Input(["ts"], 5000), "action": Input(["ts"], 5000)},
+    "visit_window": {"page": Input(["ts"], 5000), "start": Input(["ts"], 5000)},
+}
+
+
+def sorted_inputs(
+    job: str, folder: str, write: Callable[[str, DataFrame, int], None], minutes: int = 1, idle_seconds: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """The sorting sink before a windowed job: late and dirty rows become outputs, a silent input gets heartbeats.
+
+    Its stream is ``lateness.gather`` of the job's inputs, those of :func:`action_rows` and :func:`visit_rows` for these two; the
+    job then reads what was written under the names of its inputs, with ``normal=True``.
+    """
+    joined = job in ("payment_window", "refund_window")
+    return sorting_sink(INPUTS[job], folder, write, 0 if joined else minutes * MINUTE_MS,
+                        None if idle_seconds is None else idle_seconds * 1000)
+
+
 ORDER = ["order_ct", "order_user_ct", "sku_num", "order_amount"]
 PAYMENT = ["payment_ct", "payment_user_ct", "payment_amount"]
 REFUND = ["refund_ct", "refund_user_ct", "refund_amount"]

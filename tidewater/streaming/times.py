@@ -10,21 +10,32 @@ from pyspark.sql import functions as F
 from tidewater.functions import event_ts
 
 
+#: Epoch milliseconds of a row that only moves the watermark (see ``streaming.lateness``); null in all other rows.
+HEARTBEAT = "heartbeat"
+
+
 def with_event_time(
     df: DataFrame, fields: str | Sequence[str], delay: str = "3 seconds", out: str = "event_ts",
     unit: str = "milliseconds",
 ) -> DataFrame:
     """Event timestamp from the first of ``fields`` that is set, with a watermark.
 
-    Rows without any time are left out here; take them from :func:`without_event_time` for the dirty output. A
-    delay of ``0 seconds`` suits input that is ordered by time.
+    Rows without any time are left out here; take them from :func:`without_event_time`, or from the dirty output of
+    ``lateness.sorting_sink``, whose heartbeats move the watermark and go no further. A delay of ``0 seconds`` suits
+    input that is ordered by time.
     """
     ts = _event_time(fields, unit)
-    return df.withColumn(out, ts).where(F.col(out).isNotNull()).withWatermark(out, delay)
+    timed = df.withColumn(out, ts).where(F.col(out).isNotNull()).withWatermark(out, delay)
+    if HEARTBEAT not in df.columns:
+        return timed
+    # Filter and columns name the event time, so that Spark leaves them, and what later steps ask of the columns, above the
+    # watermark; the null filter of a join would else take heartbeats away before they move it.
+    real = F.coalesce(F.unix_millis(out) != F.col(HEARTBEAT), F.lit(True))
+    return timed.where(real).select(*[F.when(real, F.col(c)).alias(c) for c in df.columns if c not in (HEARTBEAT, out)], out)
 
 
-def without_event_time(df: DataFrame, fields: str | Sequence[str]) -> DataFrame:
-    return df.where(_event_time(fields, "milliseconds").isNull())
+def without_event_time(df: DataFrame, fields: str | Sequence[str], unit: str = "milliseconds") -> DataFrame:
+    return df.where(_event_time(fields, unit).isNull())
 
 
 def _event_time(fields: str | Sequence[str], unit: str) -> Column:
