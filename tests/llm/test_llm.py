@@ -387,6 +387,24 @@ def test_transcripts(spark):
     assert all(r.rendered == f"<|{r.role}|>\n{r.text}\n<|end|>" for r in got)
 
 
+#: Names that a stage uses inside.
+INSIDE = ("lines h w windows twice sorted again visible common kept row_mark size row point passes budget of threshold extra copies mix_copy "
+          "key told again n fp found component root first sh hashes weight leak_key ring_key ring_point ring_arc ring_rank of_arc end "
+          "first_slot")
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_leave_columns_with_names_of_their_own_alone(spark, name):
+    stage, extras = dict(corpus_pipeline.STAGES)[name], sorted(set(INSIDE.split()))
+    bare = table(spark, "documents").where("doc_id < 120")
+    told = bare.select("*", *[(F.col("doc_id") * 1000 + i).alias(x) if i % 2 else F.concat(F.lit(x), F.col("doc_id")).alias(x)
+                              for i, x in enumerate(extras)])
+    want = [tuple(r) for r in stage(spark, bare, SMALL).select("doc_id", "text").collect()]
+    got = stage(spark, told, SMALL).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(want) and got
+    assert all(r[x] == (r.doc_id * 1000 + i if i % 2 else f"{x}{r.doc_id}") for r in got for i, x in enumerate(extras))
+
+
 def test_pipeline(spark):
     docs, kept = table(spark, "documents"), None
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -11,7 +11,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small, stored, words
+from tidewater.llm.common import own_names, small, stored, words
 
 SHINGLE = 5
 #: Two fingerprints within the radius agree in one of the blocks up to RADIUS // BLOCKS bits. Each shingle counts by the
@@ -153,6 +153,7 @@ def verified(near: DataFrame, cut: DataFrame, bench: DataFrame, weights: DataFra
             .select("doc_id", "item_id", F.round("best.similarity", 6).alias("similarity"), (-F.col("best.back")).alias("window_start"), "n_windows"))
 
 
+@own_names("doc_id", "text")
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The documents without a leak. Every row is judged by its own text, whatever its doc_id."""
     keyed = docs.withColumn("leak_key", F.md5(F.col("text").cast("binary")))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small, stored
+from tidewater.llm.common import own_names, small, stored
 
 U = np.uint64
 ODD = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93)]
@@ -224,6 +224,7 @@ def grouped(docs: DataFrame, size: int, per: int) -> tuple[DataFrame, DataFrame]
     return sets, named.join(named.groupBy("root").agg(F.min("first").alias("component")), "root").select("fp", "root", "component")
 
 
+@own_names("doc_id", "text")
 def representatives(docs: DataFrame, size: int = 5, per: int = 80) -> DataFrame:
     """The documents with one of each group of near duplicates: a row with the smallest doc_id, null last.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import small, stored, words
+from tidewater.llm.common import own_names, small, stored, words
 
 #: The hash is refined this many bits at a time: one histogram over all rows, then only over boundary buckets.
 BITS = 16
@@ -119,6 +119,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, most: int = 3, k
             .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")))
 
 
+@own_names("doc_id", "text", "source")
 def apply_mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed documents with their own columns; a document taken twice is there twice.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import GAP, WORD, words
+from tidewater.llm.common import GAP, WORD, own_names, words
 
 #: Common words of the reference languages.
 COMMON = {
@@ -122,6 +122,7 @@ def judge(docs: DataFrame, fit_on: DataFrame | None = None, max_class: float = M
                         & ~F.coalesce(F.col("word_distance") > max_word, F.lit(False))))
 
 
+@own_names("doc_id", "text", "lang")
 def passed(docs: DataFrame, **how) -> DataFrame:
     """The kept rows with their own columns.
 

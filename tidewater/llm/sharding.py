@@ -8,6 +8,8 @@ import hashlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.llm.common import own_names
+
 #: The ring has this many points; virtual nodes sit on points, keys fall on points by 16 bits of their hash.
 POINTS = 1 << 16
 VIRTUAL = 64
@@ -58,6 +60,7 @@ def ranges(counts: dict[int, int], nodes: list[tuple[int, int]], shards: int, sl
     return out
 
 
+@own_names("doc_id", "text", "text_crc32", "size", "shard", "slot")
 def assign(docs: DataFrame, shards: int = 16, slack: float = 0.0, virtual: int = VIRTUAL) -> DataFrame:
     """The rows of ``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
