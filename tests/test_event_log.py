@@ -77,3 +77,18 @@ def test_tombstones_and_envelopes(spark, rows):
 
 def test_no_log_yet(spark):
     assert read_log(spark, work_dir(spark, "none"), stream=False).count() == 0
+
+
+def test_append_holds_no_more_than_its_open_files(spark, monkeypatch):
+    def no_sort(*_):
+        raise AssertionError("a sort holds all rows of a task")
+
+    monkeypatch.setattr(type(spark.range(1)), "sortWithinPartitions", no_sort)
+    log = work_dir(spark, "log")
+    mixed = [r for pair in zip(records("a", range(30)), records("b", range(30))) for r in pair]
+    append_log(spark.createDataFrame(mixed, ROW).coalesce(1), log, 0, partitions=3)
+    append_log(spark.createDataFrame(mixed, ROW), log, 0, partitions=3)
+    got = read_log(spark, log, stream=False).select("topic", "key", "value").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([r[:3] for r in mixed], key=repr)
+    found = segments(log)
+    assert len(found) == len({(s.topic, s.partition) for s in found}) and sum(ends(found).values()) == 60

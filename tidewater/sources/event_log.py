@@ -196,7 +196,8 @@ def append_log(df: DataFrame, path: str, batch_id: int, partitions: int = 4) ->
 
     Rows go to a partition of their topic by key, without one by value. A partition's rows are written by one task as one
     segment, whose name it gets when it is complete; a partition that has the batch already is left alone, so a repeated
-    batch adds nothing.
+    batch adds nothing. A task keeps a file open for each of its partitions and passes rows on as they come, so it holds no
+    more of a large batch than of a small one.
     """
     known = segments(path)
     base = ends(known)
@@ -208,27 +209,20 @@ def append_log(df: DataFrame, path: str, batch_id: int, partitions: int = 4) ->
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-        out, now, count, name = None, None, 0, ""
-
-        def finish() -> None:
-            out.close()
-            start = base.get(f"{now[0]}/{now[1]}", 0)
-            store.move(name, f"{root}/{now[0]}/{now[1]}/{start:020d}-{count}-{batch_id}.jsonl")
-
+        files, counts = {}, {}
         for batch in batches:
             for topic, number, line in zip(*(c.to_pylist() for c in batch.columns)):
-                if f"{topic}/{number}" in done:
+                at = f"{topic}/{number}"
+                if at in done:
                     continue
-                if (topic, number) != now:
-                    if out is not None:
-                        finish()
-                    now, count, name = (topic, number), 0, f"{root}/{topic}/{number}/.writing-{batch_id}"
-                    store.create_dir(f"{root}/{topic}/{number}", recursive=True)
-                    out = store.open_output_stream(name)
-                out.write(line.encode() + b"\n")
-                count += 1
-        if out is not None:
-            finish()
+                if at not in files:
+                    store.create_dir(f"{root}/{at}", recursive=True)
+                    files[at], counts[at] = store.open_output_stream(f"{root}/{at}/.writing-{batch_id}"), 0
+                files[at].write(line.encode() + b"\n")
+                counts[at] += 1
+        for at, out in files.items():
+            out.close()
+            store.move(f"{root}/{at}/.writing-{batch_id}", f"{root}/{at}/{base.get(at, 0):020d}-{counts[at]}-{batch_id}.jsonl")
         yield from ()
 
-    rows.repartition("topic", "partition").sortWithinPartitions("topic", "partition").mapInArrow(write, "done boolean").count()
+    rows.repartition("topic", "partition").mapInArrow(write, "done boolean").count()
