@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import use_utc
+from tidewater.session import use_small_tasks, use_utc
 
 ORDER_DAY = "2001-07-01"
 EVENT_DAY = "2024-01-30"
@@ -32,6 +32,7 @@ SCHEMAS = {
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         use_utc(spark)
+        use_small_tasks(spark)
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -63,7 +64,7 @@ def big(c: Column | str) -> Column:
 
 
 def later(ts: str, days: Column | int = 0, seconds: Column | int = 0) -> Column:
-    """A timestamp moved by days and seconds."""
-    to_col = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("int")
-    return F.col(ts).cast("timestamp") + F.make_dt_interval(
-        days=to_col(days), hours=F.lit(0), mins=F.lit(0), secs=to_col(seconds).cast("decimal(18,6)"))
+    """A timestamp moved by days and seconds, in whole microseconds."""
+    to_col = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("bigint")
+    moved = (to_col(days) * 86_400 + to_col(seconds)) * 1_000_000
+    return F.timestamp_micros(F.unix_micros(F.col(ts).cast("timestamp")) + moved)
