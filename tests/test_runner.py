@@ -10,7 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from fixtures.logistics import logistics_by_day  # noqa: E402
-from fixtures.runner_queries import known_by  # noqa: E402
+from fixtures.runner_queries import known_by, landed  # noqa: E402
 from fixtures.tables import ORDER_DAY, Tables  # noqa: E402
 from tidewater.plans import Warehouse, materialize, path_tables  # noqa: E402
 from tidewater.plans.logistics import HEADER  # noqa: E402
@@ -117,3 +117,35 @@ def test_dated_full_tables_need_a_day(spark):
     copies = spark.sql("SELECT 'shop1' shop_id, 'Shop' shop_name, explode(array(DATE'2024-01-01', DATE'2024-01-02')) dt")
     with pytest.raises(ValueError, match="copy per day"):
         Warehouse("traffic", {"ods_shop_full": copies}).scan("ods_shop_full")
+
+
+def test_growing_sources_are_computed_once(spark, tmp_path):
+    calls, day = [], F.lit("2025-07-01").cast("date")
+
+    def change():
+        calls.append(1)
+        return spark.range(5).withColumn("dt", day)
+
+    wh = landed(Warehouse("logistics", {"ods_order_change": change, "ods_order_info": lambda: spark.range(3)}), str(tmp_path))
+    for dt in ("2025-07-01", "2025-07-02"):
+        table = known_by(wh, dt).table("ods_order_change")
+        assert table.count() == 5 and all(str(tmp_path) in f for f in table.inputFiles())
+    assert len(calls) == 1 and wh.table("ods_order_info").count() == 3
+
+
+def test_first_report_reads_the_stored_to_date_tables(spark, tmp_path):
+    sums = spark.createDataFrame([(5, 7.5)], "order_count long, order_amount double")
+    for name in ("dws_trans_dispatch_td", "dws_trans_bound_finish_td"):
+        sums.write.parquet(f"{tmp_path}/{name}/dt=2025-07-01")
+    wh = Warehouse("logistics", {n: (lambda: pytest.fail("history read again")) for n in ("ods_order_change", "ods_order_cargo", "ods_base_dic")})
+    got = daily_plan(spark, wh, str(tmp_path), "ads_trans_order_stats_td", "2025-07-01").collect()
+    assert [(r.bounding_order_count, r.bounding_order_amount) for r in got] == [(0, 0.0)]
+
+
+def test_a_waybill_keeps_one_rank_for_all_columns(spark, waybills):
+    fact = waybills.run("dwd_trans_receive_detail_inc")
+    line = next(x for x in fact._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Aggregate [id" in x)
+    assert line.count("min_by(") <= 4 and "unix_timestamp" not in line
+    small = fact.groupBy("order_id").agg(F.max("amount"))._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in small.split("\n") if "Aggregate [id" in x)
+    assert line.count("min_by(") == 1 and "struct(" not in line
