@@ -56,7 +56,7 @@ def logistics_tables(t: Tables) -> dict:
             (key % 8 * 10 + 60010).cast("string"))
 
     def waybills() -> DataFrame:
-        return headers(t.orders, state(), later("o_orderdate", F.col("o_orderkey") % 4, F.col("o_orderkey") % 86400))
+        return headers(placed(), state(), later("o_orderdate", F.col("o_orderkey") % 4, F.col("o_orderkey") % 86400))
 
     def changes() -> DataFrame:
         """The log behind the waybills: a row per state a waybill passed, now and then one more update of the last."""
@@ -69,20 +69,23 @@ def logistics_tables(t: Tables) -> dict:
         dropped = later("o_orderdate", 2, key % 3600)
         last = F.when(gone, dropped).otherwise(at((end - 60010) / 10))
         on_path = F.when(gone, j <= 1 - key % 2).otherwise(((j != 3) & (code <= end)) | (code == end))
-        log = t.orders.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(9)))).where(
+        log = placed().withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(9)))).where(
             F.when(j <= 7, on_path).when(j == 8, gone).otherwise(key % 5 == 0))
         moment = F.when(j <= 7, at(j)).when(j == 8, dropped).otherwise(last + F.expr("INTERVAL 2 DAYS 1 HOUR"))
         return headers(log, F.when(j <= 7, code).otherwise(end).cast("string"), moment, F.to_date(moment).alias("dt"))
 
+    def placed() -> DataFrame:
+        """Orders with their customer: joined before the log repeats them."""
+        return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+
     def headers(rows: DataFrame, status, updated, *more) -> DataFrame:
         key, user = F.col("o_orderkey"), F.col("o_custkey")
-        placed = rows.join(t.customer, user == F.col("c_custkey"), "left")
 
         def district(c):
             return c % 25 * 4 + 1 + c % 3 + 10000
 
         city, province = big(F.col("c_nationkey") + 1000), big(F.col("c_nationkey") % 5 + 100)
-        return placed.select(
+        return rows.select(
             key.alias("id"), tag("W", "o_orderkey").alias("order_no"), status.alias("status"),
             (key % 2 + 1).cast("string").alias("collect_type"), user.alias("user_id"),
             F.concat(F.lit("110"), F.substring("o_orderpriority", 1, 1)).alias("payment_type"),
