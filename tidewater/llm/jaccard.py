@@ -92,9 +92,9 @@ def text_key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def sets_of(docs: DataFrame, size: int, per: int | None) -> DataFrame:
-    """doc_id, key, n and fp (64-bit fingerprint of the set) with ``found``: the signatures, or without ``per`` the shingles."""
-    ends = bands(per) if per else None
+def sets_of(docs: DataFrame, size: int, found: str = "", per: int = 0) -> DataFrame:
+    """doc_id, key, n and fp (64-bit fingerprint of the set); ``found`` "shingles" or "signatures" adds these, for explode or comparison."""
+    ends = bands(per) if found == "signatures" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,15 +103,17 @@ def sets_of(docs: DataFrame, size: int, per: int | None) -> DataFrame:
                 rows = [shingle_set(t.as_py(), size) for t in texts.slice(first, 256)]
                 with np.errstate(over="ignore"):
                     prints = [int((mixed(s).sum(dtype=U) + U(len(s)) * ODD[3]).view(np.int64)) for s in rows]
-                    found = [signatures(s, ends, per) if per else s.view(np.int64) for s in rows]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                values = pa.array(np.concatenate(found) if found else np.zeros(0, np.int64), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, 256), keys.slice(first, 256), pa.array([len(s) for s in rows], pa.int64()), pa.array(prints, pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "key", "n", "fp", "found"])
+                    lists = [signatures(s, ends, per) if ends else s.view(np.int64) for s in rows] if found else []
+                out = {"doc_id": ids.slice(first, 256), "key": keys.slice(first, 256), "n": pa.array([len(s) for s in rows], pa.int64()),
+                       "fp": pa.array(prints, pa.int64())}
+                if found:
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                    values = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64), pa.int64())
+                    out["found"] = pa.ListArray.from_arrays(pa.array(offsets), values)
+                yield pa.RecordBatch.from_pydict(out)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("key")).mapInArrow(
-        run, "doc_id long, key long, n long, fp long, found array<long>")
+        run, "doc_id long, key long, n long, fp long" + (", found array<long>" if found else ""))
 
 
 def linked(n: str, m: str, apart, per: int):
@@ -119,11 +121,26 @@ def linked(n: str, m: str, apart, per: int):
     return apart * (100 + per) <= (F.col(n) + F.col(m)) * (100 - per)
 
 
-def one_each(sets: DataFrame) -> DataFrame:
-    """The rows of ``sets`` with one row of each group of equal sets, so that only that one is exploded."""
-    copied = stored(sets.groupBy("fp").agg(F.min("row").alias("first"), F.count("*").alias("c")).where("c > 1").select("fp", "first"),
-                    "partenum-copied")
-    return sets.join(small(copied, copied.count(), MOST_CHOSEN), "fp", "left").where("first is null or row = first")
+def firsts_of(sets: DataFrame) -> DataFrame:
+    """Per set with shingles (fp): the key of one of its rows, one with doc_id where there is one; c, the rows with that key; k, the keys."""
+    keys = sets.where("n > 0").groupBy("fp", "key").agg(F.max(F.col("doc_id").isNull()).alias("bare"), F.count("*").alias("c"))
+    firsts = keys.groupBy("fp").agg(F.min(F.struct("bare", "key", "c")).alias("first"), F.count("*").alias("k"))
+    return stored(firsts.select("fp", "first.key", "first.c", "k"), "partenum-firsts")
+
+
+def one_each(docs: DataFrame, sets: DataFrame, firsts: DataFrame) -> DataFrame:
+    """doc_id and text of one row of each set with shingles, and rows without any; only rows with copies are looked up or shuffled."""
+    other = (sets.where("n > 0").join(firsts.where("k > 1").select("fp", F.col("key").alias("first")), "fp")
+             .where("key <> first").select("key").distinct().withColumn("told", F.lit("other")))
+    told = stored(firsts.where("c > 1").select("key", F.lit("again").alias("told")).union(other), "partenum-copied")
+    rows = docs.withColumn("key", text_key()).join(small(told, told.count(), MOST_CHOSEN), "key", "left")
+    return rows.where("told is null").drop("told").union(rows.where("told = 'again'").drop("told").dropDuplicates(["key"]))
+
+
+def fetched(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id and text of one row for each key of ``chosen`` (key, c); keys of one row need no shuffle of texts."""
+    rows = docs.withColumn("key", text_key()).join(small(chosen, chosen.count(), MOST_CHOSEN), "key")
+    return rows.where("c = 1").drop("c").union(rows.where("c > 1").drop("c").dropDuplicates(["key"]))
 
 
 def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
@@ -135,33 +152,37 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     Of its differences a set shares all but ``whole - 1`` with any set linked to it; if it is linked to the hub, and the
     other one is not, at least all but ``half`` as well. Sets that links to hubs connect already are not compared again.
     A pair is a candidate only where a common difference can be the first of enough: ``most`` counts those from it on.
+    It is compared under one hub, where the two have the fewest differences: what they differ in is the same under each.
+    Signatures are made once for one row of each set and never stored; arrays move only where ids are too many to broadcast.
     Texts to verify are fetched by the key of one row of each set, a row with doc_id where there is one.
     """
     by_signature = Window.partitionBy("sig")
-    shared = stored(one_each(sets).select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
+    firsts = firsts_of(sets)
+    signed = sets_of(one_each(docs, sets, firsts), size, "signatures", per)
+    shared = stored(signed.select(F.explode("found").alias("sig"), "fp").withColumn("low", F.min("fp").over(by_signature))
                     .withColumn("high", F.max("fp").over(by_signature)).withColumn("c", F.count("*").over(by_signature))
                     .where("low <> high").select("sig", "fp", "c").distinct(), "partenum")
     degree = shared.groupBy("fp").agg(F.sum("c").alias("degree"))
     hubs = shared.join(degree, "fp").groupBy("sig").agg(F.max(F.struct("degree", "fp")).alias("hub"))
     pairs = stored(shared.join(hubs.select("sig", F.col("hub.fp").alias("hub")), "sig").where("fp <> hub")
                    .groupBy("hub", "fp").agg((F.max("c") > 2).alias("wide")), "partenum-pairs")
-    needed = pairs.select("fp").union(pairs.select("hub")).distinct()
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "key"))
-    chosen = sets.select("fp", "doc_id", "key").join(needed, "fp", "left_semi").groupBy("fp").agg(first.alias("first"))
-    chosen = stored(chosen.select("first.key"), "partenum-chosen")
-    texts = (docs.select("doc_id", "text").withColumn("key", text_key())
-             .join(small(chosen, chosen.count(), MOST_CHOSEN), "key", "left_semi"))
-    found = stored(sets_of(texts, size, None).select("fp", "n", "found").dropDuplicates(["fp"]), "partenum-sets")
-    both = (pairs.join(found.select(F.col("fp").alias("hub"), F.col("n").alias("hub_n"), F.col("found").alias("hub_set")), "hub")
-            .join(found, "fp")
+    hubs = stored(pairs.select("hub").distinct(), "partenum-hubs")
+    needed = pairs.select("fp").union(hubs).distinct()
+    chosen = stored(firsts.join(needed, "fp", "left_semi").select("key", "c"), "partenum-chosen")
+    found = stored(sets_of(fetched(docs, chosen), size, "shingles").select("fp", "n", "found"), "partenum-sets")
+    of_hubs = found.select(F.col("fp").alias("hub"), F.col("n").alias("hub_n"), F.col("found").alias("hub_set"))
+    of_hubs = of_hubs.join(small(hubs, hubs.count(), MOST_CHOSEN), "hub", "left_semi")
+    both = (small(pairs, pairs.count(), MOST_CHOSEN).join(of_hubs, "hub").join(found, "fp")
             .withColumn("added", F.array_except("found", "hub_set")).withColumn("gone", F.array_except("hub_set", "found"))
-            .select("hub", "fp", "n", "wide", "added", "gone", linked("n", "hub_n", F.size("added") + F.size("gone"), per).alias("near")))
+            .select("hub", "fp", "n", "wide", F.when(F.col("wide"), F.col("added")).alias("added"), F.when(F.col("wide"), F.col("gone")).alias("gone"),
+                    linked("n", "hub_n", F.size("added") + F.size("gone"), per).alias("near")))
     both = stored(both, "partenum-verified")
     direct = components(both.where("near").select(F.col("hub").alias("a"), F.col("fp").alias("b")))
     direct = stored(direct.select(F.col("id").alias("fp"), "root"), "partenum-direct")
-    wide = both.where("wide").join(direct, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    wide = both.where("wide").join(small(direct, direct.count(), MOST_CHOSEN), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     open_hubs = wide.groupBy("hub").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("hub")
-    apart = (wide.join(open_hubs, "hub", "left_semi")
+    open_hubs = stored(open_hubs, "partenum-open")
+    apart = (wide.join(small(open_hubs, open_hubs.count(), MOST_CHOSEN), "hub", "left_semi")
              .withColumn("diff", F.concat(F.sort_array("added"), F.sort_array("gone"))).withColumn("d", F.size("diff"))
              .select("hub", "fp", "root", "n", "near", "diff", "d"))
     share = (100 - per) / (100 + per)
@@ -173,9 +194,15 @@ def links(docs: DataFrame, sets: DataFrame, size: int, per: int) -> DataFrame:
     most = F.least(F.col("d_a") - F.col("at_a"), F.col("d_b") - F.col("at_b"))  # common differences, if this is the first
     more = (named("a", rows.where("not near")).drop("near").join(named("b", rows), ["hub", "shingle"])
             .where("(near or a < b) and root_a <> root_b").where(linked("n_a", "n_b", F.col("d_a") + F.col("d_b") - 2 * most, per))
-            .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per).select("hub", "a", "b").distinct())
+            .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * per)
+            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min(F.struct(F.col("d_a") + F.col("d_b"), "hub")).alias("best"))
+            .select("best.hub", "a", "b"))
     side = lambda x: apart.select("hub", F.col("fp").alias(x), F.col("n").alias(f"n_{x}"), F.col("diff").alias(f"diff_{x}"))
-    more = (more.join(side("a"), ["hub", "a"]).join(side("b"), ["hub", "b"])
+    more = stored(more, "partenum-more")
+    compared = more.count()
+    met = small(more.select("hub", "b").distinct(), compared, MOST_CHOSEN)
+    more = (small(more, compared, MOST_CHOSEN).join(side("a"), ["hub", "a"])
+            .join(side("b").join(met, ["hub", "b"], "left_semi"), ["hub", "b"])
             .where(linked("n_a", "n_b", F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b")), per)))
     return direct.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")).distinct()
 
@@ -216,7 +243,7 @@ def join(docs: DataFrame, size: int = 4, per: int = 85) -> DataFrame:
 def grouped(docs: DataFrame, size: int, per: int) -> tuple[DataFrame, DataFrame]:
     """The stored sets of the rows (doc_id, key, n, fp), and fp, root and component of every set with shingles."""
     docs = docs.select("doc_id", "text")
-    sets = stored(sets_of(docs, size, per).withColumn("row", F.monotonically_increasing_id()), "partenum-signatures")
+    sets = stored(sets_of(docs, size), "partenum-sizes")
     firsts = sets.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("first"))
     found = links(docs, sets, size, per)
     roots = components(found)
