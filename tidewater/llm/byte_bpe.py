@@ -15,6 +15,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -109,6 +110,7 @@ class Codec:
         n = self.unknown = len(self.rank_of)
         self.tokens = {self.rank_of[i]: unmapped(self.model.id_to_piece(i)) for i in range(n)}
         self.gapless = self.rank_of[-1] == n - 1
+        self.ranks_sorted, self.pieces = np.array(self.rank_of), pa.array(self.tokens.values(), pa.binary())
         self.split, self.odd = regex.compile(pattern), odd
         self.first_odd, self.odd_characters = min(odd, default=1 << 21), frozenset(map(chr, odd))
         self.known: dict[str, list[int]] = {}
@@ -151,8 +153,17 @@ class Codec:
                 if len(word) > 1_000:
                     del self.known[word]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, lists: pa.ListArray) -> pa.BinaryArray:
+        """The bytes of each list of ids: those of all ids in a row, cut where a list ends."""
+        ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.zeros(len(lists) + 1, np.int64)
+        ends[1:] = np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))
+        at = ids if self.gapless else np.minimum(np.searchsorted(self.ranks_sorted, ids), len(self.rank_of) - 1)
+        if len(ids) and (at.min() < 0 or at.max() >= len(self.rank_of) or not np.array_equal(self.ranks_sorted[at], ids)):
+            raise KeyError("an id that is no rank of the vocabulary")
+        taken = self.pieces.take(pa.array(at, pa.int64()))
+        _, offsets, data = taken.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[taken.offset:taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets[ends].astype(np.int32)), data])
 
 
 @functools.lru_cache(2)
@@ -216,17 +227,15 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(*given)
         for batch in batches:
-            start = 0
+            lists = batch.column(1).cast(schema.field(1).type)
+            lengths, start = pc.list_value_length(lists).fill_null(0).to_pylist(), 0
             while start < batch.num_rows:
-                stop, out, held = start, [], 0
+                stop, held = start, 0
                 while stop < batch.num_rows and held <= MOST_TOKENS:
-                    ids = batch.column(1)[stop].as_py() or []
-                    out.append(codec.decode(ids))
-                    held += len(ids)
+                    held += lengths[stop]
                     stop += 1
-                part = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(schema.field(1).type), pa.array(out, pa.binary())],
-                                                 schema=schema)
+                part = lists.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), part, codec.decode(part)], schema=schema)
                 start = stop
 
     return encoded.selectExpr("cast(doc_id as bigint) as doc_id", "ids").mapInArrow(
