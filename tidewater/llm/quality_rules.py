@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import GAP, WORD, own_names, words
+from tidewater.llm.common import WORD, own_names, words
 
 #: Common words of the reference languages.
 COMMON = {
@@ -15,9 +15,12 @@ COMMON = {
     "es": "de la que el en y a los se del las por".split(),
 }
 VOCABULARY = sorted({w for ws in COMMON.values() for w in ws})
+#: Neighbours in the vocabulary, whose occurrences are counted among themselves.
+PARTS = [VOCABULARY[i:i + 7] for i in range(0, len(VOCABULARY), 7)]
+LONGEST = max(map(len, VOCABULARY))
 #: Character classes. A text is cut down class by class, so most passes see only what is left.
-CLASSES = {"lower": r"\p{Ll}+", "space": r"[\x20\x09-\x0D]+", "upper": r"\p{Lu}+", "digit": "[0-9]+", "stop": r"[.,;:?'\-()]+",
-           "symbol": r"[#*$%&|<>!@^~_=+{}\[\]\\/]+"}
+CLASSES = {"lower": r"\p{Ll}++", "space": r"[\x20\x09-\x0D]++", "upper": r"\p{Lu}++", "digit": "[0-9]++", "stop": r"[.,;:?'\-()]++",
+           "symbol": r"[#*$%&|<>!@^~_=+{}\[\]\\/]++"}
 #: Shorter texts are not judged by a histogram.
 MIN_CHARS, MIN_COMMON = 200, 40
 MAX_CLASS, MAX_WORD = 0.19, 0.65
@@ -56,18 +59,23 @@ def occurrences(words_: str, word: str) -> Column:
 
 
 def with_histograms(df: DataFrame) -> DataFrame:
-    """The rows plus counts of character classes and common words; ``w`` holds the words and goes."""
+    """The rows plus counts of character classes and common words; ``w`` holds the words and goes.
+
+    Common words are kept part by part first, so that each is looked for only among its neighbours.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     names, steps = list(CLASSES), df.withColumn("rest_0", text)
     for i, pattern in enumerate(CLASSES.values()):
         steps = steps.withColumn(f"rest_{i + 1}", F.regexp_replace(f"rest_{i}", pattern, ""))
     long = [F.length(f"rest_{i}").cast("long") for i in range(len(names) + 1)]
-    return (steps.withColumn("class_counts", F.array(*[long[i] - long[i + 1] for i in range(len(names))], long[-1]))
-            .withColumn("n_chars_all", long[0]).withColumn("visible", F.col("rest_2"))
-            .withColumn("common", F.filter(F.split(F.lower(text), GAP), lambda x: x.isin(VOCABULARY)))
-            .withColumn("common", F.sort_array("common"))
-            .select(*[c for c in df.columns if c != "w"], "class_counts", "n_chars_all", "visible", F.size("common").cast("long").alias("n_common"),
-                    F.array(*[occurrences("common", v) for v in VOCABULARY]).alias("word_counts")))
+    short = F.transform(F.filter("w", lambda x: F.length(x) <= LONGEST), F.lower)
+    counted = (steps.withColumn("class_counts", F.array(*[long[i] - long[i + 1] for i in range(len(names))], long[-1]))
+               .withColumn("n_chars_all", long[0]).withColumn("visible", F.col("rest_2"))
+               .withColumn("common", F.filter(short, lambda x: x.isin(VOCABULARY))))
+    between = lambda low, high: F.filter("common", lambda x: x.between(low, high))
+    counted = counted.withColumns({f"common_{i}": between(part[0], part[-1]) for i, part in enumerate(PARTS)})
+    return counted.select(*[c for c in df.columns if c != "w"], "class_counts", "n_chars_all", "visible", F.size("common").cast("long").alias("n_common"),
+                          F.array(*[occurrences(f"common_{i}", v) for i, part in enumerate(PARTS) for v in part]).alias("word_counts"))
 
 
 def references(docs: DataFrame, languages=tuple(COMMON)) -> dict[str, dict[str, list[float]]]:
@@ -75,7 +83,7 @@ def references(docs: DataFrame, languages=tuple(COMMON)) -> dict[str, dict[str,
 
     Medians leave junk documents without influence. One aggregate, one row per language; other languages stay out.
     """
-    counted = with_histograms(docs.select("lang", "text").where(F.col("lang").isin(list(languages))))
+    counted = with_histograms(docs.select("lang", "text", words(F.col("text")).alias("w")).where(F.col("lang").isin(list(languages))))
     bins = [("class_counts", len(CLASSES) + 1, F.col("n_chars_all"), MIN_CHARS),
             ("word_counts", len(VOCABULARY), F.col("n_common"), MIN_COMMON)]
     shares = [F.percentile_approx(F.when(n >= least, F.col(c)[i] / n), 0.5, 1000).alias(f"{c}_{i}")
