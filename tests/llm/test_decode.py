@@ -14,7 +14,7 @@ def test_a_batch_is_decoded_at_once(ranks):
     lines = b"\n".join(base64.b64encode(t) + b" " + str(r).encode() for t, r in tokens.items())
     codec = byte_bpe.Codec(lines, r"\S+|\s+", {})
     lists = pa.array([[0], [tokens[b"ab"], tokens[b"c"]], None, [], [tokens[b"\xff"]]], pa.list_(pa.int32())).slice(1)
-    assert codec.decode(lists).to_pylist() == [b"abc", b"", b"", b"\xff"]
-    assert codec.decode(lists.slice(1, 2)).to_pylist() == [b"", b""] and codec.decode(lists.slice(0, 0)).to_pylist() == []
+    assert codec.decode_lists(lists).to_pylist() == [b"abc", b"", b"", b"\xff"]
+    assert codec.decode_lists(lists.slice(1, 2)).to_pylist() == [b"", b""] and codec.decode_lists(lists.slice(0, 0)).to_pylist() == []
     with pytest.raises(KeyError):
-        codec.decode(pa.array([[6001]], pa.list_(pa.int32())))
+        codec.decode_lists(pa.array([[6001]], pa.list_(pa.int32())))

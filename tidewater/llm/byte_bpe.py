@@ -153,7 +153,10 @@ class Codec:
                 if len(word) > 1_000:
                     del self.known[word]
 
-    def decode(self, lists: pa.ListArray) -> pa.BinaryArray:
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
+
+    def decode_lists(self, lists: pa.ListArray) -> pa.BinaryArray:
         """The bytes of each list of ids: those of all ids in a row, cut where a list ends."""
         ids, ends = lists.flatten().to_numpy(zero_copy_only=False), np.zeros(len(lists) + 1, np.int64)
         ends[1:] = np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False))
@@ -235,7 +238,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
                     held += lengths[stop]
                     stop += 1
                 part = lists.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), part, codec.decode(part)], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), part, codec.decode_lists(part)], schema=schema)
                 start = stop
 
     return encoded.selectExpr("cast(doc_id as bigint) as doc_id", "ids").mapInArrow(
